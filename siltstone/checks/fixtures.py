@@ -80,14 +80,44 @@ SELECT l_partkey AS appid,
 FROM {lineitem}
 """
 
+# The store's own list: two rows per item with different tags, some names missing.
+STORE_GAMES = """
+SELECT p_partkey AS app_id, CASE WHEN p_partkey % 142 = 0 THEN 'NA' ELSE p_brand END AS name,
+  CASE WHEN p_partkey % 31 = 0 THEN '1' WHEN p_partkey % 2 = 0 THEN '0' ELSE 'true' END AS is_free,
+  p_type AS genre, concat('size ', CAST(p_size AS STRING)) AS tag
+FROM {part}
+UNION ALL
+SELECT p_partkey, CASE WHEN p_partkey % 142 = 0 THEN 'NA' ELSE p_brand END,
+  CASE WHEN p_partkey % 31 = 0 THEN '1' WHEN p_partkey % 2 = 0 THEN '0' ELSE 'true' END,
+  CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE 'PLAIN' END, p_brand
+FROM {part}
+"""
+
 # User-item interactions: buyer and part of every order line.
 INTERACTIONS = """
 SELECT o.o_custkey AS user_id, l.l_partkey AS app_id,
   CASE WHEN l.l_returnflag = 'R' THEN 'false' ELSE 'true' END AS is_recommended,
-  l.l_quantity AS hours, CAST(l.l_linenumber AS BIGINT) AS helpful, l.l_suppkey % 5 AS funny
+  l.l_quantity AS hours, CAST(l.l_linenumber AS BIGINT) AS helpful, l.l_suppkey % 5 AS funny,
+  substr(CAST(CAST(o.o_orderdate AS DATE) AS STRING), 1, 7) AS month
 FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
 """
 
+# Item-to-tag pairs: brand, type, size class and the words of the name.
+ITEM_TAGS = """
+SELECT p_partkey AS app_id, p_brand AS tag FROM {part}
+UNION ALL SELECT p_partkey, p_type FROM {part}
+UNION ALL SELECT p_partkey, concat('size ', CAST(p_size % 7 AS STRING)) FROM {part}
+UNION ALL SELECT p_partkey, split_part(p_name, ' ', 1) FROM {part}
+UNION ALL SELECT p_partkey, split_part(p_name, ' ', 2) FROM {part}
+"""
+
+# Items with the platforms they run on.
+PLATFORM_ITEMS = """
+SELECT p_partkey AS app_id, p_size % 2 = 0 AS win, p_size % 3 = 0 AS mac, p_size % 5 = 0 AS linux,
+  p_partkey % 4 = 0 AS is_free, p_retailprice AS price
+FROM {part}
+"""
+
 FIXTURES: dict[str, tuple[str, list[str]]] = {
     "dirty_customer": (DIRTY_CUSTOMER, ["customer"]),
     "dirty_events": (DIRTY_EVENTS, ["events"]),
@@ -95,6 +125,9 @@ FIXTURES: dict[str, tuple[str, list[str]]] = {
     "dirty_pages": (DIRTY_PAGES, ["pages"]),
     "dirty_part": (DIRTY_PART, ["part"]),
     "item_reviews": (ITEM_REVIEWS, ["lineitem"]),
+    "store_games": (STORE_GAMES, ["part"]),
+    "item_tags": (ITEM_TAGS, ["part"]),
+    "platform_items": (PLATFORM_ITEMS, ["part"]),
     "interactions": (INTERACTIONS, ["lineitem", "orders"]),
 }
 

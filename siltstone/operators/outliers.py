@@ -11,6 +11,7 @@ from siltstone.operators import quantiles
 
 REASONS = "outlier_reasons"
 FLAG = "is_outlier"
+LIMITS = "_limits"
 
 
 def thresholds(df: DataFrame, columns: Iterable[str], quantile: float = 0.999,
@@ -36,7 +37,8 @@ def flag_and_cap(df: DataFrame, flag: Iterable[str] = (), cap: Iterable[str] = (
     columns = list(dict.fromkeys([*flag, *cap]))
     if not columns:
         return df.withColumns({REASONS: F.array().cast("array<string>"), FLAG: F.lit(False)})
-    limit = thresholds(df, columns, quantile, accuracy)
+    df = df.withColumn(LIMITS, thresholds(df, columns, quantile, accuracy))
+    limit = F.col(LIMITS)
     reasons = F.array_compact(F.array(*[
         F.when(F.col(c) > limit.getField(c), F.lit(f"{prefix}{c}")) for c in flag
     ])) if flag else F.array().cast("array<string>")
@@ -45,4 +47,5 @@ def flag_and_cap(df: DataFrame, flag: Iterable[str] = (), cap: Iterable[str] = (
             F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), limit.getField(c)))
         for c in cap
     }
-    return df.withColumns({REASONS: reasons, FLAG: F.size(reasons) > 0, **capped})
+    flagged = df.withColumns({REASONS: reasons, **capped}).withColumn(FLAG, F.size(REASONS) > 0)
+    return flagged.drop(LIMITS)
