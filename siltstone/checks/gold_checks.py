@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.checks.registry import Tables, query
 from siltstone.plans import gold, recommend
+from siltstone.sources.staging import stage
 
 DIMENSIONS = 64
 
@@ -136,28 +137,17 @@ def split(t: Tables) -> DataFrame:
     return gold.with_split(interactions(t), bucket)
 
 
-def scored(t: Tables, inter: DataFrame, collaborative=recommend.baseline_scores) -> DataFrame:
-    """Candidates of the favourite tag with all three scores and their blend."""
-    bridge = t.fixture("item_tags")
-    profile = gold.tag_profile(inter, bridge)
-    popular = recommend.popularity(inter)
-    pairs = recommend.candidates(gold.favourite_tag(profile), bridge, popular, inter)
-    weighted = gold.interaction_features(inter)
-    return recommend.hybrid_scores(
-        collaborative(weighted, pairs), recommend.content_scores(pairs, profile, bridge), popular)
-
-
 @query("hybrid_score", f"""WITH {d_steps(ALL)}
     SELECT user_id, app_id, cf_score, content_score, popularity_score, final_score FROM scored""")
 def hybrid_score(t: Tables):
-    return scored(t, interactions(t))
+    return recommend.score_candidates(interactions(t), t.fixture("item_tags"))
 
 
 @query("topn_per_user", f"""WITH {d_steps(ALL)}
     SELECT user_id, app_id, final_score, place FROM ranked WHERE place <= 10""")
 def topn_per_user(t: Tables):
     inter = interactions(t)
-    return recommend.top_n(scored(t, inter), 10, seen=inter)
+    return recommend.top_n(recommend.score_candidates(inter, t.fixture("item_tags")), 10, seen=inter)
 
 
 @query("eval_at_k", f"""WITH {d_steps(f"SELECT * FROM interactions WHERE {BUCKET} >= 2")},
@@ -171,18 +161,18 @@ def eval_at_k(t: Tables):
     """Recommend from the training part, score against the held-out part."""
     sides = split(t)
     train, held_out = (sides.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
-    best = recommend.top_n(scored(t, train), 10, seen=train)
+    best = recommend.top_n(recommend.score_candidates(train, t.fixture("item_tags")), 10, seen=train)
     return rounded(recommend.evaluate(best, held_out, 10), "precision_at_k", "recall_at_k")
 
 
 @query("cf_scores")
 def cf_scores(t: Tables):
     """ALS scores of the candidates; factors are not comparable across engines."""
-    inter = interactions(t)
+    inter = stage(interactions(t), "interactions")
     bridge = t.fixture("item_tags")
-    pairs = recommend.candidates(gold.favourite_tag(gold.tag_profile(inter, bridge)), bridge,
-                                 recommend.popularity(inter), inter)
-    return recommend.als_scores(gold.interaction_features(inter), pairs)
+    favourite = gold.favourite_tag(gold.tag_profile(inter, bridge))
+    pairs = recommend.candidates(stage(favourite, "favourites"), bridge, recommend.popularity(inter), inter)
+    return recommend.als_scores(gold.interaction_features(inter), stage(pairs, "candidates"))
 
 
 @query("content_similarity", """
@@ -225,7 +215,8 @@ def embed_user_profile(t: Tables):
       PARTITION BY user_id ORDER BY cosine DESC, app_id) AS INTEGER) AS place FROM cosines) WHERE place <= 3""")
 def embed_neighbours(t: Tables):
     """The items a user has met that are closest to the user's profile."""
-    weighted, vectors = gold.interaction_features(interactions(t)), item_embeddings(t)
-    profiles = recommend.user_profiles(weighted, vectors, DIMENSIONS)
+    weighted = stage(gold.interaction_features(interactions(t)), "interactions")
+    vectors = item_embeddings(t)
+    profiles = stage(recommend.user_profiles(weighted, vectors, DIMENSIONS), "profiles")
     cosines = recommend.profile_similarity(weighted, profiles, vectors, DIMENSIONS)
     return rounded(recommend.top_n(cosines, 3, score="cosine"), "cosine")

@@ -2,9 +2,9 @@
 
 A key is *hot* when it has more than 1/HOT_SHARE of the counted rows, so there
 are fewer than HOT_SHARE hot keys whatever the data (pigeonhole). Their lookup
-rows are broadcast: a proven bound. All other keys take a shuffle join in which
-no key is large. Rows with a hot or null key do not need that join, so they
-carry a salt that spreads them over its tasks and that matches nothing.
+rows are broadcast: a proven bound. The rows of all other keys take a shuffle join
+in which no key is large. Rows with a hot or null key have nothing to find in that
+join, so they carry a salt that spreads them over its tasks and matches nothing.
 """
 
 from __future__ import annotations
@@ -18,39 +18,46 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1000
 
 
-def counted_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
-                 rows: str = "n") -> DataFrame:
-    """Join ``lookup`` (unique on ``keys``) whose column ``rows`` counts the facts of each key.
+def _is_hot(counts: DataFrame, rows: str):
+    """Compares with the total as a scalar subquery, a one-row result."""
+    return F.col(rows) * HOT_SHARE > counts.agg(F.sum(rows)).scalar()
 
-    ``rows`` itself is one of the columns of the result. ``how`` is ``left`` or
-    ``inner``.
-    """
-    payload = [c for c in lookup.columns if c not in keys]
-    total = lookup.agg(F.sum(rows)).scalar()
-    is_hot = F.col(rows) * HOT_SHARE > total
 
-    hot = lookup.filter(is_hot).select(*keys, F.struct(*payload).alias("_hot"))
-    cold = lookup.filter(~is_hot).select(
-        *keys, F.lit(0).alias("_salt"), F.struct(*payload).alias("_cold"))
+def _split_join(facts: DataFrame, lookup: DataFrame, hot: DataFrame, keys: list[str], how: str) -> DataFrame:
+    payload = [c for c in lookup.columns if c not in keys]
+    found_hot = hot.select(*keys, F.struct(*payload).alias("_hot"))
+    found = lookup.select(*keys, F.lit(0).alias("_salt"), F.struct(*payload).alias("_cold"))
 
     tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
     salt = F.when(F.col("_hot").isNotNull() | no_key,
                   1 + F.pmod(F.spark_partition_id(), F.lit(tasks))).otherwise(0)
-
     joined = (
-        facts.join(F.broadcast(hot), keys, "left")
+        facts.join(F.broadcast(found_hot), keys, "left")
         .withColumn("_salt", salt)
-        .join(cold, [*keys, "_salt"], "left")
+        .join(found, [*keys, "_salt"], "left")
         .withColumn("_hit", F.coalesce("_hot", "_cold"))
     )
     if how == "inner":
         joined = joined.filter(F.col("_hit").isNotNull())
-    return joined.select(*facts.columns, *[F.col(f"_hit.{c}").alias(c) for c in payload])
+    return joined.select(*facts.columns, *[F.col("_hit").getField(c).alias(c) for c in payload])
+
+
+def counted_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
+                 rows: str = "n") -> DataFrame:
+    """Join ``lookup``, unique on ``keys``, whose column ``rows`` counts the facts of each key.
+
+    ``how`` is ``left`` or ``inner``.
+    """
+    return _split_join(facts, lookup, lookup.filter(_is_hot(lookup, rows)), keys, how)
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """As ``counted_join``, counting the facts of each key first (one narrow scan)."""
+    """As ``counted_join``, for a lookup without counts: the facts are counted by a scan of the keys.
+
+    ``facts`` is read again for the counts; give a table or a staged frame.
+    """
     counts = facts.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    weighted = lookup.join(counts, keys, "inner")
-    return counted_join(facts, weighted, keys, how, rows="_rows").drop("_rows")
+    hot_keys = counts.filter(_is_hot(counts, "_rows")).select(*keys)
+    hot = lookup.join(F.broadcast(hot_keys), keys, "left_semi")  # fewer than HOT_SHARE keys
+    return _split_join(facts, lookup, hot, keys, how)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,16 +51,21 @@ def with_row_id(table: DataFrame) -> DataFrame:
     return table.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
-def read_optional(spark: SparkSession, path) -> DataFrame | None:
-    """The Parquet table, or None where there is none; other errors are raised."""
+def if_any(scan: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame of the scan, or None where there are no files; other errors are raised."""
     try:
-        return spark.read.parquet(path)
+        return scan()
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
+def read_optional(spark: SparkSession, path) -> DataFrame | None:
+    """The Parquet table, or None where there is none."""
+    return if_any(lambda: spark.read.parquet(path))
+
+
 def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame([], schema)
 

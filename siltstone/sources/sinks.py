@@ -30,13 +30,15 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     writer.parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_date: str, num_partitions: int | None = None) -> None:
+def write_batch(df: DataFrame, path: str, batch_date: str, num_partitions: int | None = None,
+                in_order: bool = False) -> None:
     """Replace one batch of a table that is partitioned by ``batch_date``.
 
-    The date is added by the sink where the frame has none. All rows go to the
-    one partition, so they are rebalanced without a key.
+    All rows go to the one partition, so they are rebalanced without a key.
+    ``in_order`` writes them as they come: no shuffle, and the files keep the
+    order of the input, which "first row" means to the later layers.
     """
-    sized = df.repartition(num_partitions) if num_partitions else df.hint("rebalance")
+    sized = df if in_order else df.repartition(num_partitions) if num_partitions else df.hint("rebalance")
     (sized.withColumn("batch_date", F.lit(batch_date)).write.mode("overwrite")
      .partitionBy("batch_date").option("partitionOverwriteMode", "dynamic").parquet(path))
 
