@@ -4,12 +4,18 @@ All three policies pre-aggregate per key before the shuffle instead of numbering
 the rows of a key in a window, so a key that holds a large share of the table
 never sits in one task.
 
+The keys that have copies are found first. With ``stage`` they are written before
+the rows are matched with them: Spark then knows their size, so where they are few
+it broadcasts them and the table itself is not shuffled at all.
+
 ``order_by`` must order the rows of a key totally. A table without such a column
 is read with ``sources.readers.with_row_id`` and ordered by ``ROW_ID``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +23,8 @@ from siltstone.operators.skew import counted_join
 
 DUPLICATE = "is_duplicate"
 
+Stage = Callable[[DataFrame, str], DataFrame]
+
 
 def _with_key(df: DataFrame, keys: list[str]) -> DataFrame:
     for k in keys:
@@ -28,7 +36,7 @@ def _order(order_by: list[str]):
     return F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
 
 
-def mark_all_copies(df: DataFrame, keys: list[str]) -> DataFrame:
+def mark_all_copies(df: DataFrame, keys: list[str], stage: Stage | None = None) -> DataFrame:
     """Policy reject_all: every row of a key with more than one row is marked.
 
     A null key is no duplicate. Only keys with copies take part in the join.
@@ -36,17 +44,22 @@ def mark_all_copies(df: DataFrame, keys: list[str]) -> DataFrame:
     repeated = (
         _with_key(df, keys).groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     )
+    if stage is not None:
+        repeated = stage(repeated, "repeated-keys")
     marked = counted_join(df, repeated, keys)
     return marked.withColumn(DUPLICATE, F.col("n").isNotNull()).drop("n")
 
 
-def mark_later_copies(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+def mark_later_copies(df: DataFrame, keys: list[str], order_by: list[str],
+                      stage: Stage | None = None) -> DataFrame:
     """Policy reject_rest: every row but the first of its key is marked."""
     first = (
         _with_key(df, keys).groupBy(*keys)
         .agg(F.count("*").alias("n"), F.min(_order(order_by)).alias("_first"))
         .filter(F.col("n") > 1)
     )
+    if stage is not None:
+        first = stage(first, "first-rows")
     marked = counted_join(df, first, keys)
     later = F.col("n").isNotNull() & ~_order(order_by).eqNullSafe(F.col("_first"))
     return marked.withColumn(DUPLICATE, later).drop("n", "_first")

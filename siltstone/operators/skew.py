@@ -14,6 +14,7 @@ from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_SHARE = 1000
 
@@ -26,12 +27,17 @@ def _is_hot(counts: DataFrame, rows: str):
 def _split_join(facts: DataFrame, lookup: DataFrame, hot: DataFrame, keys: list[str], how: str) -> DataFrame:
     payload = [c for c in lookup.columns if c not in keys]
     found_hot = hot.select(*keys, F.struct(*payload).alias("_hot"))
-    found = lookup.select(*keys, F.lit(0).alias("_salt"), F.struct(*payload).alias("_cold"))
+    # Always 0, but not a literal: Spark leaves literals out of the shuffle keys.
+    zero = F.pmod(F.hash(*keys), F.lit(1))
+    found = lookup.select(*keys, zero.alias("_salt"), F.struct(*payload).alias("_cold"))
 
+    # The salt is a function of the row and its task, so a task that runs again
+    # sends every row where it went before; exact copies spread by task.
     tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    content = [f.name for f in facts.schema if f.name not in keys and not isinstance(f.dataType, T.MapType)]
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(tasks)).cast("int")
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    salt = F.when(F.col("_hot").isNotNull() | no_key,
-                  1 + F.pmod(F.spark_partition_id(), F.lit(tasks))).otherwise(0)
+    salt = F.when(F.col("_hot").isNotNull() | no_key, 1 + spread).otherwise(0)
     joined = (
         facts.join(F.broadcast(found_hot), keys, "left")
         .withColumn("_salt", salt)

@@ -37,8 +37,8 @@ class Job:
         found = read_batch_if_any(self.spark, path, self.ctx.batch_date)
         return self.read(path, row_id) if found is not None and row_id else found
 
-    def write(self, df: DataFrame, path: str) -> None:
-        sinks.write_batch(df, path, self.ctx.batch_date)
+    def write(self, df: DataFrame, path: str, rebalance: bool = False) -> None:
+        sinks.write_batch(df, path, self.ctx.batch_date, rebalance=rebalance)
 
     def write_report(self, df: DataFrame, path: str) -> None:
         """A report has few rows: one file."""
@@ -46,7 +46,7 @@ class Job:
 
     def write_silver(self, name: str, made: silver.Silver) -> None:
         self.write(made.valid, self.layout.silver(name))
-        self.write(made.rejected, self.layout.rejected(name))
+        self.write(made.rejected, self.layout.rejected(name), rebalance=True)
 
     def layers(self, name: str) -> overview.Layers:
         return overview.Layers(

@@ -112,7 +112,7 @@ def silver_reviews(df: DataFrame, ctx: RunContext, stage: Stage = write_stage,
         **{c: clean.to_timestamp(df, c) for c in times},
         "silver_processed_at": ctx.stamp(),
     })
-    df = dedup.mark_all_copies(df, ["review_id"]) if "review_id" in df.columns else (
+    df = dedup.mark_all_copies(df, ["review_id"], stage) if "review_id" in df.columns else (
         df.withColumn(dedup.DUPLICATE, F.lit(False)))
 
     oldest = F.lit(datetime.fromisoformat(OLDEST_TIME)).cast("timestamp_ntz").cast("timestamp")
@@ -272,7 +272,7 @@ def silver_users(df: DataFrame, ctx: RunContext, stage: Stage = write_stage,
         "silver_processed_at": ctx.stamp(),
     })
     if ids:
-        df = dedup.mark_later_copies(df, ids, _unique_order(df, order_by))
+        df = dedup.mark_later_copies(df, ids, _unique_order(df, order_by), stage)
     rule_set = [
         *rules.column_exists(df, "user_id"),
         *[rules.not_null(c, f"missing_{c}") for c in ids],
@@ -315,7 +315,7 @@ def silver_game_text(df: DataFrame, ctx: RunContext, stage: Stage = write_stage,
         *[clean.clean_html(F.col(c)).alias(f"{c}_clean") for c in texts], *order)
     lengths = [f"{c}_len" for c in texts]
     df = df.withColumns({f"{c}_len": F.length(f"{c}_clean") for c in texts} | {"silver_processed_at": ctx.stamp()})
-    df = dedup.mark_later_copies(df, ["app_id"], order)
+    df = dedup.mark_later_copies(df, ["app_id"], order, stage)
     rule_set = [
         rules.not_null("app_id", "missing_app_id"),
         rules.all_empty([f"{c}_clean" for c in texts], "all_text_fields_empty"),

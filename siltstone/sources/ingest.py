@@ -15,7 +15,7 @@ from siltstone.sources.layout import Layout, Source
 def read_source(spark: SparkSession, source: Source, path: str) -> DataFrame:
     if source.format == "json":
         return readers.read_json(spark, path, source.schema, source.multi_line)
-    return readers.read_csv(spark, path, source.schema, multi_line=source.multi_line)
+    return readers.read_csv(spark, path, source.schema, infer_schema=source.infer, multi_line=source.multi_line)
 
 
 def with_ingest_metadata(df: DataFrame, ctx: RunContext, source_name: str,
@@ -41,6 +41,6 @@ def ingest(spark: SparkSession, layout: Layout, ctx: RunContext,
     for source in sources if sources is not None else layout.sources:
         raw = read_source(spark, source, layout.raw(source, ctx.batch_date))
         tagged = with_ingest_metadata(raw, ctx, source.name)
-        sinks.write_batch(tagged, layout.bronze(source.name), ctx.batch_date, in_order=True)
+        sinks.write_batch(tagged, layout.bronze(source.name), ctx.batch_date)
         done.append(source.name)
     return done

@@ -16,13 +16,18 @@ from siltstone.sources import readers
 
 @dataclass(frozen=True)
 class Source:
-    """A raw source: its name, its files below the raw root and their format."""
+    """A raw source: its name, its files below the raw root and their format.
+
+    Without a ``schema`` the types of a CSV are inferred, which reads the files once
+    more; ``infer=False`` leaves every column text, which the silver jobs accept.
+    """
 
     name: str
     pattern: str
     format: Literal["csv", "json"] = "csv"
     multi_line: bool = False
     schema: str | None = None
+    infer: bool = True
 
 
 # The raw sources, named by what they hold. ``{batch}`` is the batch

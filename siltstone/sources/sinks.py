@@ -31,14 +31,15 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_batch(df: DataFrame, path: str, batch_date: str, num_partitions: int | None = None,
-                in_order: bool = False) -> None:
+                rebalance: bool = False) -> None:
     """Replace one batch of a table that is partitioned by ``batch_date``.
 
-    All rows go to the one partition, so they are rebalanced without a key.
-    ``in_order`` writes them as they come: no shuffle, and the files keep the
-    order of the input, which "first row" means to the later layers.
+    Rows are written by the tasks that made them: no shuffle, and files keep the
+    order of the input, which is what "first row" means to the later layers.
+    ``rebalance`` is for a small share of a large table, which would otherwise be
+    one tiny file per task.
     """
-    sized = df if in_order else df.repartition(num_partitions) if num_partitions else df.hint("rebalance")
+    sized = df.repartition(num_partitions) if num_partitions else df.hint("rebalance") if rebalance else df
     (sized.withColumn("batch_date", F.lit(batch_date)).write.mode("overwrite")
      .partitionBy("batch_date").option("partitionOverwriteMode", "dynamic").parquet(path))
 
@@ -47,7 +48,7 @@ def publish_tables(tables: Mapping[str, DataFrame], database: str | None = None,
                    path: str | None = None) -> None:
     """Replace each published table, in the catalog or as Parquet below ``path``."""
     for name, df in tables.items():
-        writer = df.hint("rebalance").write.mode("overwrite")
+        writer = df.write.mode("overwrite")
         if path is not None:
             writer.parquet(f"{path.rstrip('/')}/{name}")
         else:
