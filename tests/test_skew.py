@@ -123,11 +123,11 @@ def test_similarity_is_exact(spark):
     for i in sorted(tags):
         names.setdefault(tags[i], i)
     sets = sorted(names.items(), key=lambda item: item[1])
-    for threshold in (0.3, 0.6, 1.0):
+    for threshold, tuple_size in ((0.3, 2), (0.6, 1), (0.6, 3), (0.8, 3), (1.0, 4)):
         want = {
             (a, b): len(x & y) / len(x | y)
             for n, (x, a) in enumerate(sets) for y, b in sets[n + 1:] if len(x & y) / len(x | y) >= threshold - 1e-9}
-        got = recommend.content_similarity(bridge, threshold, block=10).collect()
+        got = recommend.content_similarity(bridge, threshold, tuple_size, block=10).collect()
         assert {(r.set_id_a, r.set_id_b): r.jaccard for r in got} == pytest.approx(want)
         assert len(got) == len(want)
 
