@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from siltstone.operators.skew import counted_join
 
 DUPLICATE = "is_duplicate"
+COPIES = "_copies"
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -42,12 +43,12 @@ def mark_all_copies(df: DataFrame, keys: list[str], stage: Stage | None = None)
     A null key is no duplicate. Only keys with copies take part in the join.
     """
     repeated = (
-        _with_key(df, keys).groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+        _with_key(df, keys).groupBy(*keys).agg(F.count("*").alias(COPIES)).filter(F.col(COPIES) > 1)
     )
     if stage is not None:
         repeated = stage(repeated, "repeated-keys")
-    marked = counted_join(df, repeated, keys)
-    return marked.withColumn(DUPLICATE, F.col("n").isNotNull()).drop("n")
+    marked = counted_join(df, repeated, keys, rows=COPIES)
+    return marked.withColumn(DUPLICATE, F.col(COPIES).isNotNull()).drop(COPIES)
 
 
 def mark_later_copies(df: DataFrame, keys: list[str], order_by: list[str],
@@ -55,14 +56,14 @@ def mark_later_copies(df: DataFrame, keys: list[str], order_by: list[str],
     """Policy reject_rest: every row but the first of its key is marked."""
     first = (
         _with_key(df, keys).groupBy(*keys)
-        .agg(F.count("*").alias("n"), F.min(_order(order_by)).alias("_first"))
-        .filter(F.col("n") > 1)
+        .agg(F.count("*").alias(COPIES), F.min(_order(order_by)).alias("_first"))
+        .filter(F.col(COPIES) > 1)
     )
     if stage is not None:
         first = stage(first, "first-rows")
-    marked = counted_join(df, first, keys)
-    later = F.col("n").isNotNull() & ~_order(order_by).eqNullSafe(F.col("_first"))
-    return marked.withColumn(DUPLICATE, later).drop("n", "_first")
+    marked = counted_join(df, first, keys, rows=COPIES)
+    later = F.col(COPIES).isNotNull() & ~_order(order_by).eqNullSafe(F.col("_first"))
+    return marked.withColumn(DUPLICATE, later).drop(COPIES, "_first")
 
 
 def keep_first(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
