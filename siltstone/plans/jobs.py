@@ -1,6 +1,6 @@
 """The batch jobs, from files to files.
 
-    spark-submit -m siltstone.plans.jobs silver-reviews --root /data --batch-date 2024-01-01
+    spark-submit run.py silver-reviews --root /data --batch-date 2024-01-01
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from siltstone.plans import gold, quality, recommend, silver
 from siltstone.reports import columns, histograms, issues, outliers, overview, profile
 from siltstone.sources import ingest, readers, sinks
 from siltstone.sources.layout import Layout, read_batch, read_batch_if_any
+from siltstone.sources.staging import staged_tables
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,9 @@ def bronze_profile(job: Job) -> None:
 
 
 def silver_reviews(job: Job) -> None:
-    job.write_silver("reviews", silver.silver_reviews(job.read(job.layout.bronze("all_reviews")), job.ctx))
+    reviews = job.read(job.layout.bronze("all_reviews"))
+    with staged_tables(job.spark) as stage:
+        job.write_silver("reviews", silver.silver_reviews(reviews, job.ctx, stage))
 
 
 def silver_games(job: Job) -> None:
@@ -83,23 +86,27 @@ def silver_games(job: Job) -> None:
     sources = {role: job.read_if_any(job.layout.bronze(name), row_id=True) for role, name in names.items()}
     if sources["base"] is None:
         raise ValueError("no base table of games in this batch")
-    job.write_silver("games", silver.silver_games(sources, job.ctx))
+    with staged_tables(job.spark) as stage:
+        job.write_silver("games", silver.silver_games(sources, job.ctx, stage))
 
 
 def silver_users(job: Job) -> None:
     users = job.read(job.layout.bronze("rec_users"), row_id=True)
-    job.write_silver("users", silver.silver_users(users, job.ctx))
+    with staged_tables(job.spark) as stage:
+        job.write_silver("users", silver.silver_users(users, job.ctx, stage))
 
 
 def silver_bridges(job: Job) -> None:
     for value, name in {"tag": "game_tags", "category": "game_categories", "genre": "game_genres"}.items():
         pairs = job.read(job.layout.bronze(quality.BRONZE_OF[name]))
-        job.write_silver(name, silver.silver_bridge(pairs, value))
+        with staged_tables(job.spark) as stage:
+            job.write_silver(name, silver.silver_bridge(pairs, value, stage))
 
 
 def silver_game_text(job: Job) -> None:
     texts = job.read(job.layout.bronze("insight_descriptions"), row_id=True)
-    job.write_silver("game_text", silver.silver_game_text(texts, job.ctx))
+    with staged_tables(job.spark) as stage:
+        job.write_silver("game_text", silver.silver_game_text(texts, job.ctx, stage))
 
 
 def quality_issues(job: Job) -> None:
@@ -152,19 +159,20 @@ def gold_tables(job: Job) -> None:
         F.col("is_free_clean").alias("is_free"), F.col("price_final").alias("price"),
         *[clean.to_boolean(F.col(c)).alias(c) for c in ("win", "mac", "linux")])
     features = gold.interaction_features(facts)
-    made = {
-        "game_kpis": gold.item_kpis(facts),
-        "user_kpis": gold.user_kpis(facts),
-        "genre_tag_trends": gold.tag_trends(facts, tags),
-        "platform_summary": gold.platform_summary(items),
-        "game_features": gold.item_features(items, facts, tags),
-        "user_features": gold.user_features(facts, tags),
-        "training_interactions": gold.with_split(features),
-        "game_similarity": recommend.content_similarity(tags),
-        "game_tag_sets": recommend.tag_sets(tags),
-    }
-    for name, df in made.items():
-        job.write(df, job.layout.gold(name))
+    with staged_tables(job.spark) as stage:
+        made = {
+            "game_kpis": gold.item_kpis(facts),
+            "user_kpis": gold.user_kpis(facts),
+            "genre_tag_trends": gold.tag_trends(facts, tags),
+            "platform_summary": gold.platform_summary(items),
+            "game_features": gold.item_features(items, facts, tags),
+            "user_features": gold.user_features(facts, tags),
+            "training_interactions": gold.with_split(features),
+            "game_similarity": recommend.content_similarity(tags, stage=stage),
+            "game_tag_sets": recommend.tag_sets(tags),
+        }
+        for name, df in made.items():
+            job.write(df, job.layout.gold(name))
 
 
 def gold_recommendations(job: Job, n: int = 10) -> None:
@@ -172,7 +180,9 @@ def gold_recommendations(job: Job, n: int = 10) -> None:
     pairs = job.read(job.layout.gold("training_interactions"))
     tags = job.read(job.layout.silver("game_tags"))
     train, held_out = (pairs.filter(F.col("split") == s) for s in ("train", "test"))
-    job.write(recommend.score_candidates(train, tags, recommend.als_scores), job.layout.gold("predictions"))
+    with staged_tables(job.spark) as stage:
+        scores = recommend.score_candidates(train, tags, recommend.als_scores, stage=stage)
+        job.write(scores, job.layout.gold("predictions"))
     best = recommend.top_n(job.read(job.layout.gold("predictions")), n, seen=train)
     job.write(best, job.layout.gold("recommendations"))
     scores = recommend.evaluate(job.read(job.layout.gold("recommendations")), held_out, n)

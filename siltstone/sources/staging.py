@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,12 +33,32 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/staged/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write the frame and return a scan of what was written."""
-    spark = df.sparkSession
-    path = staging_path(spark, name)
+def _write_and_scan(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write the frame and return a scan of what was written.
+
+    The table stays, as the scan is lazy; jobs use ``staged_tables``, which cleans up.
+    """
+    return _write_and_scan(df, staging_path(df.sparkSession, name))
+
+
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``stage`` for one job; its tables are deleted when the job is over."""
+    folder = staging_path(spark, "job")
+
+    def stage_in_folder(df: DataFrame, name: str) -> DataFrame:
+        return _write_and_scan(df, f"{folder}/{name}-{uuid.uuid4().hex}")
+
+    try:
+        yield stage_in_folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def use_checkpoints(spark: SparkSession) -> None:

@@ -66,6 +66,14 @@ def test_stage_uses_the_shared_folder(spark, tmp_path, monkeypatch):
     assert str(tmp_path) in staged.inputFiles()[0]
 
 
+def test_job_tables_are_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "staging_root", lambda s: str(tmp_path))
+    with staging.staged_tables(spark) as stage:
+        assert stage(spark.range(5), "five").count() == 5
+        assert list((tmp_path / "staged").iterdir())
+    assert not list((tmp_path / "staged").iterdir())
+
+
 def test_names(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int").toDF(" App-ID", "Price (USD)/unit.now")
     assert schema.normalize_names(df).columns == ["app_id", "price_usd_unit_now"]
