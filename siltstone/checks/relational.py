@@ -16,11 +16,6 @@ def d_quantile(column: str, q: float, table: str) -> str:
     return f"(SELECT quantile_disc({column}, {q}) FROM {table})"
 
 
-def in_place(df, name: str):
-    """No staging: for queries that check one operator."""
-    return df
-
-
 D_REVIEWS_AGG = f"""
     SELECT appid AS app_id, count(*) AS review_count_all_reviews,
       count(*) FILTER (WHERE {d_bool('voted_up', True)}) AS positive_review_count,
@@ -117,7 +112,7 @@ D_BRIDGE = f"""bridged AS (
     SELECT app_id, tag, value_length, value_length > {d_quantile('value_length', 0.999, 'bridge')} AS is_outlier
     FROM bridge""")
 def bridge_build(t: Tables):
-    pairs = silver.silver_bridge(t.fixture("dirty_bridge"), "tag", in_place).valid
+    pairs = silver.silver_bridge(t.fixture("dirty_bridge"), "tag").valid
     return pairs.select("app_id", "tag", "value_length", "is_outlier")
 
 

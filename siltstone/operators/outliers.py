@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.operators import quantiles
+from siltstone.operators.rules import fired_names
 
 REASONS = "outlier_reasons"
 FLAG = "is_outlier"
@@ -39,9 +40,7 @@ def flag_and_cap(df: DataFrame, flag: Iterable[str] = (), cap: Iterable[str] = (
         return df.withColumns({REASONS: F.array().cast("array<string>"), FLAG: F.lit(False)})
     df = df.withColumn(LIMITS, thresholds(df, columns, quantile, accuracy))
     limit = F.col(LIMITS)
-    reasons = F.array_compact(F.array(*[
-        F.when(F.col(c) > limit.getField(c), F.lit(f"{prefix}{c}")) for c in flag
-    ])) if flag else F.array().cast("array<string>")
+    reasons = fired_names({f"{prefix}{c}": F.col(c) > limit.getField(c) for c in flag})
     capped = {
         (f"{c}{suffix}" if keep_original else c):
             F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), limit.getField(c)))

@@ -6,7 +6,7 @@ the order of declaration; the ``|``-joined text form is made at the sink.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -78,11 +78,24 @@ def column_exists(df: DataFrame, col: str, name: str | None = None) -> list[Rule
     return [] if col in df.columns else [Rule(name or f"missing_{col}_column", F.lit(True))]
 
 
-def issue_array(rules: Iterable[Rule]) -> Column:
-    fired = [F.when(r.condition, F.lit(r.name)) for r in rules]
-    if not fired:
+def fired_names(conditions: Mapping[str, Column]) -> Column:
+    """The names whose condition holds, in order.
+
+    ``array_except`` drops the nulls inside generated code; ``array_compact`` and
+    ``filter`` would take the projection out of it.
+    """
+    if not conditions:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*fired))
+    names = F.array(*[F.when(condition, F.lit(name)) for name, condition in conditions.items()])
+    return F.array_except(names, F.array(F.lit(None).cast("string")))
+
+
+def issue_array(rules: Iterable[Rule]) -> Column:
+    rules = list(rules)
+    conditions = {r.name: r.condition for r in rules}
+    if len(conditions) < len(rules):
+        raise ValueError(f"rule names repeat: {[r.name for r in rules]}")
+    return fired_names(conditions)
 
 
 def first_issue(rules: Iterable[Rule]) -> Column:

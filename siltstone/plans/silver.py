@@ -2,7 +2,8 @@
 
 Each function turns bronze frames into a valid and a rejected frame. The judged
 rows are staged once (see ``sources.staging``); the split, the thresholds and both
-outputs then read the staged table with only the columns they need.
+outputs then read the staged table with only the columns they need. Text lengths
+are staged with them, so no threshold reads the texts.
 """
 
 from __future__ import annotations
@@ -126,18 +127,15 @@ def silver_reviews(df: DataFrame, ctx: RunContext, stage: Stage = write_stage,
         *[rules.in_range(c, 0.0, 1.0, f"invalid_{c}", hard=False)
           for c in schema.present(df, ["weighted_vote_score"])],
     ]
+    lengths = {f"{c}_length": F.length(c) for c in schema.present(df, ["review_text"])}
     judged = rules.annotate(df, rule_set).withColumns(
-        {c: F.when(F.col(c) >= oldest, F.col(c)) for c in times})
+        {c: F.when(F.col(c) >= oldest, F.col(c)) for c in times} | lengths)
     judged = stage(judged, "reviews")
 
     valid, rejected = _split(judged, rule_set)
     counts = schema.present(valid, REVIEW_COUNTS)
-    lengths = []
-    if "review_text" in valid.columns:
-        valid = valid.withColumn("review_text_length", F.length("review_text"))
-        lengths = ["review_text_length"]
     valid = outliers.flag_and_cap(valid, [*counts, *lengths], counts, accuracy=accuracy)
-    return Silver(_with_text(valid), _with_text(rejected))
+    return Silver(_with_text(valid), _with_text(rejected.drop(*lengths)))
 
 
 # The columns of each source of the item table and their order in it.
@@ -252,12 +250,11 @@ def silver_games(sources: Mapping[str, DataFrame | None], ctx: RunContext, stage
         *[rules.too_far_ahead(c, ctx.today, RELEASE_DAYS_AHEAD, "release_date_too_far_in_future")
           for c in schema.present(games, ["release_date_final"])],
     ]
-    judged = stage(rules.annotate(games, rule_set), "games")
-    valid, rejected = _split(judged, rule_set)
-    valid = valid.withColumn("game_name_length", F.length("game_name"))
+    judged = rules.annotate(games, rule_set).withColumn("game_name_length", F.length("game_name"))
+    valid, rejected = _split(stage(judged, "games"), rule_set)
     counts = schema.present(valid, GAME_OUTLIERS)
     valid = outliers.flag_and_cap(valid, [*counts, "game_name_length"], counts, accuracy=accuracy)
-    return Silver(_with_text(valid), _with_text(rejected))
+    return Silver(_with_text(valid), _with_text(rejected.drop("game_name_length")))
 
 
 def silver_users(df: DataFrame, ctx: RunContext, stage: Stage = write_stage,
@@ -294,10 +291,10 @@ def silver_bridge(df: DataFrame, value: str, stage: Stage = write_stage,
         rules.not_null("app_id", "missing_app_id"),
         rules.all_empty([value], f"missing_{value}"),
     ]
-    judged = stage(rules.annotate(pairs, rule_set), f"bridge-{value}")
-    valid, rejected = _split(judged, rule_set)
-    # A valid row has no issue, so the pair alone identifies it.
-    valid = valid.select("app_id", value).distinct().withColumns({
+    valid, rejected = _split(rules.annotate(pairs, rule_set), rule_set)
+    # A valid row has no issue, so the pair alone identifies it. The distinct pairs
+    # are staged: finding them is the costly step, judging is one projection.
+    valid = stage(valid.select("app_id", value).distinct(), f"bridge-{value}").withColumns({
         "value_length": F.length(value),
         rules.ISSUES: F.array().cast("array<string>"),
     })
