@@ -63,19 +63,19 @@ def user_kpis(interactions: DataFrame) -> DataFrame:
     return per_user.withColumn("activity_level", activity_level(F.col("interaction_count")))
 
 
-def tag_trends(interactions: DataFrame, bridge: DataFrame, top: int = 5) -> DataFrame:
-    """The ``top`` tags of each month by interactions.
+def tag_trends(interactions: DataFrame, bridge: DataFrame, top: int = 5, value: str = "tag") -> DataFrame:
+    """The ``top`` tags (or genres, categories: ``value``) of each month by interactions.
 
     Facts are counted per item and month before they meet the tags, so an item
     with very many facts is a handful of rows in the join.
     """
     monthly = interactions.groupBy("app_id", "month").agg(F.count("*").alias("n"))
     counted = (
-        monthly.join(bridge.select("app_id", "tag").distinct(), "app_id")
-        .groupBy("month", "tag").agg(F.sum("n").alias("interaction_count"))
+        monthly.join(bridge.select("app_id", value).distinct(), "app_id")
+        .groupBy("month", value).agg(F.sum("n").alias("interaction_count"))
     )
-    order = Window.partitionBy("month").orderBy(F.desc("interaction_count"), "tag")
-    return counted.withColumn("tag_rank", F.row_number().over(order)).filter(F.col("tag_rank") <= top)
+    order = Window.partitionBy("month").orderBy(F.desc("interaction_count"), value)
+    return counted.withColumn(f"{value}_rank", F.row_number().over(order)).filter(F.col(f"{value}_rank") <= top)
 
 
 def platform_summary(items: DataFrame, platforms: tuple[str, ...] = ("win", "mac", "linux")) -> DataFrame:
@@ -117,9 +117,12 @@ def favourite_tag(profile: DataFrame) -> DataFrame:
     return profile.groupBy("user_id").agg(F.max_by("tag", F.struct("weight", "tag")).alias("favourite_tag"))
 
 
-def user_features(interactions: DataFrame, bridge: DataFrame) -> DataFrame:
-    """User KPIs and the favourite tag."""
-    return user_kpis(interactions).join(favourite_tag(tag_profile(interactions, bridge)), "user_id", "left")
+def user_features(interactions: DataFrame, bridge: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """User KPIs, the favourite tag and, where the user table is given, owned items and reviews."""
+    owned = None if users is None else users.select(
+        "user_id", F.col("products").alias("owned_items"), F.col("reviews").alias("written_reviews"))
+    return assemble.master_table(
+        user_kpis(interactions), [favourite_tag(tag_profile(interactions, bridge)), owned], "user_id")
 
 
 def interaction_weight(recommended: Column, hours: Column, helpful: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from siltstone.context import RunContext
 from siltstone.functions import clean
-from siltstone.operators import schema
+from siltstone.operators import assemble, schema
 from siltstone.plans import gold, quality, recommend, silver
 from siltstone.reports import columns, histograms, issues, outliers, overview, profile
 from siltstone.sources import ingest, readers, sinks
@@ -71,6 +71,13 @@ def bronze_profile(job: Job) -> None:
             tables[f"bronze_{source.name}"] = schema.normalize_names(tagged)
     report = profile.profile_tables(tables).withColumn("profile_ts", job.ctx.stamp())
     job.write_report(report, job.layout.gold("data_quality"))
+    frames = [
+        profile.profile_distribution(tables[name], name, found, top=20)
+        for name, wanted in quality.DISTRIBUTION_COLUMNS.items() if name in tables
+        for found in [schema.present(tables[name], wanted)] if found
+    ]
+    if frames:
+        job.write_report(schema.union_all(frames), job.layout.gold("data_distribution"))
 
 
 def silver_reviews(job: Job) -> None:
@@ -153,20 +160,25 @@ def _interactions(job: Job) -> DataFrame:
 def gold_tables(job: Job) -> None:
     """KPIs, trends, platforms, features and training interactions."""
     facts, tags = _interactions(job), job.read(job.layout.silver("game_tags"))
-    games = job.read(job.layout.silver("games"))
+    games, texts = (job.read(job.layout.silver(n)) for n in ("games", "game_text"))
+    users = job.read(job.layout.silver("users"))
     items = games.select("app_id", *schema.present(games, [
-        "game_name", "genres", "categories", "about", "release_date_final", "positive_ratio"]),
+        "game_name", "genres", "categories", "release_date_final", "positive_ratio"]),
         F.col("is_free_clean").alias("is_free"), F.col("price_final").alias("price"),
         *[clean.to_boolean(F.col(c)).alias(c) for c in ("win", "mac", "linux")])
+    described = assemble.master_table(items, [schema.select_present(texts, ["app_id", "about_clean"])])
     features = gold.interaction_features(facts)
     with staged_tables(job.spark) as stage:
         made = {
             "game_kpis": gold.item_kpis(facts),
             "user_kpis": gold.user_kpis(facts),
-            "genre_tag_trends": gold.tag_trends(facts, tags),
+            "tag_trends": gold.tag_trends(facts, tags),
+            "genre_trends": gold.tag_trends(facts, job.read(job.layout.silver("game_genres")), value="genre"),
+            "category_trends": gold.tag_trends(
+                facts, job.read(job.layout.silver("game_categories")), value="category"),
             "platform_summary": gold.platform_summary(items),
-            "game_features": gold.item_features(items, facts, tags),
-            "user_features": gold.user_features(facts, tags),
+            "game_features": gold.item_features(described, facts, tags),
+            "user_features": gold.user_features(facts, tags, users),
             "training_interactions": gold.with_split(features),
             "game_similarity": recommend.content_similarity(tags, stage=stage),
             "game_tag_sets": recommend.tag_sets(tags),

@@ -55,6 +55,17 @@ HISTOGRAMS = {
     "users": [Bins("products", 10, 500), Bins("reviews", 5, 200)],
 }
 
+# Fixed by this engine: raw columns whose values are counted.
+DISTRIBUTION_COLUMNS = {
+    "bronze_all_reviews": ["voted_up", "language"],
+    "bronze_rec_games": ["win", "mac", "linux", "rating"],
+    "bronze_rec_recommendations": ["is_recommended"],
+    "bronze_insight_games": ["type", "is_free"],
+    "bronze_insight_tags": ["tag"],
+    "bronze_insight_genres": ["genre"],
+    "bronze_insight_categories": ["category"],
+}
+
 # The bronze table that each silver table is made of.
 BRONZE_OF = {
     "reviews": "all_reviews",

@@ -131,6 +131,8 @@ def test_reports(batch):
     assert batch.read(batch.layout.quality("outliers")).filter("table_name = 'users'").count() == 2
     profile = batch.read(batch.layout.gold("data_quality"))
     assert profile.select("table_name").distinct().count() == 13
+    spread = batch.read(batch.layout.gold("data_distribution")).filter("column_name = 'rating' AND value_rank = 1")
+    assert spread.first().value == "Good" and spread.first().distinct_count == 2
 
 
 def test_gold(batch):
@@ -138,6 +140,11 @@ def test_gold(batch):
     assert dict(bi.dtypes)["review_id"] == "string" and "timestamp_created" not in bi.columns
     kpis = {r.app_id: r for r in batch.read(batch.layout.gold("game_kpis")).collect()}
     assert kpis[1].recommend_rate == 1.0
+    users = {r.user_id: r for r in batch.read(batch.layout.gold("user_features")).collect()}
+    assert users[3].owned_items == 30 and users[3].favourite_tag is not None
+    items = {r.app_id: r for r in batch.read(batch.layout.gold("game_features")).collect()}
+    assert items[0].tags == ["common one", "tags 0"] and 0 < items[1].popularity <= 1
+    assert batch.read(batch.layout.gold("genre_trends")).filter("genre_rank = 1").count() == 1
     evaluation = batch.read(batch.layout.gold("recommendation_evaluation")).first()
     assert evaluation.users > 0
     best = batch.read(batch.layout.gold("recommendations"))
