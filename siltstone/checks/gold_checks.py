@@ -211,7 +211,7 @@ def embed_user_profile(t: Tables):
         * sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 9) AS cosine
       FROM weighted w JOIN flat f USING (app_id) JOIN profiles p ON p.user_id = w.user_id AND p.dimension = f.i - 1
       GROUP BY 1, 2)
-    SELECT user_id, app_id, round(cosine, 6) AS cosine, place FROM (SELECT *, CAST(row_number() OVER (
+    SELECT user_id, app_id, cosine, place FROM (SELECT *, CAST(row_number() OVER (
       PARTITION BY user_id ORDER BY cosine DESC, app_id) AS INTEGER) AS place FROM cosines) WHERE place <= 3""")
 def embed_neighbours(t: Tables):
     """The items a user has met that are closest to the user's profile."""
@@ -219,4 +219,4 @@ def embed_neighbours(t: Tables):
     vectors = item_embeddings(t)
     profiles = stage(recommend.user_profiles(weighted, vectors, DIMENSIONS), "profiles")
     cosines = recommend.profile_similarity(weighted, profiles, vectors, DIMENSIONS)
-    return rounded(recommend.top_n(cosines, 3, score="cosine"), "cosine")
+    return recommend.top_n(cosines, 3, score="cosine")
