@@ -83,17 +83,17 @@ def d_steps(inter: str) -> str:
     favourite AS (SELECT user_id, tag AS favourite_tag FROM (SELECT *, row_number() OVER (
         PARTITION BY user_id ORDER BY weight DESC, tag DESC) AS rn FROM profile) WHERE rn = 1),
     counts AS (SELECT app_id, count(*) AS n FROM inter GROUP BY 1),
-    popular AS (SELECT app_id, round(ln(1 + n) / (SELECT ln(1 + max(n)) FROM counts), 9) AS popularity FROM counts),
+    popular AS (SELECT app_id, round(ln(1 + n) / (SELECT ln(1 + max(n)) FROM counts), 6) AS popularity FROM counts),
     best AS (SELECT tag, app_id FROM (SELECT tag, app_id, row_number() OVER (
         PARTITION BY tag ORDER BY popularity DESC, app_id) AS place FROM bridge JOIN popular USING (app_id))
         WHERE place <= 20),
     pairs AS (SELECT f.user_id, b.app_id FROM favourite f JOIN best b ON f.favourite_tag = b.tag
         WHERE NOT EXISTS (SELECT 1 FROM inter i WHERE i.user_id = f.user_id AND i.app_id = b.app_id)),
     shares AS (SELECT user_id, tag, weight / sum(weight) OVER (PARTITION BY user_id) AS share FROM profile),
-    content AS (SELECT p.user_id, p.app_id, round(sum(share), 9) AS content_score FROM pairs p
+    content AS (SELECT p.user_id, p.app_id, sum(share) AS content_score FROM pairs p
         JOIN bridge b ON p.app_id = b.app_id JOIN shares s ON s.user_id = p.user_id AND s.tag = b.tag GROUP BY 1, 2),
     weighted AS (SELECT user_id, app_id, {D_WEIGHT} AS w FROM inter),
-    cf AS (SELECT p.user_id, p.app_id, round(coalesce(u.m, o.m) + coalesce(i.m, o.m) - o.m, 9) AS cf_score
+    cf AS (SELECT p.user_id, p.app_id, coalesce(u.m, o.m) + coalesce(i.m, o.m) - o.m AS cf_score
         FROM pairs p CROSS JOIN (SELECT avg(w) AS m FROM weighted) o
         LEFT JOIN (SELECT user_id, avg(w) AS m FROM weighted GROUP BY 1) u ON p.user_id = u.user_id
         LEFT JOIN (SELECT app_id, avg(w) AS m FROM weighted GROUP BY 1) i ON p.app_id = i.app_id),
@@ -102,9 +102,9 @@ def d_steps(inter: str) -> str:
     parts AS (SELECT user_id, app_id, coalesce((cf_score - c0) / (c1 - c0), 0) AS c,
         coalesce((content_score - t0) / (t1 - t0), 0) AS t, coalesce(popularity, 0) AS p
         FROM cf FULL OUTER JOIN content USING (user_id, app_id) LEFT JOIN popular USING (app_id), ends),
-    scored AS (SELECT user_id, app_id, round(c, 9) AS cf_score, round(t, 9) AS content_score,
-        round(p, 9) AS popularity_score,
-        round(CAST(0.5 AS DOUBLE) * c + CAST(0.3 AS DOUBLE) * t + CAST(0.2 AS DOUBLE) * p, 9) AS final_score FROM parts),
+    scored AS (SELECT user_id, app_id, round(c, 6) AS cf_score, round(t, 6) AS content_score,
+        p AS popularity_score,
+        round(CAST(0.5 AS DOUBLE) * c + CAST(0.3 AS DOUBLE) * t + CAST(0.2 AS DOUBLE) * p, 6) AS final_score FROM parts),
     ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY final_score DESC, app_id) AS INTEGER)
         AS place FROM scored)"""
 
@@ -208,7 +208,7 @@ def embed_user_profile(t: Tables):
 
 @query("embed_neighbours", f"""WITH {D_PROFILES},
     cosines AS (SELECT p.user_id, w.app_id, round(sum(v * CAST(x AS DOUBLE)) / (sqrt(sum(v * v))
-        * sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 9) AS cosine
+        * sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS cosine
       FROM weighted w JOIN flat f USING (app_id) JOIN profiles p ON p.user_id = w.user_id AND p.dimension = f.i - 1
       GROUP BY 1, 2)
     SELECT user_id, app_id, cosine, place FROM (SELECT *, CAST(row_number() OVER (
