@@ -401,7 +401,7 @@ DISTRIBUTED = ["l_returnflag", "l_linestatus", "l_linenumber", "l_partkey"]
 @query("profile_distribution", " UNION ALL ".join(f"""
     SELECT 'lineitem' AS table_name, '{c}' AS column_name, distinct_count, value_rank, value, value_count FROM (
       SELECT CAST({c} AS VARCHAR) AS value, count(*) AS value_count, count(*) OVER () AS distinct_count,
-        row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS value_rank FROM lineitem GROUP BY 1)
+        CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS INTEGER) AS value_rank FROM lineitem GROUP BY 1)
     WHERE value_rank <= 3""" for c in DISTRIBUTED))
 def profile_distribution(t: Tables):
     return profile.profile_distribution(t.lineitem, "lineitem", DISTRIBUTED)
