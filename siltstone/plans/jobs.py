@@ -123,7 +123,7 @@ def quality_issues(job: Job) -> None:
 
 def quality_columns(job: Job) -> None:
     datasets = {n: (layers.bronze, layers.silver) for n in quality.REPORTED for layers in [job.layers(n)]}
-    report = columns.column_report(job.spark, job.ctx, datasets, quality.PROFILE_COLUMNS)
+    report = columns.column_report(job.spark, job.ctx, datasets, quality.profile_columns(job.ctx.store))
     job.write_report(report, job.layout.quality("columns"))
 
 

@@ -12,7 +12,7 @@ from siltstone.reports.histograms import Bins
 # Columns compared between bronze and silver.
 PROFILE_COLUMNS = {
     "reviews": [
-        "review_id", "app_id", "author_steamid", "user_id", "review", "review_text", "voted_up",
+        "review_id", "app_id", "author_{store}id", "user_id", "review", "review_text", "voted_up",
         "is_recommended", "weighted_vote_score", "timestamp_created", "timestamp_updated",
         "author_num_games_owned", "author_num_reviews", "author_playtime_forever", "votes_up", "helpful",
         "votes_funny", "funny", "comment_count", "review_text_length", "quality_issue", "is_outlier",
@@ -25,6 +25,12 @@ PROFILE_COLUMNS = {
     "users": ["user_id", "products", "reviews", "quality_issue", "is_outlier"],
 }
 
+
+def profile_columns(store: str) -> dict[str, list[str]]:
+    """``PROFILE_COLUMNS`` with the store's own column names."""
+    return {table: [c.format(store=store) for c in names] for table, names in PROFILE_COLUMNS.items()}
+
+
 # Columns of the interquartile-range report.
 OUTLIER_COLUMNS = {
     "reviews": [

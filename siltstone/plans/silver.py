@@ -31,7 +31,7 @@ RELEASE_DAYS_AHEAD = 30
 REVIEW_NAMES = {
     "recommendationid": "review_id",
     "appid": "app_id",
-    "author_steamid": "user_id",
+    "author_{store}id": "user_id",
     "author_playtime_at_review": "hours",
     "votes_up": "helpful",
     "votes_funny": "funny",
@@ -61,6 +61,11 @@ class Silver:
     rejected: DataFrame
 
 
+def review_names(store: str) -> dict[str, str]:
+    """``REVIEW_NAMES`` with the store's own column names."""
+    return {old.format(store=store): new for old, new in REVIEW_NAMES.items()}
+
+
 def review_booleans(store: str) -> list[str]:
     return [
         "is_recommended",
@@ -102,7 +107,7 @@ def _split(judged: DataFrame, rule_set: list[rules.Rule]) -> tuple[DataFrame, Da
 def silver_reviews(df: DataFrame, ctx: RunContext, stage: Stage = write_stage,
                    accuracy: int | None = None) -> Silver:
     """Reviews: only key issues and repeated ids reject; the rest stays annotated."""
-    df = clean.clean_strings(schema.rename_present(df, REVIEW_NAMES))
+    df = clean.clean_strings(schema.rename_present(df, review_names(ctx.store)))
     longs = [c for c in [*REVIEW_KEYS, *REVIEW_COUNTS] if c not in REVIEW_DOUBLES]
     booleans = schema.present(df, review_booleans(ctx.store))
     times = schema.present(df, REVIEW_TIMES)

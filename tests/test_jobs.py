@@ -35,7 +35,7 @@ def raw_batch(root: Path, batch: str, users: int = 12) -> None:
     reviews.append(["", 1, 1, 1, 1, 1, "no id", "1", 0.1, 1700000000, 1700000000])
     reviews.append([reviews[0][0], 1, 1, -4, 1, 1, "", "1", 7, 1700000000, 1700000000])
     write_csv(raw / f"all_reviews/batch_date={batch}/a.csv.gz",
-              ["recommendationid", "appid", "author_steamid", "author_playtime_at_review", "votes_up", "votes_funny",
+              ["recommendationid", "appid", "author_storeid", "author_playtime_at_review", "votes_up", "votes_funny",
                "review", "voted_up", "weighted_vote_score", "timestamp_created", "timestamp_updated"], reviews, True)
     rec = raw / f"recommendations/batch_date={batch}"
     write_csv(rec / "games.csv", ["app_id", "title", "date_release", "win", "mac", "linux", "rating",

@@ -64,7 +64,7 @@ def test_rejected_first_row_takes_its_copies_along(spark, ctx, no_stage):
 def test_every_copy_of_a_review_is_rejected(spark, ctx, no_stage):
     reviews = spark.createDataFrame(
         [(1, 1, 1, "a"), (1, 1, 1, "a"), (2, 1, 1, "b"), (3, None, 1, "c"), (4, 1, 1, "")],
-        "recommendationid int, appid int, author_steamid int, review string")
+        "recommendationid int, appid int, author_storeid int, review string")
     made = silver.silver_reviews(reviews, ctx, no_stage)
     assert sorted(r.review_id for r in made.rejected.collect()) == [1, 1, 3]
     assert {r.review_id: r.quality_issue for r in made.valid.collect()} == {2: None, 4: "empty_review_text"}
