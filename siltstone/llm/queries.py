@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, files, rans, separators
+from siltstone.llm import boosting, bpe, files, kernel, rans, separators, stats
 from siltstone.sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,23 @@ def op3(spark: SparkSession, path: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op4_boosted_rules")
+def op4(spark: SparkSession, path: str) -> DataFrame:
+    """Counts of all documents, the base rules and the verdict of the trees."""
+    measured = stage(stats.measure(table(spark, path, "documents")), "measured")
+    forest = boosting.learn(measured, table(spark, path, "labels"))
+    return boosting.judge(measured, forest).select("doc_id", *stats.COUNTS, "base_failed", "kept", "score")
+
+
+@query("op5_kernel_ridge")
+def op5(spark: SparkSession, path: str) -> DataFrame:
+    """Quality scores of all documents."""
+    measured = stage(stats.measure(table(spark, path, "documents")), "measured")
+    model = kernel.learn(measured, table(spark, path, "labels"))
+    return kernel.score(measured, model).select(
+        "doc_id", (kernel.fold_of() == 1).alias("held_out"), "score", "predicted")
+
+
 @query("op9_rans")
 def op9(spark: SparkSession, path: str) -> DataFrame:
     """Ids of all documents, read back from the coded files."""
