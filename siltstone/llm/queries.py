@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import boosting, bpe, files, kernel, rans, separators, stats
+from siltstone.llm import boosting, bpe, contamination, files, kernel, rans, separators, stats
 from siltstone.sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def op9(spark: SparkSession, path: str) -> DataFrame:
     manifest = stage(rans.write(tokenized, coded, files.shared_folder(spark, "rans")), "rans")
     return rans.read(manifest, coded).select(
         "doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op10_decontamination")
+def op10(spark: SparkSession, path: str) -> DataFrame:
+    """Documents that contain a test item, as it is or edited, and the share of the item that aligns."""
+    return contamination.matches(table(spark, path, "documents"), table(spark, path, "benchmark"))
