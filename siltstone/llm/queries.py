@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import boosting, bpe, contamination, files, kernel, rans, separators, stats
+from siltstone.llm import boosting, bpe, contamination, files, kernel, rans, separators, setjoin, stats
 from siltstone.sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,12 @@ def op5(spark: SparkSession, path: str) -> DataFrame:
         "doc_id", (kernel.fold_of() == 1).alias("held_out"), "score", "predicted")
 
 
+@query("op6_setjoin")
+def op6(spark: SparkSession, path: str) -> DataFrame:
+    """Near duplicates of four-word shingles."""
+    return setjoin.linked(table(spark, path, "documents"), setjoin.Rule(shingle=4, percent=80))
+
+
 @query("op9_rans")
 def op9(spark: SparkSession, path: str) -> DataFrame:
     """Ids of all documents, read back from the coded files."""
