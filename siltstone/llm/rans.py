@@ -22,6 +22,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -143,7 +144,8 @@ def unpack(table: Table, block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarr
 def tokenize(docs: DataFrame, path: str, end_id: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Blocks of whole documents in ascending order of doc_id: (block, doc_ids, lengths, ids).
 
-    ``ids`` are 16-bit unsigned integers where the vocabulary allows it, else 32-bit, each text followed by ``end_id``.
+    ``ids`` are compressed 16-bit unsigned integers where the vocabulary allows it, else 32-bit, each text
+    followed by ``end_id``.
     """
     def run(batches):
         coder, partition, n, kept, size = byte_tokenizer(path), TaskContext.get().partitionId(), 0, [], 0
@@ -155,7 +157,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, block_tokens: int = BLOCK_
                 "block": [(partition << 32) + n],
                 "doc_ids": pa.array([[i for k in kept for i in k[0]]], pa.list_(pa.int64())),
                 "lengths": pa.array([np.concatenate([k[1] for k in kept])], pa.list_(pa.int64())),
-                "width": pa.array([np.dtype(kind).itemsize], pa.int32()), "ids": [b"".join(k[2] for k in kept)]})
+                "width": pa.array([np.dtype(kind).itemsize], pa.int32()), "ids": [zstandard.compress(b"".join(k[2] for k in kept), 1)]})
             n, kept, size = n + 1, [], 0
             return out
 
@@ -175,7 +177,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int, block_tokens: int = BLOCK_
 
 
 def _ids(row: dict) -> np.ndarray:
-    return np.frombuffer(row["ids"], f"<u{row['width']}")
+    return np.frombuffer(zstandard.decompress(row["ids"]), f"<u{row['width']}")
 
 
 def count(tokenized: DataFrame) -> DataFrame:
@@ -243,5 +245,6 @@ def read(manifest: DataFrame, table: Table) -> DataFrame:
                     "ids": pa.array([p.tobytes() for p in np.split(ids.astype("<u4"), ends[1:-1])] if len(doc_ids) else [],
                                     pa.binary())})
 
-    starts = files.with_starts(manifest, "n_tokens", "start").repartition("block")
+    # A block is much work and a short row, so the rows are dealt out by number, not by their bytes.
+    starts = files.with_starts(manifest, "n_tokens", "start").repartition(max(1, manifest.count()), "block")
     return starts.select("file", "at", "n_bytes", "start").mapInArrow(run, "doc_id long, start long, ids binary")

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from siltstone.llm import words
 
 #: Pieces that a worker remembers; it forgets all when it has more.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 450_000
 ODD_SPACE = r" (\s|\p{Z}|\x{1c}|\x{1d}|\x{1e}|\x{1f}|\x{85}|$)"
 
 
