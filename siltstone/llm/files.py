@@ -21,7 +21,7 @@ from siltstone.llm import words
 from siltstone.sources.staging import staging_path
 
 #: Text bytes of a block: what one task holds at a time, some fifteen times over while it works.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -65,7 +65,7 @@ def file_sizes(folder: str) -> list[tuple[str, int]]:
 
 
 def write_blocks(docs: DataFrame, folder: str, limit: int = BLOCK_BYTES) -> DataFrame:
-    """Write (doc_id, text) rows as block files in the order given.
+    """Write all rows and columns as block files in the order given.
 
     Returns (block, file, n_rows) lazily; stage it before it is read twice. A block's number tells its
     place: Spark's partition, then the block in it.
@@ -94,7 +94,7 @@ def write_blocks(docs: DataFrame, folder: str, limit: int = BLOCK_BYTES) -> Data
         if kept:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "block long, file string, n_rows long")
+    return docs.mapInArrow(run, "block long, file string, n_rows long")
 
 
 def read_block(file: str) -> pa.RecordBatch:

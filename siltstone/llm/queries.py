@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import boosting, bpe, contamination, files, kernel, rans, separators, setjoin, stats
+from siltstone.llm import boosting, bpe, contamination, files, kernel, rans, separators, setjoin, stats, suffixes
 from siltstone.sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,15 @@ def op6(spark: SparkSession, path: str) -> DataFrame:
     return setjoin.linked(table(spark, path, "documents"), setjoin.Rule(shingle=4, percent=80))
 
 
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, path: str) -> DataFrame:
+    """Documents without the 50-byte strings that start in an earlier one."""
+    found = suffixes.deduplicated(table(spark, path, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op9_rans")
 def op9(spark: SparkSession, path: str) -> DataFrame:
     """Ids of all documents, read back from the coded files."""
