@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from siltstone.llm import words
 
 #: Entries that a worker remembers of each kind; it forgets all of a kind when it has more.
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 300_000
 _END = "\n"  # marks the last symbol of a word; no byte is written as this character
 
 
@@ -42,7 +42,7 @@ def _byte_alphabet() -> list[str]:
 
 
 class PrefixBpe:
-    """Encoder and decoder of a BPE vocabulary whose words end in a suffix."""
+    """Encoder of a BPE vocabulary whose words end in a suffix."""
 
     def __init__(self, path: str):
         with open(path) as file:
@@ -60,10 +60,6 @@ class PrefixBpe:
         self.ids = {self._inner(t): i for t, i in model["vocab"].items()}
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.rank = {(self._inner(a), self._inner(b)): i for i, (a, b) in enumerate(pairs)}
-        top = max([*model["vocab"].values(), *self.special.values()])
-        self.names = [""] * (top + 1)
-        for name, i in [*model["vocab"].items(), *self.special.items()]:
-            self.names[i] = name
         self.matches = ahocorasick.Automaton()
         for token in self.ids:
             self.matches.add_word(token, token)
@@ -161,14 +157,24 @@ class PrefixBpe:
         ids = np.frombuffer(b"".join(parts), np.uint32)[words.spread(at[codes], each)]
         return ids, words.offsets(each)[starts]
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The names of the tokens with a space between, special tokens included."""
-        return " ".join(map(self.names.__getitem__, ids.tolist()))
+
+@lru_cache(maxsize=2)
+def token_names(path: str) -> list[str]:
+    """The name of each id; a decoder needs nothing else."""
+    with open(path) as file:
+        spec = json.load(file)
+    named = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return [named.get(i, "") for i in range(max(named) + 1)]
+
+
+def decoded(names: list[str], ids: np.ndarray) -> str:
+    """The names of the tokens with a space between, special tokens included."""
+    return " ".join(map(names.__getitem__, ids.tolist()))
 
 
 @lru_cache(maxsize=2)
 def prefix_bpe(path: str) -> PrefixBpe:
-    """One coder for each worker process."""
+    """One encoder for each worker process."""
     return PrefixBpe(path)
 
 
@@ -189,14 +195,14 @@ def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids") -
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the text that an array of ids stands for; null ids are none."""
     def run(batches):
-        coder = prefix_bpe(path)
+        names = token_names(path)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 lists = pc.fill_null(batch.column(ids), [])
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 starts = words.offsets(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).tolist()
-                out = [coder.decode(flat[a:b]) for a, b in zip(starts, starts[1:])]
+                out = [decoded(names, flat[a:b]) for a, b in zip(starts, starts[1:])]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, text])
 
     kept = encoded.drop(text)
