@@ -97,10 +97,10 @@ def write_blocks(docs: DataFrame, folder: str, limit: int = BLOCK_BYTES) -> Data
     return docs.mapInArrow(run, "block long, file string, n_rows long")
 
 
-def read_block(file: str) -> pa.RecordBatch:
+def read_block(file: str, columns: list[str] | None = None) -> pa.RecordBatch:
     """The rows of a block file, in the order in which they were written."""
     store, path = opened(file)
-    return pq.read_table(path, filesystem=store).combine_chunks().to_batches()[0]
+    return pq.read_table(path, filesystem=store, columns=columns).combine_chunks().to_batches()[0]
 
 
 def texts(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import boosting, bpe, contamination, files, kernel, rans, separators, setjoin, stats, suffixes
+from siltstone.llm import boosting, bpe, chat, contamination, crossentropy, files, kernel, rans, separators, setjoin, stats, suffixes
 from siltstone.sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,34 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
+@query("op1_chat_tree", """
+    WITH c AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+      UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+    f AS (SELECT *, replace(replace(replace(text, '\\', '\\\\'), '###', '\\###'), '</turn>', '\\</turn>') AS shown FROM c)
+    SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+      CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      CAST(sum(length('### ' || role || ': ' || shown || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+    FROM f GROUP BY conv_id""")
+def op1(spark: SparkSession, path: str) -> DataFrame:
+    """All conversations, packed as a prefix tree and read back from it."""
+    said = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    rows = table(spark, path, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    branches, conversations = chat.packed(rows, tokenizer)
+    text = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    learned = F.concat_ws("", "learned")
+    found = stage(chat.turns(chat.unpacked(branches, tokenizer)).select(
+        "leaf", F.size("turns").cast("long").alias("n_turns"), F.sha2(text, 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars")), "read-back")
+    return conversations.join(found, "leaf").drop("leaf")
+
+
 @query("op2_separator_scan")
 def op2(spark: SparkSession, path: str) -> DataFrame:
     """Token counts of all documents, found in flat token files."""
@@ -84,6 +112,13 @@ def op7(spark: SparkSession, path: str) -> DataFrame:
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op8_cross_entropy_difference")
+def op8(spark: SparkSession, path: str) -> DataFrame:
+    """Losses of all documents under models of the well-rated documents and of all."""
+    good = table(spark, path, "labels").filter("quality = 1").select("doc_id")
+    return crossentropy.score(table(spark, path, "documents"), good)
+
+
 @query("op9_rans")
 def op9(spark: SparkSession, path: str) -> DataFrame:
     """Ids of all documents, read back from the coded files."""
