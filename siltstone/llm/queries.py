@@ -64,7 +64,7 @@ def op2(spark: SparkSession, path: str) -> DataFrame:
     written = stage(separators.write_flat(table(spark, path, "documents"), folder, tokenizer, separator), "flat-docs")
     names = written.select("file").distinct()
     sizes = spark.createDataFrame(files.file_sizes(folder), "file string, n_bytes long").join(names, "file", "left_semi")
-    found = separators.scan_flat(spark, sizes, separator)
+    found = separators.scan_flat(sizes, separator, separators.width_of(tokenizer, separator))
     return written.join(found, ["file", "place"], "left").select("doc_id", "n_tokens", "terminated")
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm import files, words
@@ -23,10 +23,15 @@ from siltstone.llm.tokens import byte_tokenizer
 BLOCK_TOKENS = 1 << 22
 
 
+def width_of(path: str, separator: int) -> int:
+    """Bytes of an id: 2 if the vocabulary and the separator allow it, else 4."""
+    return 2 if max(byte_tokenizer(path, special_as_text=True).n_ids, separator + 1) <= 1 << 16 else 4
+
+
 def write_flat(docs: DataFrame, folder: str, path: str, separator: int) -> DataFrame:
-    """Write the ids of whole texts in ascending order of doc_id, each followed by ``separator``.
+    """Write the ids of whole texts as they come, each followed by ``separator``.
 
-    One flat file of unsigned 32-bit little-endian ids for each task. The string of the separator
+    One flat file of unsigned little-endian ids for each task, as wide as ``width_of`` says. The string of the separator
     inside a text is ordinary text. Null texts are empty. Returns (file, place, doc_id) lazily:
     the place of each document in its file; stage it, then the files are there.
     """
@@ -34,32 +39,31 @@ def write_flat(docs: DataFrame, folder: str, path: str, separator: int) -> DataF
         file = files.new_file(folder, ".bin")
         store, name = files.opened(file)
         store.create_dir(name.rsplit("/", 1)[0], recursive=True)
-        coder, place = byte_tokenizer(path, special_as_text=True), 0
+        coder, place, kind = byte_tokenizer(path, special_as_text=True), 0, f"<u{width_of(path, separator)}"
         with store.open_output_stream(name, compression=None) as out:
             for batch in batches:
                 for step in words.steps(batch):
                     ids, starts = coder.encode(step.column("text"))
-                    out.write(np.insert(ids, starts[1:], separator).astype("<u4").tobytes())
+                    out.write(np.insert(ids, starts[1:], separator).astype(kind).tobytes())
                     n = step.num_rows
                     yield pa.RecordBatch.from_pydict({
                         "file": [file] * n, "place": pa.array(range(place, place + n), pa.int64()),
                         "doc_id": step.column("doc_id")})
                     place += n
 
-    return files.ordered(docs).mapInArrow(run, "file string, place long, doc_id long")
+    return docs.select("doc_id", "text").mapInArrow(run, "file string, place long, doc_id long")
 
 
-def scan_flat(spark: SparkSession, sizes: DataFrame, separator: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Documents of flat files, given as (file, n_bytes).
+def scan_flat(sizes: DataFrame, separator: int, width: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Documents of flat files with ids of ``width`` bytes, given as (file, n_bytes).
 
     Returns (file, place, start, n_tokens, terminated): the start in tokens of the file, the number without
     the separator.
     """
-    width = 4
     step = block_tokens * width
     blocks = (sizes.filter("n_bytes > 0")
               .select("file", "n_bytes", F.explode(F.sequence(F.lit(0), F.expr(f"(n_bytes - 1) div {step}"))).alias("block"))
-              .repartition("file", "block"))
+              .repartition(max(1, sizes.agg(F.sum(F.ceil(F.col("n_bytes") / step))).first()[0] or 1), "file", "block"))
 
     def run(batches):
         for batch in batches:
@@ -67,7 +71,7 @@ def scan_flat(spark: SparkSession, sizes: DataFrame, separator: int, block_token
                 if n_bytes % width:
                     raise ValueError(f"{file}: {n_bytes} bytes are not whole tokens")
                 begin = block * step
-                ids = np.frombuffer(files.read_bytes(file, begin, min(step, n_bytes - begin)), "<u4")
+                ids = np.frombuffer(files.read_bytes(file, begin, min(step, n_bytes - begin)), f"<u{width}")
                 ends = np.flatnonzero(ids == separator) + begin // width
                 last = begin // width + len(ids)
                 yield pa.RecordBatch.from_pydict({
