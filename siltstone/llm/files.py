@@ -7,7 +7,11 @@ rows that it returns; files of lost attempts are in no row and nobody reads them
 
 from __future__ import annotations
 
+import io
+import os
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +26,7 @@ from siltstone.sources.staging import staging_path
 
 #: Text bytes of a block: what one task holds at a time, some fifteen times over while it works.
 BLOCK_BYTES = 4 << 20
+_SHIPPED: set[int] = set()
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -131,3 +136,18 @@ def ordered(docs: DataFrame) -> DataFrame:
     """(doc_id, text) in ascending order of doc_id over all tasks; equal ids by a hash of the text, null ids first."""
     tie = F.xxhash64("text")  # and not the text itself: Spark samples the keys to find the ranges
     return docs.select("doc_id", "text").repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the workers of a session that was started elsewhere than in its folder."""
+    root = Path(__file__).resolve().parents[2]
+    if str(root) in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] or id(spark.sparkContext) in _SHIPPED:
+        return
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as archive:
+        for file in sorted((root / "siltstone").rglob("*.py")):
+            archive.write(file, file.relative_to(root))
+    uri = f"{shared_folder(spark, 'package')}/siltstone.zip"
+    write_bytes(uri, [content.getvalue()])
+    spark.sparkContext.addPyFile(uri)
+    _SHIPPED.add(id(spark.sparkContext))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm import stats
+from siltstone.llm import stats, words
 from siltstone.llm.boosting import labelled
 
 DIMENSIONS = 160
@@ -157,3 +157,15 @@ def score(measured: DataFrame, model: Model) -> DataFrame:
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in measured.schema)
     return measured.mapInArrow(run, f"{fields}, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents whose score is 0.5 or more, with all their columns."""
+    def run(batches):
+        for batch in batches:
+            for step in words.steps(batch):
+                found = stats.statistics(step.column("text"))
+                x = np.column_stack([found[f] for f in stats.FEATURES])
+                yield step.filter(pa.array(model.score(x) >= 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

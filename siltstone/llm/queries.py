@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ def query(name: str, oracle: str | None = None):
 
 
 def table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    files.ship(spark)
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
@@ -134,3 +136,6 @@ def op9(spark: SparkSession, path: str) -> DataFrame:
 def op10(spark: SparkSession, path: str) -> DataFrame:
     """Documents that contain a test item, as it is or edited, and the share of the item that aligns."""
     return contamination.matches(table(spark, path, "documents"), table(spark, path, "benchmark"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
