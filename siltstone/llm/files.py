@@ -25,7 +25,7 @@ from siltstone.llm import words
 from siltstone.sources.staging import staging_path
 
 #: Text bytes of a block: what one task holds at a time, some fifteen times over while it works.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 _SHIPPED: set[int] = set()
 
 

@@ -38,7 +38,7 @@ from siltstone.sources.staging import stage
 
 LENGTH = 50
 ANCHOR = 16
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Odd multipliers of the hash of runs of 2, 4, 8 and 16 bytes.
 FACTORS = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -139,7 +139,6 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> Itera
     In pieces, so a text of any length needs little memory.
     """
     window = length - ANCHOR + 1
-    bounds = np.repeat(starts[1:], np.diff(starts)) if len(data) else np.empty(0, np.int64)
     for at in range(0, len(data) - length + 1, PIECE):
         part = data[at:at + PIECE + length - 1].astype(np.uint64)
         count = len(part) - length + 1
@@ -155,11 +154,13 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> Itera
             width *= 2
         least = np.minimum(least[:count], least[window - width:window - width + count])
         place = (least & np.uint64(0xFFFFFF)).astype(np.int64)
-        valid = np.flatnonzero(at + np.arange(count) + length <= bounds[at:at + count])
+        # Strings that end in the text in which they start.
+        text = np.searchsorted(starts, np.arange(at, at + count), side="right")
+        valid = np.flatnonzero(at + np.arange(count) + length <= starts[text])
         if not len(valid):
             continue
         new = np.ones(len(valid), bool)
-        new[1:] = (np.diff(valid) != 1) | (np.diff(place[valid]) != 0) | (np.diff(bounds[at + valid]) != 0)
+        new[1:] = (np.diff(valid) != 1) | (np.diff(place[valid]) != 0) | (np.diff(text[valid]) != 0)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(valid)) - 1
         yield h[place[valid[first]]], at + valid[first], at + valid[last]
