@@ -200,7 +200,7 @@ def _ask(manifest: DataFrame, buckets: int, length: int) -> DataFrame:
                 order = np.lexsort((doc, h))
                 h, doc = h[order], doc[order]
                 first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.empty(0, np.int64)
-                last = np.append(first[1:], len(h)) - 1
+                last = np.append(first[1:], len(h))[:len(first)] - 1
                 hashes, several = h[first], doc[first] != doc[last]
                 cuts = np.searchsorted(_bucket(hashes, buckets), np.arange(buckets + 1))
                 full = np.flatnonzero(np.diff(cuts))
