@@ -67,7 +67,8 @@ def op2(spark: SparkSession, path: str) -> DataFrame:
     names = written.select("file").distinct()
     sizes = spark.createDataFrame(files.file_sizes(folder), "file string, n_bytes long").join(names, "file", "left_semi")
     found = separators.scan_flat(sizes, separator, separators.width_of(tokenizer, separator))
-    return written.join(found, ["file", "place"], "left").select("doc_id", "n_tokens", "terminated")
+    # Both sides have a row for each document, and file names shrink so well that they look fit for a broadcast.
+    return written.hint("merge").join(found, ["file", "place"], "left").select("doc_id", "n_tokens", "terminated")
 
 
 @query("op3_bpe")
