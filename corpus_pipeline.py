@@ -13,6 +13,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.llm import bpe, contamination, files, kernel, setjoin, stats, suffixes
 from siltstone.sources.staging import stage
@@ -45,7 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return named.filter(F.col(place) == 1).select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _text(kept: pd.Series) -> pd.Series:
     """Text of the bytes that are left; a character of which a byte is gone goes too."""
     return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
