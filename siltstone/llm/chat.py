@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm import files
+from siltstone.llm import files, words
 from siltstone.llm.tokens import byte_tokenizer
 from siltstone.sources.staging import stage
 
@@ -67,7 +67,7 @@ def _paths(conversations: DataFrame) -> DataFrame:
         "conv_id", F.col("turns.role").alias("roles"), F.col("turns.text").alias("texts"))
 
     def run(batches):
-        for batch in batches:
+        for batch in words.few(batches):
             paths = []
             for roles, texts in zip(batch.column("roles").to_pylist(), batch.column("texts").to_pylist()):
                 path, last = [], b""
@@ -89,7 +89,7 @@ def _tokens(tokenizer: str):
     """Per distinct conversation: the ids of the turns that it owns, their ends and the spans under the loss mask."""
     def run(batches):
         coder = byte_tokenizer(tokenizer, special_as_text=True)
-        for batch in batches:
+        for batch in words.few(batches):
             parts, shape = [], []
             for shared, roles, texts in zip(*(batch.column(c).to_pylist() for c in ("shared", "roles", "texts"))):
                 own = list(zip(roles, texts))[shared:]
@@ -171,7 +171,7 @@ def unpacked(branches: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches):
         library = byte_tokenizer(tokenizer, special_as_text=True).library
-        for batch in batches:
+        for batch in words.few(batches):
             formatted, learned = [], []
             for steps in batch.column("parts").to_pylist():
                 ids = [i for s in steps for i in s["ids"]]
@@ -188,7 +188,7 @@ def unpacked(branches: DataFrame, tokenizer: str) -> DataFrame:
 def turns(unpacked_: DataFrame) -> DataFrame:
     """Add ``turns``, the (role, text) of all turns found in the formatted text."""
     def run(batches):
-        for batch in batches:
+        for batch in words.few(batches):
             found = [[{"role": r, "text": t} for r, t in parsed(f)] for f in batch.column("formatted").to_pylist()]
             kind = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*batch.schema.names, "turns"])

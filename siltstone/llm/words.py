@@ -37,6 +37,13 @@ def steps(batch: pa.RecordBatch, column: str = "text", limit: int = STEP_BYTES)
         yield batch.slice(begin, end - begin)
 
 
+def few(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, for work that makes Python objects of nested columns."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def offsets(counts: np.ndarray) -> np.ndarray:
     """Starts of runs with these lengths, and the end of the last."""
     return np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
