@@ -163,7 +163,8 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int = LENGTH) -> Itera
         new[1:] = (np.diff(valid) != 1) | (np.diff(place[valid]) != 0) | (np.diff(text[valid]) != 0)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(valid)) - 1
-        yield h[place[valid[first]]], at + valid[first], at + valid[last]
+        # Least hashes are small numbers; mixed once more they spread over all buckets.
+        yield words.mixed(h[place[valid[first]]]), at + valid[first], at + valid[last]
 
 
 def _of_block(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, ...]:
@@ -232,23 +233,34 @@ def _surroundings(buckets: int, length: int):
     def run(table: pa.Table) -> pa.Table:
         block, file = table["block"][0].as_py(), next((f for f in table["file"].to_pylist() if f), None)
         shared = np.sort(_joined(table, "hashes", np.uint64))
-        out: dict[str, list] = {c: [] for c in ("bucket", "block", "hashes", "docs", "rows", "firsts", "sizes", "bytes")}
+        out: dict[str, list] = {c: [] for c in ("bucket", "block", "hashes", "docs", "rows", "times", "firsts", "sizes", "bytes")}
         if len(shared):
             batch = files.read_block(file)
             data, starts, h, first, last, row = _of_block(batch, length)
             at = np.minimum(np.searchsorted(shared, h), len(shared) - 1)
             kept = np.flatnonzero(shared[at] == h)
-            kept = kept[np.argsort(_bucket(h[kept], buckets), kind="stable")]
             h, first, row, size = h[kept], first[kept], row[kept], last[kept] - first[kept] + length
+            # Equal surroundings in one document are one entry with several places.
+            raw = memoryview(data)
+            digest = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:a + n]) for a, n in zip(first.tolist(), size.tolist())),
+                                 np.uint64, len(h))
+            key = words.mixed(words.mixed(digest + h * FACTORS[0]) + row.astype(np.uint64) * FACTORS[1])
+            bucket = _bucket(h, buckets)
+            order = np.lexsort((key, bucket))
+            key, bucket, first = key[order], bucket[order], first[order]
+            entry = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1]))) if len(key) else order
+            h, row, size = (v[order][entry] for v in (h, row, size))
+            times = np.diff(np.append(entry, len(key))).astype(np.uint32)
             doc = batch.column("doc_id").fill_null(0).to_numpy()[row]
-            cuts = np.searchsorted(_bucket(h, buckets), np.arange(buckets + 1))
+            cuts = np.searchsorted(bucket[entry], np.arange(buckets + 1))
+            places = np.append(entry, len(key))[cuts]
             for b in np.flatnonzero(np.diff(cuts)):
-                s = slice(cuts[b], cuts[b + 1])
+                s, p = slice(cuts[b], cuts[b + 1]), slice(places[b], places[b + 1])
                 for name, value in (("bucket", int(b)), ("block", block), ("hashes", _blob(h[s])), ("docs", _blob(doc[s])),
-                                    ("rows", _blob(row[s].astype(np.uint32))),
-                                    ("firsts", _blob((first[s] - starts[row[s]]).astype(np.int64))),
+                                    ("rows", _blob(row[s].astype(np.uint32))), ("times", _blob(times[s])),
+                                    ("firsts", _blob(first[p] - np.repeat(starts[row[s]], times[s]))),
                                     ("sizes", _blob(size[s].astype(np.uint16))),
-                                    ("bytes", _blob(data[words.spread(first[s], size[s])]))):
+                                    ("bytes", _blob(data[words.spread(first[entry[s]], size[s])]))):
                     out[name].append(value)
         return pa.table({c: pa.array(v, pa.int64() if c in ("bucket", "block") else pa.binary()) for c, v in out.items()})
 
@@ -258,8 +270,9 @@ def _surroundings(buckets: int, length: int):
 def _ranges(length: int):
     """Per bucket: the byte ranges that equal strings in earlier documents cover."""
     def run(table: pa.Table) -> pa.Table:
-        h, doc, row, first, size = (_joined(table, c, k) for c, k in (
-            ("hashes", np.uint64), ("docs", np.int64), ("rows", np.uint32), ("firsts", np.int64), ("sizes", np.uint16)))
+        h, doc, row, times, first, size = (_joined(table, c, k) for c, k in (
+            ("hashes", np.uint64), ("docs", np.int64), ("rows", np.uint32), ("times", np.uint32), ("firsts", np.int64),
+            ("sizes", np.uint16)))
         size = size.astype(np.int64)
         text = b"".join(table["bytes"].to_pylist())
         ends = words.offsets(size)
@@ -267,7 +280,7 @@ def _ranges(length: int):
         # Equal surroundings are one entry with the least doc_id.
         digest = np.fromiter(map(xxhash.xxh3_64_intdigest, (text[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist()))),
                              np.uint64, len(h))
-        _, entry_at, entry = np.unique(words.mixed(digest + h * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_inverse=True)
+        _, entry_at, entry = np.unique(words.mixed(digest + h * FACTORS[0]), return_index=True, return_inverse=True)
         least = np.full(len(entry_at), np.iinfo(np.int64).max)
         np.minimum.at(least, entry, doc)
         n_windows = size[entry_at] - length + 1
@@ -288,7 +301,7 @@ def _ranges(length: int):
             runs = np.flatnonzero(~same_as_before(data, order, length))
             docs = np.minimum.reduceat(earliest[window[order]], runs)
             earliest[window[order]] = np.repeat(docs, np.diff(np.append(runs, len(order))))
-        # Windows of each occurrence, then runs of covered windows.
+        # Windows of each entry of a document, then runs of covered windows, at each of its places.
         count = n_windows[entry]
         covered = earliest[words.spread(window_at[entry], count)] < np.repeat(doc, count)
         index = np.flatnonzero(covered)
@@ -299,10 +312,14 @@ def _ranges(length: int):
         end = np.append(begin[1:], len(index)) - 1
         o = occurrence[begin]
         place = index - (np.cumsum(count) - count)[occurrence]
-        start, stop = first[o] + place[begin], first[o] + place[end] + length
+        times = times.astype(np.int64)
+        at = words.spread((np.cumsum(times) - times)[o], times[o])
+        start = first[at] + np.repeat(place[begin], times[o])
+        stop = first[at] + np.repeat(place[end] + length, times[o])
+        o = np.repeat(o, times[o])
         turn = np.argsort(owner[o], kind="stable")
-        blocks, at = np.unique(owner[o][turn], return_index=True)
-        cuts = [*at.tolist(), len(turn)]
+        blocks, begins = np.unique(owner[o][turn], return_index=True)
+        cuts = [*begins.tolist(), len(turn)]
         parts = [turn[a:b] for a, b in zip(cuts, cuts[1:])]
         return pa.table({
             "block": pa.array(blocks, pa.int64()), "rows": pa.array([_blob(row[o[p]]) for p in parts], pa.binary()),
@@ -349,7 +366,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     # Numbers of tasks are given: what is shuffled is little next to the work that it stands for.
     shared = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared_anchors, "block long, hashes binary")
     sent = (shared.unionByName(manifest, allowMissingColumns=True).repartition(buckets, "block").groupBy("block").applyInArrow(
-        _surroundings(buckets, length), "bucket long, block long, hashes binary, docs binary, rows binary, firsts binary, "
+        _surroundings(buckets, length), "bucket long, block long, hashes binary, docs binary, rows binary, times binary, firsts binary, "
                                         "sizes binary, bytes binary"))
     ranges = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_ranges(length), "block long, rows binary, starts binary, stops binary")
     names = [c for c in docs.columns if c != "text"]
