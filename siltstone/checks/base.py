@@ -117,15 +117,21 @@ def verify_row_counts(t: Tables):
 
 @query("sink_batch_overwrite", """
     SELECT '2024-01-01' AS batch_date, count(*) AS n FROM customer WHERE c_custkey % 2 = 1
-    UNION ALL SELECT '2024-01-02', count(*) FROM customer""")
+    UNION ALL SELECT '2024-01-02', count(*) FROM customer
+    UNION ALL SELECT 'empty', 0""")
 def sink_batch_overwrite(t: Tables):
-    """A second batch keeps the first; a re-run replaces its own batch."""
+    """A second batch keeps the first; a re-run replaces its own batch, also by nothing."""
     path = staging_path(t.spark, "batches")
     sinks.write_batch(t.customer, path, "2024-01-01")
     sinks.write_batch(t.customer, path, "2024-01-02")
     sinks.write_batch(t.customer.filter("c_custkey % 2 = 1"), path, "2024-01-01")
-    return (t.spark.read.parquet(path).groupBy(F.col("batch_date").cast("string").alias("batch_date"))
-            .agg(F.count("*").alias("n")))
+    sinks.write_batch(t.customer, path, "2024-01-03")
+    sinks.write_batch(t.customer.limit(0), path, "2024-01-03")
+    sinks.write_batch(t.customer.limit(0), f"{path}-empty", "2024-01-01")
+    batches = (t.spark.read.parquet(path).groupBy(F.col("batch_date").cast("string").alias("batch_date"))
+               .agg(F.count("*").alias("n")))
+    empty = t.spark.read.parquet(f"{path}-empty").agg(F.lit("empty").alias("batch_date"), F.count("*").alias("n"))
+    return batches.unionByName(empty)
 
 
 @query("publish_tables", """

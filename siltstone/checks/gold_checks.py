@@ -9,8 +9,6 @@ from siltstone.checks.registry import Tables, query
 from siltstone.plans import gold, recommend
 from siltstone.sources.staging import stage
 
-DIMENSIONS = 64
-
 
 def interactions(t: Tables) -> DataFrame:
     """Typed: the recommendation flag as a boolean."""
@@ -42,11 +40,9 @@ def gold_user_kpis(t: Tables):
 
 
 @query("gold_tag_trends", """
-    SELECT month, tag, interaction_count, CAST(tag_rank AS INTEGER) AS tag_rank FROM (
-      SELECT month, tag, count(*) AS interaction_count,
-        row_number() OVER (PARTITION BY month ORDER BY count(*) DESC, tag) AS tag_rank
-      FROM interactions JOIN (SELECT DISTINCT app_id, tag FROM item_tags) USING (app_id) GROUP BY 1, 2)
-    WHERE tag_rank <= 5""")
+    SELECT month, tag, count(*) AS interaction_count,
+      CAST(row_number() OVER (PARTITION BY month ORDER BY count(*) DESC, tag) AS INTEGER) AS tag_rank
+    FROM interactions JOIN (SELECT DISTINCT app_id, tag FROM item_tags) USING (app_id) GROUP BY 1, 2""")
 def gold_tag_trends(t: Tables):
     return gold.tag_trends(interactions(t), t.fixture("item_tags"))
 
@@ -84,10 +80,7 @@ def d_steps(inter: str) -> str:
         PARTITION BY user_id ORDER BY weight DESC, tag DESC) AS rn FROM profile) WHERE rn = 1),
     counts AS (SELECT app_id, count(*) AS n FROM inter GROUP BY 1),
     popular AS (SELECT app_id, round(ln(1 + n) / (SELECT ln(1 + max(n)) FROM counts), 6) AS popularity FROM counts),
-    best AS (SELECT tag, app_id FROM (SELECT tag, app_id, row_number() OVER (
-        PARTITION BY tag ORDER BY popularity DESC, app_id) AS place FROM bridge JOIN popular USING (app_id))
-        WHERE place <= 20),
-    pairs AS (SELECT f.user_id, b.app_id FROM favourite f JOIN best b ON f.favourite_tag = b.tag
+    pairs AS (SELECT f.user_id, b.app_id FROM favourite f JOIN bridge b ON f.favourite_tag = b.tag
         WHERE NOT EXISTS (SELECT 1 FROM inter i WHERE i.user_id = f.user_id AND i.app_id = b.app_id)),
     shares AS (SELECT user_id, tag, weight / sum(weight) OVER (PARTITION BY user_id) AS share FROM profile),
     content AS (SELECT p.user_id, p.app_id, sum(share) AS content_score FROM pairs p
@@ -165,15 +158,33 @@ def eval_at_k(t: Tables):
     return rounded(recommend.evaluate(best, held_out, 10), "precision_at_k", "recall_at_k")
 
 
-@query("cf_scores")
+@query("cf_scores", f"""WITH {d_steps(ALL)}
+    SELECT user_id, app_id, TRUE AS is_finite FROM pairs""")
 def cf_scores(t: Tables):
-    """ALS scores of the candidates; factors are not comparable across engines."""
+    """The candidates that ALS scores; the scores themselves are not comparable across engines."""
     inter = stage(interactions(t), "interactions")
     bridge = t.fixture("item_tags")
     favourite = gold.favourite_tag(gold.tag_profile(inter, bridge))
-    pairs = recommend.candidates(stage(favourite, "favourites"), bridge, recommend.popularity(inter), inter)
-    return recommend.als_scores(gold.interaction_features(inter), stage(pairs, "candidates"))
+    pairs = recommend.candidates(stage(favourite, "favourites"), bridge, inter)
+    scores = recommend.als_scores(gold.interaction_features(inter), stage(pairs, "candidates"))
+    return scores.select("user_id", "app_id", (F.abs("cf_score") < float("inf")).alias("is_finite"))
+
 
+@query("similar_items", """
+    WITH sets AS (SELECT app_id, list_sort(list(DISTINCT tag)) AS tags FROM item_tags GROUP BY 1),
+      named AS (SELECT tags, min(app_id) AS set_id FROM sets GROUP BY 1),
+      of_item AS (SELECT app_id, set_id FROM sets JOIN named USING (tags)),
+      flat AS (SELECT set_id, len(tags) AS size, unnest(tags) AS tag FROM named),
+      pairs AS (SELECT a.set_id AS s, b.set_id AS o, any_value(a.size) AS sa, any_value(b.size) AS sb, count(*) AS shared
+        FROM flat a JOIN flat b ON a.tag = b.tag GROUP BY 1, 2)
+    SELECT i.app_id, j.app_id AS similar_id, shared / (sa + sb - shared) AS jaccard
+    FROM of_item i JOIN pairs ON s = i.set_id JOIN of_item j ON j.set_id = o
+    WHERE shared / (sa + sb - shared) >= 0.6 - 1e-9 AND i.app_id <> j.app_id AND i.app_id % 100 = 0""")
+def similar_items(t: Tables):
+    """What resembles each item whose id is divisible by 100, of all items."""
+    tags = t.fixture("item_tags")
+    asked = tags.select("app_id").filter("app_id % 100 = 0")
+    return recommend.similar_items(recommend.item_sets(tags), recommend.content_similarity(tags), asked)
 
 @query("content_similarity", """
     WITH sets AS (SELECT app_id, list_sort(list(DISTINCT tag)) AS tags FROM item_tags GROUP BY 1),
@@ -201,7 +212,7 @@ D_PROFILES = f"""
 
 @query("embed_user_profile", f"WITH {D_PROFILES} SELECT user_id, dimension, round(v, 6) AS value FROM profiles")
 def embed_user_profile(t: Tables):
-    profiles = recommend.user_profiles(gold.interaction_features(interactions(t)), item_embeddings(t), DIMENSIONS)
+    profiles = recommend.user_profiles(gold.interaction_features(interactions(t)), item_embeddings(t))
     return profiles.select("user_id", F.posexplode("profile").alias("dimension", "value")).withColumn(
         "value", F.round("value", 6))
 
@@ -217,6 +228,6 @@ def embed_neighbours(t: Tables):
     """The items a user has met that are closest to the user's profile."""
     weighted = stage(gold.interaction_features(interactions(t)), "interactions")
     vectors = item_embeddings(t)
-    profiles = stage(recommend.user_profiles(weighted, vectors, DIMENSIONS), "profiles")
-    cosines = recommend.profile_similarity(weighted, profiles, vectors, DIMENSIONS)
+    profiles = stage(recommend.user_profiles(weighted, vectors), "profiles")
+    cosines = recommend.profile_similarity(weighted, profiles, vectors)
     return recommend.top_n(cosines, 3, score="cosine")

@@ -69,11 +69,14 @@ def agg_distinct_exact(t: Tables):
         F.count_distinct("l_extendedprice").alias("prices"))
 
 
-@query("agg_distinct_approx")
+@query("agg_distinct_approx", "SELECT TRUE AS orders_near, TRUE AS parts_near, TRUE AS prices_near")
 def agg_distinct_approx(t: Tables):
-    return t.lineitem.agg(
-        F.approx_count_distinct("l_orderkey").alias("orders"), F.approx_count_distinct("l_partkey").alias("parts"),
-        F.approx_count_distinct("l_extendedprice").alias("prices"))
+    """Whether each estimate lies within a sixth of the exact number of distinct values of the whole table."""
+    columns = {"orders": "l_orderkey", "parts": "l_partkey", "prices": "l_extendedprice"}
+    both = t.lineitem.agg(
+        *[F.approx_count_distinct(c).alias(f"{n}_near") for n, c in columns.items()],
+        *[F.count_distinct(c).alias(n) for n, c in columns.items()])
+    return both.select(*[(6 * F.abs(F.col(f"{n}_near") - F.col(n)) <= F.col(n)).alias(f"{n}_near") for n in columns])
 
 
 @query("master_join", f"""
@@ -123,10 +126,19 @@ def quantile_table(t: Tables):
     return quantiles.exact_quantiles(t.lineitem, LINE_NUMBERS, [0.01, 0.25, 0.5, 0.999])
 
 
-@query("quantile_sketch")
+@query("quantile_sketch", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({q} AS DOUBLE) AS quantile, TRUE AS is_near" for c in LINE_NUMBERS for q in (0.25, 0.999)))
 def quantile_sketch(t: Tables):
-    """The sketched form; its values are within the accuracy, not comparable by value."""
-    return quantiles.sketched_quantiles(t.lineitem, LINE_NUMBERS, [0.25, 0.999])
+    """The sketched form: whether each value has a rank within the accuracy of the wanted one."""
+    accuracy = 10_000
+    sketched = quantiles.sketched_quantiles(t.lineitem, LINE_NUMBERS, [0.25, 0.999], accuracy)
+    rows = quantiles.melt(t.lineitem, LINE_NUMBERS).join(sketched.withColumnRenamed("value", "found"), "column_name")
+    ranks = rows.groupBy("column_name", "quantile").agg(
+        F.count_if(F.col("value") < F.col("found")).alias("below"), F.count_if(F.col("value") <= F.col("found")).alias("upto"),
+        F.count("*").alias("n"))
+    wanted, room = F.col("quantile") * F.col("n"), F.col("n") / accuracy + 1
+    near = (F.col("below") <= wanted + room) & (F.col("upto") >= wanted - room)
+    return ranks.select("column_name", "quantile", near.alias("is_near"))
 
 
 LIMITS = f"""limits AS (SELECT quantile_disc(l_quantity, 0.999) AS q, quantile_disc(l_extendedprice, 0.999) AS p,

@@ -11,6 +11,7 @@ from siltstone.plans import gold, silver
 from siltstone.reports import columns as column_reports
 from siltstone.reports import histograms, issues, overview, profile
 from siltstone.reports import outliers as outlier_reports
+from siltstone.sources.staging import stage
 
 # ---- the silver tables as SQL ------------------------------------------------
 
@@ -288,6 +289,24 @@ def quality_columns(t: Tables):
         PROFILED, approximate=False, on_missing="error").drop("created_at")
 
 
+@query("quality_columns_approximate", f"""WITH {D_EVENTS}, {D_USERS}, b AS ({_side('bronze')}), s AS ({_side('silver')})
+    SELECT table_name, column_name, b.n AS bronze_row_count, s.n AS silver_row_count, b.nulls AS bronze_null_count,
+      s.nulls AS silver_null_count, CASE WHEN b.n IS NOT NULL THEN TRUE END AS bronze_distinct_near,
+      CASE WHEN s.n IS NOT NULL THEN TRUE END AS silver_distinct_near
+    FROM b FULL OUTER JOIN s USING (table_name, column_name)""")
+def quality_columns_approximate(t: Tables):
+    """The form that the jobs run: each estimate of distinct values lies within a sixth of the exact number."""
+    datasets = {n: (t.fixture(SETS[n][0]), stage(BUILD[n](t).valid, n)) for n in PROFILED}
+    near, exact = (column_reports.column_report(t.spark, t.ctx, datasets, PROFILED, approximate=a, on_missing="error")
+                   for a in (True, False))
+    distinct = {c: f"{c.split('_')[0]}_distinct" for c in ("bronze_distinct_count", "silver_distinct_count")}
+    exact = exact.select("table_name", "column_name", *[F.col(c).alias(f"exact_{c}") for c in distinct])
+    joined = near.join(exact, ["table_name", "column_name"])
+    return joined.select(
+        "table_name", "column_name", "bronze_row_count", "silver_row_count", "bronze_null_count", "silver_null_count",
+        *[(6 * F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.col(f"exact_{c}")).alias(f"{new}_near") for c, new in distinct.items()])
+
+
 IQR_COLUMNS = {"lines": ["l_quantity", "l_extendedprice", "l_tax"], "accounts": ["c_acctbal"],
                "events": ["value"]}
 IQR_SOURCE = {"lines": "lineitem", "accounts": "customer", "events": "events"}
@@ -401,7 +420,6 @@ DISTRIBUTED = ["l_returnflag", "l_linestatus", "l_linenumber", "l_partkey"]
 @query("profile_distribution", " UNION ALL ".join(f"""
     SELECT 'lineitem' AS table_name, '{c}' AS column_name, distinct_count, value_rank, value, value_count FROM (
       SELECT CAST({c} AS VARCHAR) AS value, count(*) AS value_count, count(*) OVER () AS distinct_count,
-        CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS INTEGER) AS value_rank FROM lineitem GROUP BY 1)
-    WHERE value_rank <= 3""" for c in DISTRIBUTED))
+        rank() OVER (ORDER BY count(*) DESC) AS value_rank FROM lineitem GROUP BY 1)""" for c in DISTRIBUTED))
 def profile_distribution(t: Tables):
     return profile.profile_distribution(t.lineitem, "lineitem", DISTRIBUTED)

@@ -21,7 +21,6 @@ NOT_INTEGER = r"[^0-9\-]"
 NOT_DECIMAL = r"[^0-9\.\-]"
 HTML_TAG = r"<[^>]+>"
 BLANKS = r"\s+"
-EPOCH_TEXT = r"^-?[0-9]{5,}$"
 
 # Seconds of the years 1 and 9999; outside, an epoch is not a time.
 MIN_EPOCH, MAX_EPOCH = -62135596800, 253402300799
@@ -67,14 +66,15 @@ def epoch_to_timestamp(col: Column) -> Column:
     return F.when(seconds.between(MIN_EPOCH, MAX_EPOCH), F.timestamp_seconds(seconds))
 
 
-def to_timestamp(df: DataFrame, name: str) -> Column:
-    """Numbers are epoch seconds, also as text of five digits or more; other text is parsed."""
+def to_timestamp(df: DataFrame, name: str, text: str = "time") -> Column:
+    """Numbers are epoch seconds; text is a written time, or epoch seconds if ``text`` is ``"epoch"``."""
+    if text not in ("time", "epoch"):
+        raise ValueError(f"text is time or epoch, not {text}")
     kind = df.schema[name].dataType
     if isinstance(kind, T.NumericType):
         return epoch_to_timestamp(F.col(name))
     if isinstance(kind, T.StringType):
-        digits = F.col(name).rlike(EPOCH_TEXT)
-        return F.when(digits, epoch_to_timestamp(F.col(name))).otherwise(F.try_to_timestamp(F.col(name)))
+        return epoch_to_timestamp(F.col(name)) if text == "epoch" else F.try_to_timestamp(F.col(name))
     return F.col(name).cast("timestamp")
 
 

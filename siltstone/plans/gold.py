@@ -63,11 +63,11 @@ def user_kpis(interactions: DataFrame) -> DataFrame:
     return per_user.withColumn("activity_level", activity_level(F.col("interaction_count")))
 
 
-def tag_trends(interactions: DataFrame, bridge: DataFrame, top: int = 5, value: str = "tag") -> DataFrame:
-    """The ``top`` tags (or genres, categories: ``value``) of each month by interactions.
+def tag_trends(interactions: DataFrame, bridge: DataFrame, value: str = "tag") -> DataFrame:
+    """All tags (or genres, categories: ``value``) of each month with their rank by interactions.
 
     Facts are counted per item and month before they meet the tags, so an item
-    with very many facts is a handful of rows in the join.
+    with very many facts is a handful of rows in the join; the ranking sees one row per month and tag.
     """
     monthly = interactions.groupBy("app_id", "month").agg(F.count("*").alias("n"))
     counted = (
@@ -75,7 +75,7 @@ def tag_trends(interactions: DataFrame, bridge: DataFrame, top: int = 5, value:
         .groupBy("month", value).agg(F.sum("n").alias("interaction_count"))
     )
     order = Window.partitionBy("month").orderBy(F.desc("interaction_count"), value)
-    return counted.withColumn(f"{value}_rank", F.row_number().over(order)).filter(F.col(f"{value}_rank") <= top)
+    return counted.withColumn(f"{value}_rank", F.row_number().over(order))
 
 
 def platform_summary(items: DataFrame, platforms: tuple[str, ...] = ("win", "mac", "linux")) -> DataFrame:

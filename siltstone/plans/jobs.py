@@ -72,12 +72,12 @@ def bronze_profile(job: Job) -> None:
     report = profile.profile_tables(tables).withColumn("profile_ts", job.ctx.stamp())
     job.write_report(report, job.layout.gold("data_quality"))
     frames = [
-        profile.profile_distribution(tables[name], name, found, top=20)
+        profile.profile_distribution(tables[name], name, found)
         for name, wanted in quality.DISTRIBUTION_COLUMNS.items() if name in tables
         for found in [schema.present(tables[name], wanted)] if found
     ]
     if frames:
-        job.write_report(schema.union_all(frames), job.layout.gold("data_distribution"))
+        job.write(schema.union_all(frames), job.layout.gold("data_distribution"))
 
 
 def silver_reviews(job: Job) -> None:
@@ -182,6 +182,7 @@ def gold_tables(job: Job) -> None:
             "training_interactions": gold.with_split(features),
             "game_similarity": recommend.content_similarity(tags, stage=stage),
             "game_tag_sets": recommend.tag_sets(tags),
+            "game_set_of_item": recommend.item_sets(tags),
         }
         for name, df in made.items():
             job.write(df, job.layout.gold(name))
@@ -245,7 +246,7 @@ def main() -> None:
     parser.add_argument("--root", required=True, help="folder or bucket of the layers")
     parser.add_argument("--batch-date", required=True)
     parser.add_argument("--as-of", type=date.fromisoformat, help="today, for the rule on future dates")
-    parser.add_argument("--store", default="store", help="prefix of the store's own columns")
+    parser.add_argument("--store", required=True, help="prefix of the store's own columns")
     args = parser.parse_args()
     spark = SparkSession.builder.appName(f"siltstone-{args.job}").getOrCreate()
     try:

@@ -105,8 +105,12 @@ def _split(judged: DataFrame, rule_set: list[rules.Rule]) -> tuple[DataFrame, Da
 
 
 def silver_reviews(df: DataFrame, ctx: RunContext, stage: Stage = write_stage,
-                   accuracy: int | None = None) -> Silver:
-    """Reviews: only key issues and repeated ids reject; the rest stays annotated."""
+                   accuracy: int | None = None, time_text: str = "time") -> Silver:
+    """Reviews: only key issues and repeated ids reject; the rest stays annotated.
+
+    A key column that is not there rejects every row. ``time_text`` tells how the source
+    writes times as text: ``"time"`` or ``"epoch"``.
+    """
     df = clean.clean_strings(schema.rename_present(df, review_names(ctx.store)))
     longs = [c for c in [*REVIEW_KEYS, *REVIEW_COUNTS] if c not in REVIEW_DOUBLES]
     booleans = schema.present(df, review_booleans(ctx.store))
@@ -115,7 +119,7 @@ def silver_reviews(df: DataFrame, ctx: RunContext, stage: Stage = write_stage,
         **{c: clean.to_long(df, c) for c in schema.present(df, longs)},
         **{c: clean.to_double(df, c) for c in schema.present(df, REVIEW_DOUBLES)},
         **{c: clean.to_boolean(F.col(c)) for c in booleans},
-        **{c: clean.to_timestamp(df, c) for c in times},
+        **{c: clean.to_timestamp(df, c, time_text) for c in times},
         "silver_processed_at": ctx.stamp(),
     })
     df = dedup.mark_all_copies(df, ["review_id"], stage) if "review_id" in df.columns else (
@@ -123,6 +127,7 @@ def silver_reviews(df: DataFrame, ctx: RunContext, stage: Stage = write_stage,
 
     oldest = F.lit(datetime.fromisoformat(OLDEST_TIME)).cast("timestamp_ntz").cast("timestamp")
     rule_set = [
+        *[rule for c in REVIEW_KEYS for rule in rules.column_exists(df, c)],
         *[rules.not_null(c, f"missing_{c}") for c in schema.present(df, REVIEW_KEYS)],
         rules.Rule("duplicate_review_id", F.col(dedup.DUPLICATE)),
         *[rules.empty_text(c, f"empty_{c}", hard=False) for c in schema.present(df, ["review_text"])],

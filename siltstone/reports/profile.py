@@ -79,17 +79,20 @@ def profile_tables(tables: Mapping[str, DataFrame | None]) -> DataFrame:
     return union_all(profile_table(df, name) for name, df in found.items())
 
 
-def profile_distribution(df: DataFrame, table: str, columns: list[str], top: int = 3) -> DataFrame:
-    """Distinct values of each column and its ``top`` most frequent values.
+def profile_distribution(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """All values of each column with their number, the most frequent first, and how many there are.
 
-    Values are counted before they are ranked, and Spark limits each task to its
-    own best ``top`` per column before the shuffle to the final ranking.
+    Values are counted before they are ranked by number; those with the same number share a rank, which
+    depends on the numbers alone, so the ranking sees one row for each column and number.
     """
     values = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
         [], columns, "column_name", "value").filter(F.col("value").isNotNull())
     counted = values.groupBy("column_name", "value").agg(F.count("*").alias("value_count"))
     distinct = counted.groupBy("column_name").agg(F.count("*").alias("distinct_count"))
-    order = Window.partitionBy("column_name").orderBy(F.desc("value_count"), "value")
-    ranked = counted.withColumn("value_rank", F.row_number().over(order)).filter(F.col("value_rank") <= top)
+    numbers = counted.groupBy("column_name", "value_count").agg(F.count("*").alias("_values"))
+    before = (Window.partitionBy("column_name").orderBy(F.desc("value_count"))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    ranks = numbers.select("column_name", "value_count", (F.coalesce(F.sum("_values").over(before), F.lit(0)) + 1).alias("value_rank"))
+    ranked = counted.join(ranks, ["column_name", "value_count"])
     return ranked.join(distinct, "column_name").select(
         F.lit(table).alias("table_name"), "column_name", "distinct_count", "value_rank", "value", "value_count")

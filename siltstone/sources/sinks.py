@@ -34,14 +34,14 @@ def write_batch(df: DataFrame, path: str, batch_date: str, num_partitions: int |
                 rebalance: bool = False) -> None:
     """Replace one batch of a table that is partitioned by ``batch_date``.
 
-    Rows are written by the tasks that made them: no shuffle, and files keep the
+    The batch's own folder is overwritten, so a re-run without rows leaves none of the
+    old ones, and a file with the schema keeps an empty table readable. Rows are written by the tasks that made them: no shuffle, and files keep the
     order of the input, which is what "first row" means to the later layers.
     ``rebalance`` is for a small share of a large table, which would otherwise be
     one tiny file per task.
     """
     sized = df.repartition(num_partitions) if num_partitions else df.hint("rebalance") if rebalance else df
-    (sized.withColumn("batch_date", F.lit(batch_date)).write.mode("overwrite")
-     .partitionBy("batch_date").option("partitionOverwriteMode", "dynamic").parquet(path))
+    sized.drop("batch_date").write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_date={batch_date}")
 
 
 def publish_tables(tables: Mapping[str, DataFrame], database: str | None = None,

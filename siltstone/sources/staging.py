@@ -7,7 +7,6 @@ they live in the shared folder that the session names in
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -15,22 +14,25 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_FOLDERS: set[str] = set()
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder; a temporary one only for a local session without it."""
+    """The folder named in ``spark.checkpoint.dir``; without it the warehouse, which is shared as well."""
     configured = spark.sparkContext.getConf().get(CHECKPOINT_DIR) or spark.conf.get(CHECKPOINT_DIR, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="siltstone-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    return f"{staging_root(spark)}/staged/{name}-{uuid.uuid4().hex}"
+    """A new path in the application's own folder, which goes when the application ends."""
+    folder = f"{staging_root(spark)}/staged/{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _FOLDERS.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def _write_and_scan(df: DataFrame, path: str) -> DataFrame:
@@ -41,7 +43,8 @@ def _write_and_scan(df: DataFrame, path: str) -> DataFrame:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write the frame and return a scan of what was written.
 
-    The table stays, as the scan is lazy; jobs use ``staged_tables``, which cleans up.
+    The table stays until the application ends, as the scan is lazy; jobs use ``staged_tables``, which
+    cleans up earlier.
     """
     return _write_and_scan(df, staging_path(df.sparkSession, name))
 

@@ -63,8 +63,10 @@ def test_times(spark):
     day = datetime(2023, 11, 14, 22, 13, 20)
     assert column(spark, [1700000000, None, 10**17], "bigint", lambda df: clean.to_timestamp(df, "v")) == [
         day, None, None]
-    assert column(spark, ["1700000000", "2023-11-14 22:13:20", "2023-11-14", "soon", ""], "string",
-                  lambda df: clean.to_timestamp(df, "v")) == [day, day, datetime(2023, 11, 14), None, None]
+    assert column(spark, ["2023-11-14 22:13:20", "2023-11-14", "soon", ""], "string",
+                  lambda df: clean.to_timestamp(df, "v")) == [day, datetime(2023, 11, 14), None, None]
+    assert column(spark, ["1700000000", "1000", "soon", "2023-11-14"], "string",
+                  lambda df: clean.to_timestamp(df, "v", text="epoch")) == [day, datetime(1970, 1, 1, 0, 16, 40), None, None]
     assert column(spark, ["1700000000", "x"], "string", lambda df: clean.epoch_to_timestamp(F.col("v"))) == [day, None]
     assert column(spark, ["2020-05-17", "2020-13-40", "soon"], "string", lambda df: clean.to_date(F.col("v"))) == [
         date(2020, 5, 17), None, None]

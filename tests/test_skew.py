@@ -14,11 +14,9 @@ ROWS = 30_000
 
 
 @pytest.fixture(scope="module")
-def facts(spark):
+def facts(spark, tmp_path_factory):
     """Written to files, so that the file position can be the order."""
-    import tempfile
-
-    path = tempfile.mkdtemp() + "/facts"
+    path = str(tmp_path_factory.mktemp("skew") / "facts")
     key = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id") % 5000)
     spark.range(ROWS, numPartitions=8).select(
         key.cast("bigint").alias("k"), (F.col("id") % 4).alias("v"), F.col("id")).write.parquet(path)

@@ -71,7 +71,7 @@ def test_job_tables_are_deleted(spark, tmp_path, monkeypatch):
     with staging.staged_tables(spark) as stage:
         assert stage(spark.range(5), "five").count() == 5
         assert list((tmp_path / "staged").iterdir())
-    assert not list((tmp_path / "staged").iterdir())
+    assert not list((tmp_path / "staged").rglob("*.parquet"))
 
 
 def test_names(spark):
