@@ -10,7 +10,8 @@ the similarity thin out from level to level and pairs above it stay together in
 
 Before the trees grow, each document is compared with the smallest document of its
 nodes. That settles large groups of copies by one link for each copy, so no node has to compare the
-pairs inside a group. Candidates pass a test on sketches first, then the intersection of the full sets
+pairs inside a group. The trees grow twice: a first round looks at the closest partners of each
+unsettled document, a second one at all that are still in different classes. Candidates pass a test on sketches first, then the intersection of the full sets
 decides. The recall is that of the trees: see ``recall``.
 
 Hot nodes: counts are summed before the shuffle, joins are split by adaptive execution, and
@@ -28,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm import words
+from siltstone.llm import files, words
 from siltstone.llm.components import components
 from siltstone.sources.staging import stage
 
 TREES = 16
-SKETCH = 64  # 16-bit values
+SKETCH = 192  # 8-bit values
+#: Partners of an unsettled document in each class that the first round proposes.
+FIRST = 2
 CHUNK = 256
 LEVELS = 24
 #: Standard deviations below the similarity at which a sketch rules a pair out.
@@ -50,8 +53,9 @@ class Rule:
 
     @property
     def least_equal(self) -> int:
-        """Equal sketch values that a pair needs to be looked at."""
+        """Equal sketch values that a pair needs to be looked at; unequal minima agree in 8 bits now and then."""
         p = self.percent / 100
+        p += (1 - p) / 256
         return max(1, int(SKETCH * p - MARGIN * np.sqrt(SKETCH * p * (1 - p))))
 
 
@@ -80,13 +84,14 @@ def _orders(count: int) -> tuple[np.ndarray, np.ndarray]:
     return draw.integers(0, 1 << 63, count, np.uint64) * np.uint64(2) + np.uint64(1), draw.integers(0, 1 << 63, count, np.uint64)
 
 
-def sketched(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n_shingles, set_key, roots, sketch) of each row: the least hashes under all orders."""
+def sketched(manifest: DataFrame, rule: Rule) -> DataFrame:
+    """(doc_id, block, row, n_shingles, set_key, roots, sketch) of each row: the least hashes under all orders."""
     factors, shifts = _orders(rule.trees + SKETCH)
 
     def run(batches):
-        for batch in batches:
-            for step in words.steps(batch):
+        for rows in batches:
+            for block, file in zip(rows.column("block").to_pylist(), rows.column("file").to_pylist()):
+                step = files.read_block(file)
                 sets = shingle_sets(step.column("text"), rule.shingle)
                 sizes = np.fromiter(map(len, sets), np.int64, len(sets))
                 full = np.flatnonzero(sizes)
@@ -97,36 +102,53 @@ def sketched(docs: DataFrame, rule: Rule) -> DataFrame:
                     for k, (factor, shift) in enumerate(zip(factors, shifts)):
                         least[k, full] = np.minimum.reduceat(flat * factor + shift, begins)
                 roots = words.mixed(least[:rule.trees].T + np.arange(rule.trees, dtype=np.uint64) * factors[:rule.trees])
-                sketch = words.mixed(least[rule.trees:].T).astype("<u2")
+                sketch = words.mixed(least[rule.trees:].T).astype(np.uint8)
                 none = sizes == 0
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": step.column("doc_id"), "n_shingles": pa.array(sizes),
+                    "doc_id": step.column("doc_id"), "block": pa.array(np.full(len(sets), block), pa.int64()),
+                    "row": pa.array(np.arange(len(sets)), pa.int64()), "n_shingles": pa.array(sizes),
                     "set_key": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary(), mask=none),
                     "roots": pa.FixedSizeListArray.from_arrays(pa.array(roots.view(np.int64).ravel()), rule.trees).cast(pa.list_(pa.int64())),
                     "sketch": pa.array([s.tobytes() for s in sketch], pa.binary(), mask=none)})
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, roots array<long>, sketch binary")
+    return manifest.mapInArrow(
+        run, "doc_id long, block long, row long, n_shingles long, set_key binary, roots array<long>, sketch binary")
+
+
+def _fits(rule: Rule, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can be similar enough at all."""
+    return 100 * np.minimum(a, b) >= rule.percent * np.maximum(a, b)
+
 
+def _pairs_in_runs(rule: Rule, first: int | None):
+    """Compare unsettled rows with all rows of their run; a run may go on in the next batch.
 
-def _pairs_in_runs(rule: Rule):
-    """Compare unsettled rows with all rows of their run; a run may go on in the next batch."""
+    With ``first``, only that many of the closest partners of a row in each class come out.
+    """
     def compare(t: pa.Table) -> pa.RecordBatch:
-        rep, label, mine = (t[c].to_numpy() for c in ("rep", "label", "unsettled"))
-        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), "<u2").reshape(-1, SKETCH)
+        rep, label, mine, size = (t[c].to_numpy() for c in ("rep", "label", "unsettled", "n_shingles"))
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
         node, chunk = t["node"].to_numpy(), t["chunk"].to_numpy()
         new = np.flatnonzero(np.concatenate([[True], (np.diff(node) != 0) | (np.diff(chunk) != 0)]))
         sizes = np.diff([*new, len(node)])
         run = np.repeat(np.arange(len(new)), sizes)
         asking, found = np.flatnonzero(mine), []
         width = sizes[run[asking]]
-        for part in np.split(np.arange(len(asking)), np.flatnonzero(np.diff(np.cumsum(width) // (1 << 20))) + 1):
+        for part in np.split(np.arange(len(asking)), np.flatnonzero(np.diff(np.cumsum(width) // (1 << 17))) + 1):
             a = np.repeat(asking[part], width[part])
             b = words.spread(new[run[asking[part]]], width[part])
-            differ = label[a] != label[b]
+            differ = (label[a] != label[b]) & _fits(rule, size[a], size[b])
             a, b = a[differ], b[differ]
-            close = (sketch[a] == sketch[b]).sum(1) >= rule.least_equal
-            found.append(np.column_stack([rep[a[close]], rep[b[close]]]))
+            equal = (sketch[a] == sketch[b]).sum(1)
+            close = equal >= rule.least_equal
+            a, b, equal = a[close], b[close], equal[close]
+            if first is not None and len(a):
+                order = np.lexsort((rep[b], -equal, label[b], a))
+                a, b = a[order], b[order]
+                group = np.flatnonzero(np.append(True, (np.diff(a) != 0) | (np.diff(label[b]) != 0)))
+                place = np.arange(len(a)) - np.repeat(group, np.diff(np.append(group, len(a))))
+                a, b = a[place < first], b[place < first]
+            found.append(np.column_stack([rep[a], rep[b]]))
         pairs = np.concatenate([*found, np.empty((0, 2), np.int64)])
         pairs = np.unique(np.sort(pairs, 1), axis=0)
         return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
@@ -168,20 +190,24 @@ def _confirmed(pairs: DataFrame, shapes: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def _shapes(docs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
-    """(rep, shape): the full sets of some documents, recomputed from their texts."""
+def _shapes(pairs: DataFrame, classes: DataFrame, manifest: DataFrame, rule: Rule) -> DataFrame:
+    """(rep, shape): the full sets of the documents in the pairs, recomputed from the blocks that hold their texts."""
     def run(batches):
         for batch in batches:
-            for step in words.steps(batch):
-                sets = shingle_sets(step.column("text"), rule.shingle)
+            for file, reps, rows in zip(*(batch.column(c).to_pylist() for c in ("file", "reps", "rows"))):
+                sets = shingle_sets(files.read_block(file, ["text"]).column("text").take(pa.array(rows)), rule.shingle)
                 yield pa.RecordBatch.from_arrays(
-                    [step.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "shape"])
+                    [pa.array(reps, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "shape"])
 
-    wanted = docs.select("doc_id", "text").join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    return wanted.mapInArrow(run, "rep long, shape binary")
+    reps = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    # A block lists those of its rows that are needed, so a group has no more rows than a block.
+    wanted = (classes.select("rep", "block", "row").join(reps, "rep").groupBy("block")
+              .agg(F.collect_list("rep").alias("reps"), F.collect_list("row").alias("rows")))
+    tasks = max(1, manifest.count())
+    return wanted.join(manifest, "block").repartition(tasks, "block").mapInArrow(run, "rep long, shape binary")
 
 
-def _grown(members: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
+def _grown(members: DataFrame, sketches: DataFrame, rule: Rule, first: int | None) -> DataFrame:
     """Candidate pairs of all trees; members are (node, rep, label)."""
     found = None
     for level in range(LEVELS + 1):
@@ -201,10 +227,10 @@ def _grown(members: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
             F.sequence(F.lit(0), groups - 1), lambda g: F.struct((own * groups + g).alias("chunk"), F.lit(False).alias("unsettled")))))
         asking = small.filter(unsettled).withColumn("place", F.explode(F.transform(
             F.sequence(F.lit(0), chunks - 1), lambda c: F.struct((c * groups + group).alias("chunk"), F.lit(True).alias("unsettled")))))
-        columns = ["node", "place.chunk", "rep", "label", "sketch", "place.unsettled"]
+        columns = ["node", "place.chunk", "rep", "label", "sketch", "n_shingles", "place.unsettled"]
         dealt = (asked.select(*columns).unionByName(asking.select(*columns))
                  .repartition("node", "chunk").sortWithinPartitions("node", "chunk"))
-        pairs = dealt.mapInArrow(_pairs_in_runs(rule), "a long, b long")
+        pairs = dealt.mapInArrow(_pairs_in_runs(rule, first), "a long, b long")
         found = pairs if found is None else found.unionByName(pairs)
         if level == LEVELS:
             break
@@ -216,7 +242,7 @@ def _grown(members: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
         picks = F.sequence(F.lit(0), F.when(second, 1).otherwise(0))
         pick = F.pmod(F.xxhash64("node", "k"), F.lit(SKETCH)).cast("int")
         members = (large.select("node", "rep", "label", "sketch", F.explode(picks).alias("k")).withColumn("pick", pick)
-                   .select(F.xxhash64("node", "k", "pick", F.expr("substring(sketch, 2 * pick + 1, 2)")).alias("node"), "rep", "label"))
+                   .select(F.xxhash64("node", "k", "pick", F.expr("substring(sketch, pick + 1, 1)")).alias("node"), "rep", "label"))
     return found.distinct()
 
 
@@ -226,29 +252,37 @@ def linked(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     ``component_id`` is the smallest doc_id that links lead to; null and empty sets, and rows
     without doc_id, keep their own. ``kept``: whether it is the row's own.
     """
-    rows = stage(sketched(docs, rule), "sketches")
+    manifest = stage(files.write_blocks(docs.select("doc_id", "text"), files.shared_folder(docs.sparkSession, "blocks")), "blocks")
+    manifest = manifest.select("block", "file")
+    rows = stage(sketched(manifest.repartition(max(1, manifest.count()), "block"), rule), "sketches")
     known = rows.filter("set_key is not null and doc_id is not null")
     classes = stage(known.groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("roots").alias("roots")), "classes")
-    sketches = classes.select("rep", "sketch")
+        F.min(F.struct("doc_id", "block", "row")).alias("least"), F.first("sketch").alias("sketch"),
+        F.first("roots").alias("roots"), F.first("n_shingles").alias("n_shingles")).select(
+            "set_key", F.col("least.doc_id").alias("rep"), "least.block", "least.row", "sketch", "roots", "n_shingles"), "classes")
+    sketches = classes.select("rep", "sketch", "n_shingles")
     members = classes.select(F.explode("roots").alias("node"), "rep")
     shared = members.groupBy("node").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).filter("n > 1").select("node", "hub")
     members = stage(members.join(shared, "node"), "members")
-    shapes = stage(_shapes(docs, members.select("rep").distinct(), rule), "shapes")
-
-    hubs = sketches.select(F.col("rep").alias("hub"), F.col("sketch").alias("hub_sketch"))
-    near = (members.filter("rep <> hub").select("rep", "hub").distinct().join(sketches, "rep").join(hubs, "hub")
-            .mapInArrow(_near(rule), "a long, b long"))
-    first = stage(_confirmed(near, shapes, rule), "links")
-    labels = components(first)
-    labelled = (members.select("node", "rep").join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left")
-                .select("node", "rep", F.coalesce("label", "rep").alias("label")))
-    more = stage(_confirmed(_grown(labelled, sketches, rule), shapes, rule), "links")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return stage(_confirmed(pairs, stage(_shapes(pairs, classes, manifest, rule), "shapes"), rule), "links")
+
+    hubs = sketches.select(F.col("rep").alias("hub"), F.col("sketch").alias("hub_sketch"), F.col("n_shingles").alias("hub_size"))
+    near = stage(members.filter("rep <> hub").select("rep", "hub").distinct().join(sketches, "rep").join(hubs, "hub")
+                 .mapInArrow(_near(rule), "a long, b long"), "pairs")
+    links = confirmed(near)
+    # The closest partners first: what they link needs no further look, so the second round has few pairs left.
+    for first in (FIRST, None):
+        labels = components(links)
+        labelled = (members.select("node", "rep").join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left")
+                    .select("node", "rep", F.coalesce("label", "rep").alias("label")))
+        links = links.unionByName(confirmed(stage(_grown(labelled, sketches, rule, first), "pairs")))
     # Rows of one doc_id are one document even where their sets differ.
     same = known.join(classes.select("set_key", "rep"), "set_key").filter("doc_id <> rep").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     repeated = same.join(classes.select(F.col("rep").alias("a")), "a", "left_semi")
-    final = components(first.unionByName(more).unionByName(repeated))
+    final = components(links.unionByName(repeated))
     found = classes.select("set_key", "rep").join(final.select(F.col("v").alias("rep"), "label"), "rep", "left").select(
         "set_key", F.coalesce("label", "rep").alias("component_id"))
     return (rows.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
@@ -260,7 +294,8 @@ def _near(rule: Rule):
     """Pairs of rows (rep, hub) whose sketches agree enough."""
     def run(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, SKETCH) for c in ("sketch", "hub_sketch"))
-            close = pa.array((x == y).sum(1) >= rule.least_equal)
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH) for c in ("sketch", "hub_sketch"))
+            fits = _fits(rule, *(batch.column(c).to_numpy() for c in ("n_shingles", "hub_size")))
+            close = pa.array(fits & ((x == y).sum(1) >= rule.least_equal))
             yield pa.RecordBatch.from_arrays([batch.column("hub"), batch.column("rep")], ["a", "b"]).filter(close)
     return run
