@@ -22,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,17 @@ from siltstone.sources.staging import stage
 
 MIXED = 2.0
 ADDED = 0.5
+#: Larger blocks than elsewhere: the larger, the fewer words and pairs are asked for twice.
+BLOCK_BYTES = 8 << 20
+
+
+def _small(values: np.ndarray) -> bytes:
+    """Counts are mostly small numbers and shrink to an eighth."""
+    return zstandard.compress(_blob(values), 1)
+
+
+def _grown(table: pa.Table, column: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(zstandard.decompress(v) for v in table[column].to_pylist() if v is not None), kind)
 
 
 class _Block:
@@ -86,16 +98,17 @@ def _ask(buckets: int):
         low, middle = block.keys.astype(np.uint32), (block.keys >> np.uint64(32)).astype(np.uint16)
         return pa.table({
             "bucket": pa.array(full, pa.int64()), "block": pa.array(np.full(len(full), table["block"][0].as_py()), pa.int64()),
-            **{name: pa.array([_blob(v[s]) for s in parts], pa.binary()) for name, v in (
-                ("low", low), ("middle", middle), ("alone", block.alone), ("n", n), ("of_target", of_target))}})
+            **{name: pa.array([pack(v[s]) for s in parts], pa.binary()) for name, v, pack in (
+                ("low", low, _blob), ("middle", middle, _blob), ("alone", block.alone, _small), ("n", n, _small),
+                ("of_target", of_target, _small))}})
 
     return run
 
 
 def _added(table: pa.Table) -> pa.Table:
     """Per bucket: the sums over all blocks, for each block in the order in which it asked."""
-    low, middle, alone, n, of_target = (_joined(table, c, k) for c, k in (
-        ("low", np.uint32), ("middle", np.uint16), ("alone", bool), ("n", np.uint32), ("of_target", np.uint32)))
+    low, middle = (_joined(table, c, k) for c, k in (("low", np.uint32), ("middle", np.uint16)))
+    alone, n, of_target = (_grown(table, c, k) for c, k in (("alone", bool), ("n", np.uint32), ("of_target", np.uint32)))
     keys = (middle.astype(np.uint64) << np.uint64(32)) | low
     distinct, first, at = np.unique(keys, return_index=True, return_inverse=True)
     total = np.bincount(at, n, len(distinct)).astype(np.int64)
@@ -106,7 +119,7 @@ def _added(table: pa.Table) -> pa.Table:
     more = [0] * (len(ends) - 2)
     return pa.table({
         "bucket": table["bucket"], "block": table["block"],
-        **{name: pa.array([_blob(v[at[a:b]]) for a, b in zip(ends, ends[1:])], pa.binary())
+        **{name: pa.array([_small(v[at[a:b]]) for a, b in zip(ends, ends[1:])], pa.binary())
            for name, v in (("sums", total), ("target_sums", total_target))},
         **{name: pa.array([s, *more], pa.int64()) for name, s in zip(("words", "tokens", "target_tokens"), sums)}})
 
@@ -123,7 +136,7 @@ def _scored(vocabulary: int, tokens: int, target_tokens: int):
         own_context = np.concatenate([[0], own_word[:-1]]) if len(block.word) else own_word
         losses = []
         for column, total, mine in (("target_sums", target_tokens, target), ("sums", tokens, np.ones(len(target), bool))):
-            count = _joined(table_rows, column, np.int64)
+            count = _grown(table_rows, column, np.int64)
             size = np.diff(block.starts)[block.doc]
 
             def of(at, own):
@@ -147,7 +160,7 @@ def score(docs: DataFrame, targets: DataFrame) -> DataFrame:
     ``targets`` has the doc_id of each document of the target; repeated ids count once.
     """
     spark = docs.sparkSession
-    manifest = stage(files.write_blocks(docs.select("doc_id", "text"), files.shared_folder(spark, "blocks")), "blocks")
+    manifest = stage(files.write_blocks(docs.select("doc_id", "text"), files.shared_folder(spark, "blocks"), BLOCK_BYTES), "blocks")
     buckets = max(16, manifest.count())
     manifest = manifest.select("block", "file").repartition(buckets, "block")
 
