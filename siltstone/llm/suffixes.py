@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -258,9 +259,9 @@ def _surroundings(buckets: int, length: int):
                 s, p = slice(cuts[b], cuts[b + 1]), slice(places[b], places[b + 1])
                 for name, value in (("bucket", int(b)), ("block", block), ("hashes", _blob(h[s])), ("docs", _blob(doc[s])),
                                     ("rows", _blob(row[s].astype(np.uint32))), ("times", _blob(times[s])),
-                                    ("firsts", _blob(first[p] - np.repeat(starts[row[s]], times[s]))),
+                                    ("firsts", _blob((first[p] - np.repeat(starts[row[s]], times[s])).astype(np.uint32))),
                                     ("sizes", _blob(size[s].astype(np.uint16))),
-                                    ("bytes", _blob(data[words.spread(first[entry[s]], size[s])]))):
+                                    ("bytes", zstandard.compress(_blob(data[words.spread(first[entry[s]], size[s])]), 3))):
                     out[name].append(value)
         return pa.table({c: pa.array(v, pa.int64() if c in ("bucket", "block") else pa.binary()) for c, v in out.items()})
 
@@ -271,10 +272,11 @@ def _ranges(length: int):
     """Per bucket: the byte ranges that equal strings in earlier documents cover."""
     def run(table: pa.Table) -> pa.Table:
         h, doc, row, times, first, size = (_joined(table, c, k) for c, k in (
-            ("hashes", np.uint64), ("docs", np.int64), ("rows", np.uint32), ("times", np.uint32), ("firsts", np.int64),
+            ("hashes", np.uint64), ("docs", np.int64), ("rows", np.uint32), ("times", np.uint32), ("firsts", np.uint32),
             ("sizes", np.uint16)))
         size = size.astype(np.int64)
-        text = b"".join(table["bytes"].to_pylist())
+        first = first.astype(np.int64)  # a text in a row has fewer than 2 ** 31 bytes
+        text = b"".join(map(zstandard.decompress, table["bytes"].to_pylist()))
         ends = words.offsets(size)
         owner = np.repeat(table["block"].to_numpy(), [len(v) // 8 for v in table["hashes"].to_pylist()])
         # Equal surroundings are one entry with the least doc_id.
@@ -360,12 +362,13 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"strings of {ANCHOR + 8} bytes at least")
     docs = docs.drop("n_bytes", "spans", "kept")
     manifest = stage(files.write_blocks(docs, files.shared_folder(docs.sparkSession, "blocks")), "blocks")
-    buckets = max(16, manifest.count())
-    manifest = manifest.select("block", "file").repartition(buckets, "block")
+    blocks = max(16, manifest.count())
+    buckets = max(16, blocks // 2)
+    manifest = manifest.select("block", "file").repartition(blocks, "block")
     asked = _ask(manifest, buckets, length)
     # Numbers of tasks are given: what is shuffled is little next to the work that it stands for.
     shared = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared_anchors, "block long, hashes binary")
-    sent = (shared.unionByName(manifest, allowMissingColumns=True).repartition(buckets, "block").groupBy("block").applyInArrow(
+    sent = (shared.unionByName(manifest, allowMissingColumns=True).repartition(blocks, "block").groupBy("block").applyInArrow(
         _surroundings(buckets, length), "bucket long, block long, hashes binary, docs binary, rows binary, times binary, firsts binary, "
                                         "sizes binary, bytes binary"))
     ranges = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_ranges(length), "block long, rows binary, starts binary, stops binary")
@@ -374,5 +377,5 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                            T.StructField("spans", T.ArrayType(T.StructType([
                                T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
                            T.StructField("kept", T.BinaryType())])
-    both = ranges.unionByName(manifest, allowMissingColumns=True).repartition(buckets, "block")
+    both = ranges.unionByName(manifest, allowMissingColumns=True).repartition(blocks, "block")
     return both.groupBy("block").applyInArrow(_applied(names), schema)
