@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.context import RunContext
@@ -41,9 +41,9 @@ class Job:
     def write(self, df: DataFrame, path: str, rebalance: bool = False) -> None:
         sinks.write_batch(df, path, self.ctx.batch_date, rebalance=rebalance)
 
-    def write_report(self, df: DataFrame, path: str) -> None:
-        """A report has few rows: one file."""
-        sinks.write_batch(df, path, self.ctx.batch_date, num_partitions=1)
+    def write_report(self, df: DataFrame, path: str, *order: str | Column) -> None:
+        """A report has few rows: one file, sorted in the task that writes it."""
+        sinks.write_batch(df, path, self.ctx.batch_date, num_partitions=1, order=order)
 
     def write_silver(self, name: str, made: silver.Silver) -> None:
         self.write(made.valid, self.layout.silver(name))
@@ -70,7 +70,7 @@ def bronze_profile(job: Job) -> None:
                 raw, job.ctx, source.name, file_column=None, batch_column=None, time_column="ingestion_ts")
             tables[f"bronze_{source.name}"] = schema.normalize_names(tagged)
     report = profile.profile_tables(tables).withColumn("profile_ts", job.ctx.stamp())
-    job.write_report(report, job.layout.gold("data_quality"))
+    job.write_report(report, job.layout.gold("data_quality"), "table_name", "column_name")
     frames = [
         profile.profile_distribution(tables[name], name, found)
         for name, wanted in quality.DISTRIBUTION_COLUMNS.items() if name in tables
@@ -118,30 +118,31 @@ def silver_game_text(job: Job) -> None:
 
 def quality_issues(job: Job) -> None:
     datasets = {n: (layers.bronze, layers.rejected) for n in quality.REPORTED for layers in [job.layers(n)]}
-    job.write_report(issues.issue_report(job.spark, job.ctx, datasets), job.layout.quality("issues"))
+    job.write_report(issues.issue_report(job.spark, job.ctx, datasets), job.layout.quality("issues"),
+                     "table_name", F.desc("issue_count"), "issue_name")
 
 
 def quality_columns(job: Job) -> None:
     datasets = {n: (layers.bronze, layers.silver) for n in quality.REPORTED for layers in [job.layers(n)]}
     report = columns.column_report(job.spark, job.ctx, datasets, quality.profile_columns(job.ctx.store))
-    job.write_report(report, job.layout.quality("columns"))
+    job.write_report(report, job.layout.quality("columns"), "table_name", "column_name")
 
 
 def quality_outliers(job: Job) -> None:
     tables = {n: job.layers(n).silver for n in quality.REPORTED}
     report = outliers.outlier_report(job.spark, job.ctx, tables, quality.OUTLIER_COLUMNS)
-    job.write_report(report, job.layout.quality("outliers"))
+    job.write_report(report, job.layout.quality("outliers"), "table_name", "column_name")
 
 
 def quality_histograms(job: Job) -> None:
     tables = {n: job.layers(n).silver for n in quality.REPORTED}
     report = histograms.histogram_report(job.spark, job.ctx, tables, quality.HISTOGRAMS)
-    job.write_report(report, job.layout.quality("histograms"))
+    job.write_report(report, job.layout.quality("histograms"), "table_name", "column_name", "bucket_start")
 
 
 def quality_overview(job: Job) -> None:
     report = overview.overview(job.spark, job.ctx, {n: job.layers(n) for n in quality.BRONZE_OF})
-    job.write_report(report, job.layout.quality("overview"))
+    job.write_report(report, job.layout.quality("overview"), "table_name")
 
 
 def gold_reviews_bi(job: Job) -> None:

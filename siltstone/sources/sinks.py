@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators.schema import union_all
@@ -31,16 +31,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_batch(df: DataFrame, path: str, batch_date: str, num_partitions: int | None = None,
-                rebalance: bool = False) -> None:
+                rebalance: bool = False, order: Iterable[str | Column] = ()) -> None:
     """Replace one batch of a table that is partitioned by ``batch_date``.
 
     The batch's own folder is overwritten, so a re-run without rows leaves none of the
     old ones, and a file with the schema keeps an empty table readable. Rows are written by the tasks that made them: no shuffle, and files keep the
     order of the input, which is what "first row" means to the later layers.
     ``rebalance`` is for a small share of a large table, which would otherwise be
-    one tiny file per task.
+    one tiny file per task. ``order`` sorts the rows of each file.
     """
     sized = df.repartition(num_partitions) if num_partitions else df.hint("rebalance") if rebalance else df
+    sized = sized.sortWithinPartitions(*order) if order else sized
     sized.drop("batch_date").write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_date={batch_date}")
 
 
