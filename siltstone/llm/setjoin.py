@@ -37,7 +37,7 @@ TREES = 16
 SKETCH = 192  # 8-bit values
 #: Partners of an unsettled document in each class that the first round proposes.
 FIRST = 2
-CHUNK = 256
+CHUNK = 1024
 LEVELS = 24
 #: Standard deviations below the similarity at which a sketch rules a pair out.
 MARGIN = 4.0
