@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 
 from siltstone.llm import words
 
-#: Entries that a worker remembers of each kind; it forgets all of a kind when it has more.
-CACHE_ENTRIES = 300_000
+#: Words and chunks that a worker remembers, and half as many pairs; it forgets all of a kind when it has more.
+CACHE_ENTRIES = 250_000
 _END = "\n"  # marks the last symbol of a word; no byte is written as this character
 
 
@@ -94,7 +94,7 @@ class PrefixBpe:
         pair = left, right
         found = self.pairs.get(pair)
         if found is None:
-            if len(self.pairs) > CACHE_ENTRIES:
+            if len(self.pairs) > CACHE_ENTRIES // 2:
                 self.pairs.clear()
             found = self.pairs[pair] = self._merged([*self._symbols(left), *self._symbols(right)]) == [left, right]
         return found
