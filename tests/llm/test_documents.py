@@ -239,6 +239,30 @@ def test_test_items(spark, block_items):
     assert {r["doc_id"] for r in left.collect()} == {*range(30), 103, 104, 105}
 
 
+def test_edited_test_items_against_every_alignment(spark):
+    """As if every item were aligned with every document, also where no run of three or five words was left."""
+    items = [prose(n) for n in (3, 4, 15, 40, 40, 60)]
+    copies = []
+    for item in items[2:]:
+        for step in (2, 3, 4, 5):
+            copies.append(" ".join(f"new{k}" if k % step == step - 1 else w for k, w in enumerate(item.split())))
+            copies.append(" ".join(f"{w} new{k}" if k % step == step - 1 else w for k, w in enumerate(item.split())))
+        copies += [" ".join(f"{w} new" for w in item.split())] + [edited(item, s) for s in (0.1, 0.2, 0.25, 0.3, 0.4)]
+    texts = [f"{prose(30)} {c} {prose(30)}" for c in copies] + copies + [prose(60) for _ in range(20)]
+    found = contamination.matches(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3),
+                                  spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    split = [contamination.word_hashes(pa.array([t]))[0] for t in texts]
+    want = {}
+    for b, item in enumerate(items):
+        words = contamination.word_hashes(pa.array([item]))[0]
+        for i, text in enumerate(split):
+            share = contamination.aligned(words, text) / len(words)
+            if share >= contamination.SHARE:
+                want[i, b] = share
+    assert {(r["doc_id"], r["item_id"]): r["share"] for r in found.collect()} == want
+    assert len(want) > 60
+
+
 def test_no_test_items(spark, none):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert contamination.matches(none, benchmark).collect() == []
