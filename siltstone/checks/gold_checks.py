@@ -72,7 +72,37 @@ D_WEIGHT = """(CASE WHEN is_recommended = 'true' THEN 1 ELSE 0 END + ln(1 + hour
     + CAST(0.1 AS DOUBLE) * ln(1 + CAST(helpful AS DOUBLE)))"""
 
 
-def d_steps(inter: str) -> str:
+D_PAIRS = """    pairs AS (SELECT f.user_id, b.app_id FROM favourite f JOIN bridge b ON f.favourite_tag = b.tag
+        WHERE NOT EXISTS (SELECT 1 FROM inter i WHERE i.user_id = f.user_id AND i.app_id = b.app_id)),
+"""
+D_CONTENT = """    content AS (SELECT p.user_id, p.app_id, sum(share) AS content_score FROM pairs p
+        JOIN bridge b ON p.app_id = b.app_id JOIN shares s ON s.user_id = p.user_id AND s.tag = b.tag GROUP BY 1, 2),
+"""
+# With all items similar to one that the user has met, and popular ones until there are ten; a pair without a common tag has 0.
+D_ALL_PAIRS = """    sets AS (SELECT app_id, list_sort(list(tag)) AS tags FROM bridge GROUP BY 1),
+    named AS (SELECT tags, min(app_id) AS set_id FROM sets GROUP BY 1),
+    of_item AS (SELECT app_id, set_id FROM sets JOIN named USING (tags)),
+    flat AS (SELECT set_id, len(tags) AS size, unnest(tags) AS tag FROM named),
+    near AS (SELECT a.set_id AS s, b.set_id AS o FROM flat a JOIN flat b ON a.tag = b.tag GROUP BY 1, 2
+        HAVING count(*) / (any_value(a.size) + any_value(b.size) - count(*)) >= 0.6 - 1e-9),
+    met AS (SELECT DISTINCT user_id, app_id FROM inter),
+    drawn AS ((SELECT f.user_id, b.app_id FROM favourite f JOIN bridge b ON f.favourite_tag = b.tag
+        UNION SELECT m.user_id, j.app_id FROM met m JOIN of_item i ON i.app_id = m.app_id
+          JOIN near ON s = i.set_id JOIN of_item j ON j.set_id = o)
+        EXCEPT SELECT user_id, app_id FROM met),
+    found AS (SELECT user_id, count(d.app_id) AS n FROM (SELECT DISTINCT user_id FROM met) LEFT JOIN drawn d USING (user_id) GROUP BY 1),
+    listed AS (SELECT app_id, coalesce(popularity, 0) AS listed_popularity
+        FROM (SELECT app_id FROM bridge UNION SELECT app_id FROM inter) LEFT JOIN popular USING (app_id)),
+    fresh AS (SELECT user_id, app_id, n, row_number() OVER (PARTITION BY user_id ORDER BY listed_popularity DESC, app_id) AS k
+        FROM found CROSS JOIN listed ANTI JOIN met USING (user_id, app_id) ANTI JOIN drawn USING (user_id, app_id) WHERE n < 10),
+    pairs AS (SELECT user_id, app_id FROM drawn UNION ALL SELECT user_id, app_id FROM fresh WHERE k <= 10 - n),
+"""
+D_ALL_CONTENT = """    content AS (SELECT p.user_id, p.app_id, coalesce(sum(share), 0) AS content_score FROM pairs p
+        JOIN bridge b ON p.app_id = b.app_id LEFT JOIN shares s ON s.user_id = p.user_id AND s.tag = b.tag GROUP BY 1, 2),
+"""
+
+
+def d_steps(inter: str, pairs: str = D_PAIRS, content: str = D_CONTENT) -> str:
     return f"""inter AS ({inter}),
     bridge AS (SELECT DISTINCT app_id, tag FROM item_tags),
     profile AS (SELECT user_id, tag, count(*) AS weight FROM inter JOIN bridge USING (app_id) GROUP BY 1, 2),
@@ -80,12 +110,8 @@ def d_steps(inter: str) -> str:
         PARTITION BY user_id ORDER BY weight DESC, tag DESC) AS rn FROM profile) WHERE rn = 1),
     counts AS (SELECT app_id, count(*) AS n FROM inter GROUP BY 1),
     popular AS (SELECT app_id, round(ln(1 + n) / (SELECT ln(1 + max(n)) FROM counts), 6) AS popularity FROM counts),
-    pairs AS (SELECT f.user_id, b.app_id FROM favourite f JOIN bridge b ON f.favourite_tag = b.tag
-        WHERE NOT EXISTS (SELECT 1 FROM inter i WHERE i.user_id = f.user_id AND i.app_id = b.app_id)),
-    shares AS (SELECT user_id, tag, weight / sum(weight) OVER (PARTITION BY user_id) AS share FROM profile),
-    content AS (SELECT p.user_id, p.app_id, sum(share) AS content_score FROM pairs p
-        JOIN bridge b ON p.app_id = b.app_id JOIN shares s ON s.user_id = p.user_id AND s.tag = b.tag GROUP BY 1, 2),
-    weighted AS (SELECT user_id, app_id, {D_WEIGHT} AS w FROM inter),
+{pairs}    shares AS (SELECT user_id, tag, weight / sum(weight) OVER (PARTITION BY user_id) AS share FROM profile),
+{content}    weighted AS (SELECT user_id, app_id, {D_WEIGHT} AS w FROM inter),
     cf AS (SELECT p.user_id, p.app_id, coalesce(u.m, o.m) + coalesce(i.m, o.m) - o.m AS cf_score
         FROM pairs p CROSS JOIN (SELECT avg(w) AS m FROM weighted) o
         LEFT JOIN (SELECT user_id, avg(w) AS m FROM weighted GROUP BY 1) u ON p.user_id = u.user_id
@@ -143,6 +169,14 @@ def topn_per_user(t: Tables):
     return recommend.top_n(recommend.score_candidates(inter, t.fixture("item_tags")), 10, seen=inter)
 
 
+@query("topn_filled", f"""WITH {d_steps(ALL, D_ALL_PAIRS, D_ALL_CONTENT)}
+    SELECT user_id, app_id, final_score, place FROM ranked WHERE place <= 10""")
+def topn_filled(t: Tables):
+    """Ten unseen items of each user, as the job recommends them: not from the favourite tag alone."""
+    inter = interactions(t)
+    return recommend.top_n(recommend.score_candidates(inter, t.fixture("item_tags"), fill=10), 10)
+
+
 @query("eval_at_k", f"""WITH {d_steps(f"SELECT * FROM interactions WHERE {BUCKET} >= 2")},
     truth AS (SELECT DISTINCT user_id, app_id FROM interactions WHERE {BUCKET} < 2),
     hits AS (SELECT user_id, count(*) AS h FROM ranked JOIN truth USING (user_id, app_id) WHERE place <= 10 GROUP BY 1),

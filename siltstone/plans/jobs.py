@@ -195,7 +195,7 @@ def gold_recommendations(job: Job, n: int = 10) -> None:
     tags = job.read(job.layout.silver("game_tags"))
     train, held_out = (pairs.filter(F.col("split") == s) for s in ("train", "test"))
     with staged_tables(job.spark) as stage:
-        scores = recommend.score_candidates(train, tags, recommend.als_scores, stage=stage)
+        scores = recommend.score_candidates(train, tags, recommend.als_scores, stage=stage, fill=n)
         job.write(scores, job.layout.gold("predictions"))
     best = recommend.top_n(job.read(job.layout.gold("predictions")), n, seen=train)
     job.write(best, job.layout.gold("recommendations"))
