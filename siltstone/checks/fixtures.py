@@ -111,6 +111,13 @@ UNION ALL SELECT p_partkey, split_part(p_name, ' ', 1) FROM {part}
 UNION ALL SELECT p_partkey, split_part(p_name, ' ', 2) FROM {part}
 """
 
+# A vector for every item: the vectors, whose ids run without gaps, dealt to the items over and over.
+ITEM_VECTORS = """
+SELECT p.p_partkey AS app_id, v.embedding AS embedding
+FROM {part} p CROSS JOIN (SELECT count(*) AS n, min(vec_id) AS least FROM {embeddings}) c
+  JOIN {embeddings} v ON p.p_partkey % c.n + c.least = v.vec_id
+"""
+
 # Items with the platforms they run on.
 PLATFORM_ITEMS = """
 SELECT p_partkey AS app_id, p_size % 2 = 0 AS win, p_size % 3 = 0 AS mac, p_size % 5 = 0 AS linux,
@@ -127,6 +134,7 @@ FIXTURES: dict[str, tuple[str, list[str]]] = {
     "item_reviews": (ITEM_REVIEWS, ["lineitem"]),
     "store_games": (STORE_GAMES, ["part"]),
     "item_tags": (ITEM_TAGS, ["part"]),
+    "item_vectors": (ITEM_VECTORS, ["part", "embeddings"]),
     "platform_items": (PLATFORM_ITEMS, ["part"]),
     "interactions": (INTERACTIONS, ["lineitem", "orders"]),
 }

@@ -244,13 +244,25 @@ D_PROFILES = f"""
       FROM weighted JOIN flat USING (app_id) GROUP BY 1, 2)"""
 
 
-@query("embed_user_profile", f"WITH {D_PROFILES} SELECT user_id, dimension, round(v, 6) AS value FROM profiles")
-def embed_user_profile(t: Tables):
-    profiles = recommend.user_profiles(gold.interaction_features(interactions(t)), item_embeddings(t))
+def profile_rows(t: Tables, vectors: DataFrame) -> DataFrame:
+    profiles = recommend.user_profiles(gold.interaction_features(interactions(t)), vectors)
     return profiles.select("user_id", F.posexplode("profile").alias("dimension", "value")).withColumn(
         "value", F.round("value", 6))
 
 
+def closest(t: Tables, vectors: DataFrame) -> DataFrame:
+    weighted = stage(gold.interaction_features(interactions(t)), "interactions")
+    profiles = stage(recommend.user_profiles(weighted, vectors), "profiles")
+    cosines = recommend.profile_similarity(weighted, profiles, vectors)
+    return recommend.top_n(cosines, 3, score="cosine")
+
+
+@query("embed_user_profile", f"WITH {D_PROFILES} SELECT user_id, dimension, round(v, 6) AS value FROM profiles")
+def embed_user_profile(t: Tables):
+    """Of the items whose id is that of a vector; ``embed_user_profile_all`` takes in every interaction."""
+    return profile_rows(t, item_embeddings(t))
+
+
 @query("embed_neighbours", f"""WITH {D_PROFILES},
     cosines AS (SELECT p.user_id, w.app_id, round(sum(v * CAST(x AS DOUBLE)) / (sqrt(sum(v * v))
         * sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS cosine
@@ -259,9 +271,27 @@ def embed_user_profile(t: Tables):
     SELECT user_id, app_id, cosine, place FROM (SELECT *, CAST(row_number() OVER (
       PARTITION BY user_id ORDER BY cosine DESC, app_id) AS INTEGER) AS place FROM cosines) WHERE place <= 3""")
 def embed_neighbours(t: Tables):
-    """The items a user has met that are closest to the user's profile."""
-    weighted = stage(gold.interaction_features(interactions(t)), "interactions")
-    vectors = item_embeddings(t)
-    profiles = stage(recommend.user_profiles(weighted, vectors), "profiles")
-    cosines = recommend.profile_similarity(weighted, profiles, vectors)
-    return recommend.top_n(cosines, 3, score="cosine")
+    """Of the items a user has met and whose id is that of a vector those closest to the profile."""
+    return closest(t, item_embeddings(t))
+
+
+D_FLAT = "SELECT vec_id AS app_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings"
+D_ALL_PROFILES = D_PROFILES.replace(D_FLAT, D_FLAT.replace("vec_id AS app_id", "app_id").replace("embeddings", "item_vectors"))
+D_COSINES = """cosines AS (SELECT p.user_id, w.app_id, round(sum(v * CAST(x AS DOUBLE)) / (sqrt(sum(v * v))
+        * sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS cosine
+      FROM weighted w JOIN flat f USING (app_id) JOIN profiles p ON p.user_id = w.user_id AND p.dimension = f.i - 1
+      GROUP BY 1, 2)
+    SELECT user_id, app_id, cosine, place FROM (SELECT *, CAST(row_number() OVER (
+      PARTITION BY user_id ORDER BY cosine DESC, app_id) AS INTEGER) AS place FROM cosines) WHERE place <= 3"""
+
+
+@query("embed_user_profile_all", f"WITH {D_ALL_PROFILES} SELECT user_id, dimension, round(v, 6) AS value FROM profiles")
+def embed_user_profile_all(t: Tables):
+    """Over all interactions: every item has a vector."""
+    return profile_rows(t, t.fixture("item_vectors"))
+
+
+@query("embed_neighbours_all", f"WITH {D_ALL_PROFILES},\n    {D_COSINES}")
+def embed_neighbours_all(t: Tables):
+    """Of all items a user has met those closest to the user's profile."""
+    return closest(t, t.fixture("item_vectors"))

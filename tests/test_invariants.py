@@ -94,3 +94,13 @@ def test_every_user_gets_n_unseen_items(spark):
     pairs = recommend.score_candidates(inter, bridge, fill=6).select("user_id", "app_id").collect()
     of_user = {u: sorted(r.app_id for r in pairs if r.user_id == u) for u in (1, 2)}
     assert of_user == {1: [10, 11, 20, 21, 22, 23], 2: [2, 3, 4, 11, 20, 21]}
+
+
+def test_every_interaction_meets_a_vector(tables):
+    vectors = tables.fixture("item_vectors")
+    inter = tables.fixture("interactions")
+    assert vectors.count() == vectors.select("app_id").distinct().count()
+    assert inter.join(vectors, "app_id").count() == inter.count()
+    best = gold_checks.embed_neighbours_all(tables)
+    met = inter.groupBy("user_id").agg(F.least(F.count_distinct("app_id"), F.lit(3)).alias("n"))
+    assert best.count() == met.agg(F.sum("n")).first()[0]
