@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import boosting, bpe, chat, contamination, crossentropy, files, kernel, rans, separators, setjoin, stats, suffixes
+from siltstone.llm import boosting, bpe, chat, contamination, crossentropy, files, kernel, rans, separators, setjoin, simhash, stats, suffixes
 from siltstone.sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,4 +139,10 @@ def op10(spark: SparkSession, path: str) -> DataFrame:
     return contamination.matches(table(spark, path, "documents"), table(spark, path, "benchmark"))
 
 
+@query("op13_simhash")
+def op13(spark: SparkSession, path: str) -> DataFrame:
+    """Near duplicates by fingerprints of three-word shingles that differ in two bits at most."""
+    return simhash.linked(table(spark, path, "documents"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

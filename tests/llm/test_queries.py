@@ -33,7 +33,7 @@ def rows(spark, name):
 
 
 def test_names():
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
     assert set(ORACLES) <= set(QUERIES)
 
 
