@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import corpus_pipeline
@@ -9,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import boosting, bpe, chat, contamination, crossentropy, files, kernel, rans, separators, setjoin, simhash, stats, suffixes
+from siltstone.llm import boosting, bpe, chat, contamination, crossentropy, files, kernel, rans, repair, separators, setjoin, simhash, stats, suffixes
 from siltstone.sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,6 +140,85 @@ def op10(spark: SparkSession, path: str) -> DataFrame:
     return contamination.matches(table(spark, path, "documents"), table(spark, path, "benchmark"))
 
 
+# Each way from a state over a row: insertions, then what is done to the row. States: nothing yet, system, user, assistant.
+_STEPS, _TURN_OF, _BEHIND = [], "uuau", (2, 2, 3, 2)
+for _start in range(4):
+    _state = _start
+    for _n in range(3):
+        _STEPS.append((_start, "*", "I" * _n + "D", 3 * _n + 4, 0, 0, _state))
+        _STEPS.append((_start, _TURN_OF[_state], "I" * _n + "K", 3 * _n, 3, 1, _BEHIND[_state]))
+        _STEPS.append((_start, "*", "I" * _n + "R", 3 * _n + 3, 3, 1, _BEHIND[_state]))
+        if _state == 0:
+            _STEPS.append((_start, "s", "K", 0, 3, 1, 1))
+        _state = _BEHIND[_state]
+
+
+@query("op12_conversation_repair", f"""
+    WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+    dealt AS (SELECT *, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+        string_split(k, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)) % 20 AS d FROM keyed),
+    damaged AS (SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE d WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM dealt WHERE d <> 0),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+        substr(role, 1, 1) AS initial FROM damaged),
+    judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+          WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+          WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM numbered),
+    sums AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+    steps(q, initial, letters, cost, cut, stays, q2) AS (VALUES {", ".join(map(str, _STEPS))}),
+    ways AS (SELECT conv_id, n + 1 AS i, unnest([0, 1, 2, 3]) AS q, unnest(['000000000', '000000006II', '000000003I', '000000000']) AS best
+        FROM sums
+      UNION ALL SELECT r.conv_id, r.i, s.q, min(lpad(CAST(s.cost + CASE r.fault WHEN 'truncated' THEN s.cut ELSE 0 END
+          + CAST(substr(w.best, 1, 9) AS BIGINT) AS VARCHAR), 9, '0') || s.letters || substr(w.best, 10))
+        FROM ways w JOIN judged r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i - 1
+        JOIN steps s ON s.q2 = w.q AND s.initial IN ('*', r.initial) AND (s.stays = 0 OR r.fault NOT IN ('blank', 'duplicate'))
+        GROUP BY r.conv_id, r.i, s.q),
+    audits AS (SELECT conv_id, CAST(substr(best, 1, 9) AS BIGINT) AS cost, substr(best, 10) AS audit FROM ways WHERE i = 1 AND q = 0),
+    letters AS (SELECT conv_id, audit, unnest(string_split(audit, '')) AS letter, generate_subscripts(string_split(audit, ''), 1) AS p
+        FROM audits WHERE audit <> ''),
+    placed AS (SELECT *, sum(CASE letter WHEN 'I' THEN 0 ELSE 1 END) OVER w AS i, sum(CASE letter WHEN 'D' THEN 0 ELSE 1 END) OVER w AS place
+        FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+    turned AS (SELECT l.conv_id, l.p, l.letter, l.place, r.role, CASE l.letter WHEN 'I' THEN '' ELSE r.text END AS text,
+        max(CASE WHEN l.place = 1 AND l.letter = 'K' AND r.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.conv_id) AS has_system
+        FROM placed l LEFT JOIN judged r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.i = l.i AND l.letter <> 'I' WHERE l.letter <> 'D'),
+    texts AS (SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role
+          WHEN (place - has_system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p)) AS sha FROM turned GROUP BY conv_id),
+    everyone AS (SELECT DISTINCT conv_id FROM conversations)
+    SELECT e.conv_id, coalesce(s.gaps, 0) AS gaps, coalesce(s.blank, 0) AS blank, coalesce(s.duplicate, 0) AS duplicate,
+      coalesce(s.truncated, 0) AS truncated, coalesce(s.illegal, 0) AS illegal, coalesce(a.cost, 0) AS cost,
+      coalesce(a.audit, '') AS audit, coalesce(t.sha, sha256('')) AS repaired_sha256
+    FROM everyone e LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM e.conv_id
+      LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM e.conv_id""")
+def op12(spark: SparkSession, path: str) -> DataFrame:
+    """All conversations, damaged by a rule, then repaired at the least cost."""
+    rows = table(spark, path, "conversations")
+    found, turns = repair.repaired(damaged(rows))
+    empty = {c: 0 for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")} | {"audit": "", "sha256": hashlib.sha256().hexdigest()}
+    every = rows.select("conv_id").distinct()
+    for part in (found.withColumnRenamed("conv_id", "_id"), repair.digests(turns).select(F.col("conv_id").alias("_id"), "sha256")):
+        every = every.join(part, F.col("conv_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    return every.fillna(empty, list(empty)).withColumnRenamed("sha256", "repaired_sha256")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations of which a twentieth of the rows each is lost, emptied, cut, repeated or given the role of a user."""
+    space = F.lit(" ")
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    rule = F.crc32(key) % 20
+    return rows.select(
+        "conv_id", "turn", F.when(rule == 4, "user").otherwise(role).alias("role"),
+        F.when(rule == 1, "").when(rule == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(1), F.when(rule == 0, 0).when(rule == 3, 2).otherwise(1))).alias("copy")).drop("copy")
+
+
 @query("op13_simhash")
 def op13(spark: SparkSession, path: str) -> DataFrame:
     """Near duplicates by fingerprints of three-word shingles that differ in two bits at most."""
