@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import boosting, bpe, chat, contamination, crossentropy, files, kernel, rans, repair, separators, setjoin, simhash, stats, suffixes
+from siltstone.llm import balltree, boosting, bpe, chat, contamination, crossentropy, files, kernel, rans, repair, separators, setjoin, simhash, stats, suffixes
 from siltstone.sources.staging import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,6 +140,28 @@ def op10(spark: SparkSession, path: str) -> DataFrame:
     return contamination.matches(table(spark, path, "documents"), table(spark, path, "benchmark"))
 
 
+@query("op11_ball_tree", r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+    i AS (SELECT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+    sizes AS (SELECT r, doc_id, count(*) AS n FROM d GROUP BY 1, 2),
+    whole AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+    tf AS (SELECT r, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM i) GROUP BY 1, 2),
+    w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+        FROM tf, whole GROUP BY term, docs),
+    scores AS (SELECT q.item_id, r, doc_id, CAST(sum(q.times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+        FROM (SELECT item_id, term, count(*) AS times FROM i GROUP BY 1, 2) q JOIN tf USING (term) JOIN w USING (term)
+        JOIN sizes USING (r), whole GROUP BY 1, 2, 3)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= 10""")
+def op11(spark: SparkSession, path: str) -> DataFrame:
+    """The ten best documents of each item."""
+    return balltree.ranked(table(spark, path, "documents"), table(spark, path, "benchmark"))
+
+
 # Each way from a state over a row: insertions, then what is done to the row. States: nothing yet, system, user, assistant.
 _STEPS, _TURN_OF, _BEHIND = [], "uuau", (2, 2, 3, 2)
 for _start in range(4):

@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from siltstone.llm import simhash
@@ -48,6 +48,7 @@ def expected(rows: list[tuple[int | None, str | None]], distance: int = 2) -> li
     return [(i, f"{p:016x}", None if i is None else least[top(p)]) for p, (i, _) in zip(prints, rows)]
 
 
+@settings(deadline=None)
 @given(st.lists(st.none() | st.text(alphabet="aB \n\té\x0b　", max_size=30), max_size=12))
 def test_fingerprints(texts):
     assert simhash.fingerprints(pa.array(texts, pa.string())).tolist() == [fingerprint(t) for t in texts]
