@@ -319,7 +319,9 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = 10) -> DataFrame:
         counts = postings.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")).toArrow()
         df = np.zeros(len(Items.read(row["file"]).terms), np.int64)  # no more than the block's terms
         df[counts["term"].to_numpy()] = counts["df"].to_numpy()
-        known = postings.filter("doc_id is not null and cardinality(terms) > 0").select("doc_id", "n", "terms", "times")
+        # A tree costs the same however few its documents are: no more tasks than full trees or cores ask for.
+        tasks = max(spark.sparkContext.defaultParallelism, -(-n_docs // TREE))
+        known = postings.filter("doc_id is not null and cardinality(terms) > 0").select("doc_id", "n", "terms", "times").coalesce(tasks)
         best = _found(known, row["file"], df, n_docs, n_terms, top, kind)
         found = best if found is None else found.unionByName(best)
     if found is None:
