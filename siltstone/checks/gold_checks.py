@@ -72,55 +72,32 @@ D_WEIGHT = """(CASE WHEN is_recommended = 'true' THEN 1 ELSE 0 END + ln(1 + hour
     + CAST(0.1 AS DOUBLE) * ln(1 + CAST(helpful AS DOUBLE)))"""
 
 
-D_PAIRS = """    pairs AS (SELECT f.user_id, b.app_id FROM favourite f JOIN bridge b ON f.favourite_tag = b.tag
-        WHERE NOT EXISTS (SELECT 1 FROM inter i WHERE i.user_id = f.user_id AND i.app_id = b.app_id)),
-"""
-D_CONTENT = """    content AS (SELECT p.user_id, p.app_id, sum(share) AS content_score FROM pairs p
-        JOIN bridge b ON p.app_id = b.app_id JOIN shares s ON s.user_id = p.user_id AND s.tag = b.tag GROUP BY 1, 2),
-"""
-# With all items similar to one that the user has met, and popular ones until there are ten; a pair without a common tag has 0.
-D_ALL_PAIRS = """    sets AS (SELECT app_id, list_sort(list(tag)) AS tags FROM bridge GROUP BY 1),
-    named AS (SELECT tags, min(app_id) AS set_id FROM sets GROUP BY 1),
-    of_item AS (SELECT app_id, set_id FROM sets JOIN named USING (tags)),
-    flat AS (SELECT set_id, len(tags) AS size, unnest(tags) AS tag FROM named),
-    near AS (SELECT a.set_id AS s, b.set_id AS o FROM flat a JOIN flat b ON a.tag = b.tag GROUP BY 1, 2
-        HAVING count(*) / (any_value(a.size) + any_value(b.size) - count(*)) >= 0.6 - 1e-9),
-    met AS (SELECT DISTINCT user_id, app_id FROM inter),
-    drawn AS ((SELECT f.user_id, b.app_id FROM favourite f JOIN bridge b ON f.favourite_tag = b.tag
-        UNION SELECT m.user_id, j.app_id FROM met m JOIN of_item i ON i.app_id = m.app_id
-          JOIN near ON s = i.set_id JOIN of_item j ON j.set_id = o)
-        EXCEPT SELECT user_id, app_id FROM met),
-    found AS (SELECT user_id, count(d.app_id) AS n FROM (SELECT DISTINCT user_id FROM met) LEFT JOIN drawn d USING (user_id) GROUP BY 1),
-    listed AS (SELECT app_id, coalesce(popularity, 0) AS listed_popularity
-        FROM (SELECT app_id FROM bridge UNION SELECT app_id FROM inter) LEFT JOIN popular USING (app_id)),
-    fresh AS (SELECT user_id, app_id, n, row_number() OVER (PARTITION BY user_id ORDER BY listed_popularity DESC, app_id) AS k
-        FROM found CROSS JOIN listed ANTI JOIN met USING (user_id, app_id) ANTI JOIN drawn USING (user_id, app_id) WHERE n < 10),
-    pairs AS (SELECT user_id, app_id FROM drawn UNION ALL SELECT user_id, app_id FROM fresh WHERE k <= 10 - n),
-"""
-D_ALL_CONTENT = """    content AS (SELECT p.user_id, p.app_id, coalesce(sum(share), 0) AS content_score FROM pairs p
-        JOIN bridge b ON p.app_id = b.app_id LEFT JOIN shares s ON s.user_id = p.user_id AND s.tag = b.tag GROUP BY 1, 2),
-"""
-
-
-def d_steps(inter: str, pairs: str = D_PAIRS, content: str = D_CONTENT) -> str:
+def d_steps(inter: str, people: str = "SELECT DISTINCT user_id FROM inter") -> str:
+    """All items that a user has not met, scored and ranked."""
     return f"""inter AS ({inter}),
     bridge AS (SELECT DISTINCT app_id, tag FROM item_tags),
+    people AS ({people}),
     profile AS (SELECT user_id, tag, count(*) AS weight FROM inter JOIN bridge USING (app_id) GROUP BY 1, 2),
     favourite AS (SELECT user_id, tag AS favourite_tag FROM (SELECT *, row_number() OVER (
         PARTITION BY user_id ORDER BY weight DESC, tag DESC) AS rn FROM profile) WHERE rn = 1),
     counts AS (SELECT app_id, count(*) AS n FROM inter GROUP BY 1),
     popular AS (SELECT app_id, round(ln(1 + n) / (SELECT ln(1 + max(n)) FROM counts), 6) AS popularity FROM counts),
-{pairs}    shares AS (SELECT user_id, tag, weight / sum(weight) OVER (PARTITION BY user_id) AS share FROM profile),
-{content}    weighted AS (SELECT user_id, app_id, {D_WEIGHT} AS w FROM inter),
-    cf AS (SELECT p.user_id, p.app_id, coalesce(u.m, o.m) + coalesce(i.m, o.m) - o.m AS cf_score
-        FROM pairs p CROSS JOIN (SELECT avg(w) AS m FROM weighted) o
-        LEFT JOIN (SELECT user_id, avg(w) AS m FROM weighted GROUP BY 1) u ON p.user_id = u.user_id
-        LEFT JOIN (SELECT app_id, avg(w) AS m FROM weighted GROUP BY 1) i ON p.app_id = i.app_id),
-    ends AS (SELECT (SELECT min(cf_score) FROM cf) AS c0, (SELECT max(cf_score) FROM cf) AS c1,
-        (SELECT min(content_score) FROM content) AS t0, (SELECT max(content_score) FROM content) AS t1),
-    parts AS (SELECT user_id, app_id, coalesce((cf_score - c0) / (c1 - c0), 0) AS c,
-        coalesce((content_score - t0) / (t1 - t0), 0) AS t, coalesce(popularity, 0) AS p
-        FROM cf FULL OUTER JOIN content USING (user_id, app_id) LEFT JOIN popular USING (app_id), ends),
+    pairs AS (SELECT user_id, app_id FROM people CROSS JOIN (SELECT app_id FROM bridge UNION SELECT app_id FROM inter)
+        ANTI JOIN inter USING (user_id, app_id)),
+    most AS (SELECT max(n) AS n FROM (SELECT count(*) AS n FROM bridge GROUP BY app_id)),
+    heaviest AS (SELECT user_id, sum(weight) AS top FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY weight DESC) AS k
+        FROM profile) WHERE k <= (SELECT n FROM most) GROUP BY 1),
+    shares AS (SELECT user_id, tag, weight / top AS share FROM profile JOIN heaviest USING (user_id)),
+    content AS (SELECT p.user_id, p.app_id, sum(share) AS content_score FROM pairs p
+        JOIN bridge b ON p.app_id = b.app_id JOIN shares s ON s.user_id = p.user_id AND s.tag = b.tag GROUP BY 1, 2),
+    weighted AS (SELECT user_id, app_id, {D_WEIGHT} AS w FROM inter),
+    of_users AS (SELECT user_id, avg(w) AS m FROM weighted GROUP BY 1), of_items AS (SELECT app_id, avg(w) AS m FROM weighted GROUP BY 1),
+    ends AS (SELECT (SELECT min(m) FROM of_users) AS u0, (SELECT max(m) FROM of_users) AS u1,
+        (SELECT min(m) FROM of_items) AS i0, (SELECT max(m) FROM of_items) AS i1, (SELECT avg(w) FROM weighted) AS o),
+    parts AS (SELECT p.user_id, p.app_id, (coalesce(u.m, o) - u0 + coalesce(i.m, o) - i0) / (u1 - u0 + i1 - i0) AS c,
+        coalesce(content_score, 0) AS t, coalesce(popularity, 0) AS p
+        FROM pairs p LEFT JOIN content t ON t.user_id = p.user_id AND t.app_id = p.app_id LEFT JOIN popular f ON f.app_id = p.app_id
+        LEFT JOIN of_users u ON u.user_id = p.user_id LEFT JOIN of_items i ON i.app_id = p.app_id, ends),
     scored AS (SELECT user_id, app_id, round(c, 6) AS cf_score, round(t, 6) AS content_score,
         p AS popularity_score,
         round(CAST(0.5 AS DOUBLE) * c + CAST(0.3 AS DOUBLE) * t + CAST(0.2 AS DOUBLE) * p, 6) AS final_score FROM parts),
@@ -156,25 +133,29 @@ def split(t: Tables) -> DataFrame:
     return gold.with_split(interactions(t), bucket)
 
 
+BEST = ["user_id", "app_id", "final_score", "place"]
+
+
 @query("hybrid_score", f"""WITH {d_steps(ALL)}
-    SELECT user_id, app_id, cf_score, content_score, popularity_score, final_score FROM scored""")
+    SELECT user_id, app_id, cf_score, content_score, popularity_score, final_score FROM ranked WHERE place <= 50""")
 def hybrid_score(t: Tables):
-    return recommend.score_candidates(interactions(t), t.fixture("item_tags"))
+    """The scores and the blend of the fifty best unseen items of each user."""
+    return recommend.recommended(interactions(t), t.fixture("item_tags"), 50).drop("place", "looked")
 
 
 @query("topn_per_user", f"""WITH {d_steps(ALL)}
     SELECT user_id, app_id, final_score, place FROM ranked WHERE place <= 10""")
 def topn_per_user(t: Tables):
-    inter = interactions(t)
-    return recommend.top_n(recommend.score_candidates(inter, t.fixture("item_tags")), 10, seen=inter)
+    """The ten best of all items that a user hasn't met."""
+    return recommend.recommended(interactions(t), t.fixture("item_tags"), 10).select(*BEST)
 
 
-@query("topn_filled", f"""WITH {d_steps(ALL, D_ALL_PAIRS, D_ALL_CONTENT)}
+@query("topn_filled", f"""WITH {d_steps(ALL, "SELECT c_custkey AS user_id FROM customer")}
     SELECT user_id, app_id, final_score, place FROM ranked WHERE place <= 10""")
 def topn_filled(t: Tables):
-    """Ten unseen items of each user, as the job recommends them: not from the favourite tag alone."""
-    inter = interactions(t)
-    return recommend.top_n(recommend.score_candidates(inter, t.fixture("item_tags"), fill=10), 10)
+    """Ten unseen items of every customer, also of those who have no interactions."""
+    customers = t.customer.select(F.col("c_custkey").alias("user_id"))
+    return recommend.recommended(interactions(t), t.fixture("item_tags"), 10, users=customers).select(*BEST)
 
 
 @query("eval_at_k", f"""WITH {d_steps(f"SELECT * FROM interactions WHERE {BUCKET} >= 2")},
@@ -185,23 +166,42 @@ def topn_filled(t: Tables):
       round(avg(coalesce(h, 0) / 10), 6) AS precision_at_k, round(avg(coalesce(h, 0) / relevant), 6) AS recall_at_k
     FROM per_user LEFT JOIN hits USING (user_id)""")
 def eval_at_k(t: Tables):
-    """Recommend from the training part, score against the held-out part."""
+    """Recommend from the training part as the job does, score against the held-out part."""
     sides = split(t)
     train, held_out = (sides.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
-    best = recommend.top_n(recommend.score_candidates(train, t.fixture("item_tags")), 10, seen=train)
+    best = recommend.recommended(train, t.fixture("item_tags"), 10)
     return rounded(recommend.evaluate(best, held_out, 10), "precision_at_k", "recall_at_k")
 
 
-@query("cf_scores", f"""WITH {d_steps(ALL)}
-    SELECT user_id, app_id, TRUE AS is_finite FROM pairs""")
+@query("cf_scores", """
+    WITH catalogue AS (SELECT app_id FROM item_tags UNION SELECT app_id FROM interactions),
+      met AS (SELECT user_id, count(DISTINCT app_id) AS n FROM interactions GROUP BY 1)
+    SELECT user_id, least(10, (SELECT count(*) FROM catalogue) - n) AS items, TRUE AS is_finite, TRUE AS in_order FROM met""")
 def cf_scores(t: Tables):
-    """The candidates that ALS scores; the scores themselves are not comparable across engines."""
+    """The ten best of each user by trained factors; factors are not comparable across engines, what is checked is their use."""
+    best = recommend.recommended(interactions(t), t.fixture("item_tags"), 10, recommend.als_factors)
+    blend = sum((F.lit(w) * F.col(c) for w, c in zip(recommend.WEIGHTS, ("cf_score", "content_score", "popularity_score"))), F.lit(0.0))
+    return best.groupBy("user_id").agg(
+        F.count("*").alias("items"), F.bool_and(F.abs("cf_score") < float("inf")).alias("is_finite"),
+        F.bool_and(F.abs(blend - F.col("final_score")) < 1e-5).alias("in_order"))
+
+
+@query("als_fit", "SELECT count(DISTINCT (user_id, app_id)) AS pairs, TRUE AS above_chance FROM interactions")
+def als_fit(t: Tables):
+    """Trained factors score the pairs that they were trained on higher than pairs on average.
+
+    The mean over all users and items is the product of the mean vectors, so no pair is made for it.
+    """
     inter = stage(interactions(t), "interactions")
-    bridge = t.fixture("item_tags")
-    favourite = gold.favourite_tag(gold.tag_profile(inter, bridge))
-    pairs = recommend.candidates(stage(favourite, "favourites"), bridge, inter)
-    scores = recommend.als_scores(gold.interaction_features(inter), stage(pairs, "candidates"))
-    return scores.select("user_id", "app_id", (F.abs("cf_score") < float("inf")).alias("is_finite"))
+    made = recommend.als_factors(gold.interaction_features(inter))
+    users, items = (df.select(k, F.posexplode("vector").alias("at", "x")) for df, k in ((made.users, "user_id"), (made.items, "app_id")))
+    means = [df.groupBy("at").agg(F.avg("x").alias(f"m{i}")) for i, df in enumerate((users, items))]
+    chance = means[0].join(means[1], "at").agg(F.sum(F.col("m0") * F.col("m1")).alias("chance"))  # one row
+    pairs = inter.select("user_id", "app_id").distinct().join(made.users.withColumnRenamed("vector", "u"), "user_id").join(
+        made.items.select("app_id", F.col("vector").alias("i")), "app_id")
+    product = F.aggregate(F.zip_with("u", "i", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    return pairs.agg(F.count("*").alias("pairs"), F.avg(product).alias("mean")).crossJoin(F.broadcast(chance)).select(
+        "pairs", (F.col("mean") > F.col("chance")).alias("above_chance"))
 
 
 @query("similar_items", """

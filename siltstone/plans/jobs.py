@@ -190,15 +190,15 @@ def gold_tables(job: Job) -> None:
 
 
 def gold_recommendations(job: Job, n: int = 10) -> None:
-    """Blended scores, the best ``n`` per user, and their evaluation on the held-out pairs."""
+    """Blended scores of each user's best items, the first ``n`` of them, and their evaluation on the held-out pairs."""
     pairs = job.read(job.layout.gold("training_interactions"))
     tags = job.read(job.layout.silver("game_tags"))
     train, held_out = (pairs.filter(F.col("split") == s) for s in ("train", "test"))
     with staged_tables(job.spark) as stage:
-        scores = recommend.score_candidates(train, tags, recommend.als_scores, stage=stage, fill=n)
-        job.write(scores, job.layout.gold("predictions"))
-    best = recommend.top_n(job.read(job.layout.gold("predictions")), n, seen=train)
-    job.write(best, job.layout.gold("recommendations"))
+        scores = recommend.recommended(train, tags, 5 * n, recommend.als_factors, stage=stage)
+        job.write(scores.drop("looked"), job.layout.gold("predictions"))
+    best = job.read(job.layout.gold("predictions")).filter(F.col("place") <= n)
+    job.write(best.select("user_id", "app_id", "final_score", "place"), job.layout.gold("recommendations"))
     scores = recommend.evaluate(job.read(job.layout.gold("recommendations")), held_out, n)
     job.write_report(scores, job.layout.gold("recommendation_evaluation"))
 

@@ -54,7 +54,7 @@ def test_result_does_not_depend_on_partitioning(spark, tables):
         users = silver_checks.silver.silver_users(
             frame(tables.fixture("dirty_customer")), tables.ctx, lambda df, name: df, order_by=["src_key"])
         features = gold.user_features(interactions, bridge)
-        best = recommend.top_n(recommend.score_candidates(interactions, bridge), 3)
+        best = recommend.recommended(interactions, bridge, 3).drop("looked")
         kept = users.valid.drop("silver_processed_at")
         return [rows(df.columns, df.collect()) for df in (kept, features, best)]
 
@@ -76,26 +76,6 @@ def test_whole_hash_split_keeps_pairs_together(tables):
     assert 0.1 < share < 0.3
 
 
-def test_als_scores_exactly_the_given_pairs(spark):
-    weighted = spark.createDataFrame(
-        [(u * 10**11, i, 1.0 + (u * i) % 3) for u in range(1, 9) for i in range(1, 7) if (u + i) % 2],
-        "user_id bigint, app_id bigint, interaction_weight double")
-    pairs = spark.createDataFrame([(10**11, 1), (2 * 10**11, 2), (99, 1)], "user_id bigint, app_id bigint")
-    got = recommend.als_scores(weighted, pairs, rank=2, iterations=2)
-    assert sorted((r.user_id, r.app_id) for r in got.collect()) == [(10**11, 1), (2 * 10**11, 2)]
-
-
-def test_every_user_gets_n_unseen_items(spark):
-    """User 1 has met every item of the only tag; user 2's second item has a twin outside the favourite tag."""
-    seen = spark.createDataFrame([(1, i) for i in range(5)] + [(2, 0), (2, 1), (2, 10)], "user_id bigint, app_id bigint")
-    bridge = spark.createDataFrame([(i, "a") for i in range(5)] + [(i, "b") for i in (10, 11)] + [(i, f"c{i}") for i in range(20, 30)],
-                                   "app_id bigint, tag string")
-    inter = seen.withColumns({"is_recommended": F.lit(True), "hours": F.lit(1.0), "helpful": F.lit(0), "funny": F.lit(0)})
-    pairs = recommend.score_candidates(inter, bridge, fill=6).select("user_id", "app_id").collect()
-    of_user = {u: sorted(r.app_id for r in pairs if r.user_id == u) for u in (1, 2)}
-    assert of_user == {1: [10, 11, 20, 21, 22, 23], 2: [2, 3, 4, 11, 20, 21]}
-
-
 def test_every_interaction_meets_a_vector(tables):
     vectors = tables.fixture("item_vectors")
     inter = tables.fixture("interactions")
