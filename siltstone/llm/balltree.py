@@ -309,7 +309,10 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = 10) -> DataFrame:
     spark, kind = docs.sparkSession, items.schema["item_id"].dataType.simpleString()
     texts = items.select("item_id", F.col("text").cast("string").alias("text")).groupBy("item_id").agg(
         F.concat_ws("\n", F.sort_array(F.collect_list("text"))).alias("text"))
-    blocks = stage(files.write_blocks(texts, files.shared_folder(spark, "items"), ITEM_BYTES), "items")
+    texts = stage(texts, "item-texts")
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Each block costs a pass over the documents, so few tasks write full blocks.
+    blocks = stage(files.write_blocks(texts.coalesce(1 + n_bytes // ITEM_BYTES), files.shared_folder(spark, "items"), ITEM_BYTES), "items")
     found = None
     for row in blocks.select("file").toLocalIterator():
         postings = stage(matched(docs, row["file"]), "postings")
