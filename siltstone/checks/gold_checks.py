@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.checks.registry import Tables, query
-from siltstone.plans import gold, recommend
+from siltstone.plans import gold, recommend, vectors
 from siltstone.sources.staging import stage
 
 
@@ -233,34 +233,22 @@ def content_similarity(t: Tables):
     return recommend.content_similarity(t.fixture("item_tags"))
 
 
-def item_embeddings(t: Tables) -> DataFrame:
-    return t.embeddings.select(F.col("vec_id").alias("app_id"), "embedding")
-
-
 D_PROFILES = f"""
-    flat AS (SELECT vec_id AS app_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    flat AS (SELECT app_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM item_vectors),
     weighted AS (SELECT user_id, app_id, sum({D_WEIGHT}) AS w FROM interactions GROUP BY 1, 2),
     profiles AS (SELECT user_id, CAST(i - 1 AS INTEGER) AS dimension, sum(w * CAST(x AS DOUBLE)) / sum(w) AS v
       FROM weighted JOIN flat USING (app_id) GROUP BY 1, 2)"""
 
 
-def profile_rows(t: Tables, vectors: DataFrame) -> DataFrame:
-    profiles = recommend.user_profiles(gold.interaction_features(interactions(t)), vectors)
-    return profiles.select("user_id", F.posexplode("profile").alias("dimension", "value")).withColumn(
-        "value", F.round("value", 6))
-
-
-def closest(t: Tables, vectors: DataFrame) -> DataFrame:
-    weighted = stage(gold.interaction_features(interactions(t)), "interactions")
-    profiles = stage(recommend.user_profiles(weighted, vectors), "profiles")
-    cosines = recommend.profile_similarity(weighted, profiles, vectors)
-    return recommend.top_n(cosines, 3, score="cosine")
+def user_profiles(t: Tables) -> DataFrame:
+    return recommend.user_profiles(gold.interaction_features(interactions(t)), t.fixture("item_vectors"))
 
 
 @query("embed_user_profile", f"WITH {D_PROFILES} SELECT user_id, dimension, round(v, 6) AS value FROM profiles")
 def embed_user_profile(t: Tables):
-    """Of the items whose id is that of a vector; ``embed_user_profile_all`` takes in every interaction."""
-    return profile_rows(t, item_embeddings(t))
+    """The weighted mean of the vectors of all items that a user has met."""
+    return user_profiles(t).select("user_id", F.posexplode("profile").alias("dimension", "value")).withColumn(
+        "value", F.round("value", 6))
 
 
 @query("embed_neighbours", f"""WITH {D_PROFILES},
@@ -271,27 +259,53 @@ def embed_user_profile(t: Tables):
     SELECT user_id, app_id, cosine, place FROM (SELECT *, CAST(row_number() OVER (
       PARTITION BY user_id ORDER BY cosine DESC, app_id) AS INTEGER) AS place FROM cosines) WHERE place <= 3""")
 def embed_neighbours(t: Tables):
-    """Of the items a user has met and whose id is that of a vector those closest to the profile."""
-    return closest(t, item_embeddings(t))
-
-
-D_FLAT = "SELECT vec_id AS app_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings"
-D_ALL_PROFILES = D_PROFILES.replace(D_FLAT, D_FLAT.replace("vec_id AS app_id", "app_id").replace("embeddings", "item_vectors"))
-D_COSINES = """cosines AS (SELECT p.user_id, w.app_id, round(sum(v * CAST(x AS DOUBLE)) / (sqrt(sum(v * v))
-        * sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS cosine
-      FROM weighted w JOIN flat f USING (app_id) JOIN profiles p ON p.user_id = w.user_id AND p.dimension = f.i - 1
-      GROUP BY 1, 2)
-    SELECT user_id, app_id, cosine, place FROM (SELECT *, CAST(row_number() OVER (
-      PARTITION BY user_id ORDER BY cosine DESC, app_id) AS INTEGER) AS place FROM cosines) WHERE place <= 3"""
-
-
-@query("embed_user_profile_all", f"WITH {D_ALL_PROFILES} SELECT user_id, dimension, round(v, 6) AS value FROM profiles")
-def embed_user_profile_all(t: Tables):
-    """Over all interactions: every item has a vector."""
-    return profile_rows(t, t.fixture("item_vectors"))
-
-
-@query("embed_neighbours_all", f"WITH {D_ALL_PROFILES},\n    {D_COSINES}")
-def embed_neighbours_all(t: Tables):
     """Of all items a user has met those closest to the user's profile."""
-    return closest(t, t.fixture("item_vectors"))
+    items = t.fixture("item_vectors")
+    weighted = stage(gold.interaction_features(interactions(t)), "interactions")
+    profiles = stage(recommend.user_profiles(weighted, items), "profiles")
+    return recommend.top_n(recommend.profile_similarity(weighted, profiles, items), 3, score="cosine")
+
+
+def d_nearest(k: int) -> str:
+    """The nearest of ``pool`` (id, v) for each of ``asked`` (query, v), but for the pairs ``met``."""
+    return f"""cosines AS (SELECT query, p.id, round(list_dot_product(a.v, p.v)
+        / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(p.v, p.v))), 6) AS cosine
+      FROM asked a CROSS JOIN pool p ANTI JOIN met m ON m.query = a.query AND m.id = p.id)
+    SELECT query, id, cosine, place FROM (SELECT *, CAST(row_number() OVER (
+      PARTITION BY query ORDER BY cosine DESC, id) AS INTEGER) AS place FROM cosines) WHERE place <= {k}"""
+
+
+@query("embed_nearest", f"""WITH pool AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    asked AS (SELECT id AS query, v FROM pool WHERE id % 100 = 0), met AS (SELECT query, query AS id FROM asked),
+    {d_nearest(10)}""")
+def embed_nearest(t: Tables):
+    """For each vector whose id is divisible by 100 the ten nearest of all others, compared one by one."""
+    pool, asked = pool_and_asked(t)
+    return vectors.nearest(pool, asked, vectors.EXACT)
+
+
+def pool_and_asked(t: Tables) -> tuple[DataFrame, DataFrame]:
+    pool = t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return pool, pool.filter("id % 100 = 0").withColumn("seen", F.array("id"))
+
+
+@query("embed_index", """SELECT count(*) AS queries, count(*) * least(10, (SELECT count(*) - 1 FROM embeddings)) AS pairs,
+    TRUE AS recall_reached FROM embeddings WHERE vec_id % 100 = 0""")
+def embed_index(t: Tables):
+    """Whether the index over all vectors finds at least nine tenths of what the comparison one by one finds."""
+    pool, asked = pool_and_asked(t)
+    found = vectors.nearest(pool, asked, vectors.fitted(pool))
+    row = vectors.recall(found, vectors.nearest(pool, asked, vectors.EXACT))
+    return row.select("queries", "pairs", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
+@query("embed_unseen", f"""WITH {D_PROFILES},
+    pool AS (SELECT app_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM item_vectors),
+    asked AS (SELECT user_id AS query, list(v ORDER BY dimension) AS v FROM profiles WHERE user_id % 100 = 0 GROUP BY 1),
+    met AS (SELECT DISTINCT user_id AS query, app_id AS id FROM interactions),
+    {d_nearest(10)}""")
+def embed_unseen(t: Tables):
+    """For each user whose id is divisible by 100 the ten items nearest to the profile, of all that the user hasn't met."""
+    pool = t.fixture("item_vectors").select(F.col("app_id").alias("id"), F.col("embedding").alias("vector"))
+    asked = recommend.profile_queries(user_profiles(t).filter("user_id % 100 = 0"), interactions(t))
+    return vectors.nearest(pool, asked, vectors.EXACT)

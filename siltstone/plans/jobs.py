@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from siltstone.context import RunContext
 from siltstone.functions import clean
 from siltstone.operators import assemble, schema
-from siltstone.plans import gold, quality, recommend, silver
+from siltstone.plans import gold, quality, recommend, silver, vectors
 from siltstone.reports import columns, histograms, issues, outliers, overview, profile
 from siltstone.sources import ingest, readers, sinks
 from siltstone.sources.layout import Layout, read_batch, read_batch_if_any
@@ -203,6 +203,28 @@ def gold_recommendations(job: Job, n: int = 10) -> None:
     job.write_report(scores, job.layout.gold("recommendation_evaluation"))
 
 
+def gold_embeddings(job: Job, k: int = 10) -> None:
+    """User profiles, the nearest items of each item, and of each user those not met; nothing without item vectors.
+
+    The vectors, (app_id, embedding), are made elsewhere and loaded as the bronze table ``item_embeddings``.
+    """
+    items = job.read_if_any(job.layout.bronze("item_embeddings"))
+    if items is None:
+        return
+    train = job.read(job.layout.gold("training_interactions"))
+    pool = items.select(F.col("app_id").alias("id"), F.col("embedding").alias("vector"))
+    index = vectors.fitted(pool, k)
+    job.write(recommend.user_profiles(train, items.select("app_id", "embedding")), job.layout.gold("user_embedding_profiles"))
+    profiles = job.read(job.layout.gold("user_embedding_profiles"))
+    asked = {"item_neighbours": pool.withColumn("seen", F.array("id")), "user_neighbours": recommend.profile_queries(profiles, train)}
+    names = {"item_neighbours": ("app_id", "similar_id"), "user_neighbours": ("user_id", "app_id")}
+    with staged_tables(job.spark) as stage:
+        for name, queries in asked.items():
+            of, near = names[name]
+            found = vectors.nearest(pool, queries, index, k, stage).withColumnsRenamed({"query": of, "id": near})
+            job.write(found, job.layout.gold(name))
+
+
 def _published(job: Job) -> dict[str, str]:
     tables = {"silver_reviews_bi": job.layout.gold("reviews_bi")}
     names = list(quality.BRONZE_OF)
@@ -237,6 +259,7 @@ JOBS: dict[str, Callable[[Job], None]] = {
     "gold-reviews-bi": gold_reviews_bi,
     "gold-tables": gold_tables,
     "gold-recommendations": gold_recommendations,
+    "gold-embeddings": gold_embeddings,
     "publish": publish,
 }
 

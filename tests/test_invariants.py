@@ -81,6 +81,6 @@ def test_every_interaction_meets_a_vector(tables):
     inter = tables.fixture("interactions")
     assert vectors.count() == vectors.select("app_id").distinct().count()
     assert inter.join(vectors, "app_id").count() == inter.count()
-    best = gold_checks.embed_neighbours_all(tables)
+    best = gold_checks.embed_neighbours(tables)
     met = inter.groupBy("user_id").agg(F.least(F.count_distinct("app_id"), F.lit(3)).alias("n"))
     assert best.count() == met.agg(F.sum("n")).first()[0]

@@ -78,6 +78,9 @@ def batch(spark, tmp_path_factory):
     raw_batch(root, "2024-01-01")
     job = Job(spark, Layout(str(root)), RunContext(
         "2024-01-01", datetime(2024, 1, 1, tzinfo=timezone.utc), date(2024, 1, 1)))
+    items = [(i, [float(i % 2), 1.0, 0.1 * i]) for i in range(6)]
+    spark.createDataFrame(items, "app_id bigint, embedding array<float>").write.parquet(
+        job.layout.bronze("item_embeddings") + "/batch_date=2024-01-01")
     for run in JOBS.values():
         run(job)
     return job
@@ -152,6 +155,15 @@ def test_gold(batch):
     assert best.join(train, ["user_id", "app_id"], "left_semi").count() == 0
 
 
+def test_embeddings(batch):
+    train = batch.read(batch.layout.gold("training_interactions"))
+    near = batch.read(batch.layout.gold("item_neighbours"))
+    assert near.count() == 6 * 5 and near.filter("app_id = similar_id").count() == 0
+    assert {(r.app_id, r.similar_id) for r in near.filter("place = 1").collect()} >= {(0, 2), (1, 3), (5, 3)}
+    unseen = batch.read(batch.layout.gold("user_neighbours"))
+    assert unseen.count() > 0 and unseen.join(train, ["user_id", "app_id"], "left_semi").count() == 0
+
+
 def test_published_counts(batch):
     counts = {r.table_name: r.row_count for r in batch.read(batch.layout.gold("published_row_counts")).collect()}
     assert len(counts) == 19
