@@ -21,7 +21,7 @@ FENCE = 1.5
 
 
 def iqr_profile(df: DataFrame, table: str, columns: list[str], accuracy: int | None = None) -> DataFrame:
-    """Quartiles, fences and the values strictly outside them, per column.
+    """Quartiles, fences and the values strictly outside them, per column: one aggregation for all of them.
 
     A column without values keeps its row, with zero counts and null statistics.
     """
@@ -29,29 +29,24 @@ def iqr_profile(df: DataFrame, table: str, columns: list[str], accuracy: int | N
         quantiles.exact_quantiles(df, columns, [0.25, 0.75]) if accuracy is None
         else quantiles.sketched_quantiles(df, columns, [0.25, 0.75], accuracy)
     )
-    fences = (
-        quartiles.groupBy("column_name").agg(
-            F.max(F.when(F.col("quantile") == 0.25, F.col("value"))).alias("q1"),
-            F.max(F.when(F.col("quantile") == 0.75, F.col("value"))).alias("q3"))
-        .withColumn("iqr", F.col("q3") - F.col("q1"))
-        .withColumn("lower_bound", F.col("q1") - FENCE * F.col("iqr"))
-        .withColumn("upper_bound", F.col("q3") + FENCE * F.col("iqr"))
-    )
-    value = F.col("value")
-    outside = (value < F.col("lower_bound")) | (value > F.col("upper_bound"))
-    bounds = ["q1", "q3", "iqr", "lower_bound", "upper_bound"]
-    stats = (
-        quantiles.melt(df, columns).join(F.broadcast(fences), "column_name", "left")  # one row per column
-        .groupBy("column_name").agg(
-            F.count("*").alias("row_count"), F.count("value").alias("non_null_count"),
-            F.count_if(outside).alias("outlier_count"), *[F.max(b).alias(b) for b in bounds],
-            F.min("value").alias("min_value"), F.max("value").alias("max_value"),
-            F.avg("value").alias("mean_value"))
-    )
-    rate = F.coalesce(F.col("outlier_count") / F.nullif(F.col("non_null_count"), F.lit(0)), F.lit(0.0))
-    return stats.select(
-        F.lit(table).alias("table_name"), "column_name", "row_count", "non_null_count", "outlier_count",
-        rate.alias("outlier_rate"), *bounds, "min_value", "max_value", "mean_value")
+    of = {(r.column_name, r["quantile"]): r.value for r in quartiles.collect()}  # two rows a column
+    entries = []
+    for name in columns:
+        value = F.col(f"`{name}`").cast("double")
+        q1, q3 = of.get((name, 0.25)), of.get((name, 0.75))
+        none = q1 is None or q3 is None
+        iqr = None if none else q3 - q1
+        bounds = {"q1": q1, "q3": q3, "iqr": iqr, "lower_bound": None if none else q1 - FENCE * iqr,
+                  "upper_bound": None if none else q3 + FENCE * iqr}
+        outside = F.lit(False) if none else (value < bounds["lower_bound"]) | (value > bounds["upper_bound"])
+        valid, outliers = F.count(value), F.count_if(outside)
+        rate = F.coalesce(outliers / F.nullif(valid, F.lit(0)), F.lit(0.0))
+        entries.append(F.struct(
+            F.lit(table).alias("table_name"), F.lit(name).alias("column_name"), F.count("*").alias("row_count"),
+            valid.alias("non_null_count"), outliers.alias("outlier_count"), rate.alias("outlier_rate"),
+            *[F.lit(x).cast("double").alias(b) for b, x in bounds.items()],
+            F.min(value).alias("min_value"), F.max(value).alias("max_value"), F.avg(value).alias("mean_value")))
+    return df.agg(F.array(*entries).alias("e")).select(F.inline("e"))
 
 
 def outlier_report(spark: SparkSession, ctx: RunContext, tables: Mapping[str, DataFrame | None],

@@ -109,6 +109,58 @@ def test_exact_quantiles_of_awkward_values(spark):
     assert {name for name, _ in got} == {"heavy", "mixed"}
 
 
+@pytest.fixture(scope="module")
+def measures(spark, tmp_path_factory):
+    """Whole numbers, one value for nine tenths of the rows, and two far apart clusters."""
+    path = str(tmp_path_factory.mktemp("quantiles") / "measures")
+    spark.range(0, 40_000, 1, 8).select(
+        ((F.col("id") * 7919) % 40_009).cast("int").alias("whole"), F.when(F.col("id") % 10 > 0, 5.0).otherwise(F.col("id") / 3).alias("hot"),
+        F.when(F.col("id") % 3 == 0, 1e15 + F.col("id")).otherwise(F.col("id") * 1e-9).alias("far")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def expected_quantiles(df, qs):
+    import math
+
+    out = {}
+    for name in df.columns:
+        values = sorted(r[0] for r in df.select(name).collect())
+        out |= {(name, q): float(values[max(1, len(values) - math.floor(len(values) - q * len(values))) - 1]) for q in qs}
+    return out
+
+
+@pytest.mark.parametrize(("ranked", "room"), [(100_000, None), (10, None), (10, 1.0), (100_000, -0.01)])
+def test_quantiles_of_narrow_and_wrong_brackets(measures, monkeypatch, ranked, room):
+    """All values in one bracket that has to be cut again and again; and brackets that lie beside the rank."""
+    monkeypatch.setattr(quantiles, "RANKED", ranked)
+    if room is not None:
+        monkeypatch.setattr(quantiles, "ROOM", room)
+    if room is not None and room < 0:
+        real = quantiles._brackets
+        monkeypatch.setattr(quantiles, "_brackets", lambda *a: {
+            pair: [n, *sorted((low, high))] for pair, (n, low, high) in real(*a).items()})
+    qs = [0.0, 0.01, 0.25, 0.5, 0.999, 1.0]
+    got = {(r.column_name, r["quantile"]): r.value for r in quantiles.exact_quantiles(measures, measures.columns, qs).collect()}
+    assert got == expected_quantiles(measures, qs)
+
+
+def test_quantiles_scan_the_table_twice(measures):
+    """One written table of counts, one sketch before it; what comes out reads the counts alone."""
+    from siltstone.sources.staging import stage as write
+
+    written = []
+
+    def stage(df, name):
+        written.append((name, df._jdf.queryExecution().executedPlan().toString().count("Scan parquet")))
+        return write(df, name)
+
+    found = quantiles.exact_quantiles(measures, measures.columns, [0.5, 0.999], stage)
+    assert written == [("bracket-values", 1)]
+    assert found.count() == 6
+    folder = measures.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://").removeprefix("file:")
+    assert folder not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_similarity_is_exact(spark):
     """Against brute force, with a group of equal items and small blocks."""
     import random
