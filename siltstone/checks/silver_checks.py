@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from siltstone.checks.base import D_TIME, TIME_TEXT, d_bool, d_clean, d_html, d_issues, d_long
 from siltstone.checks.registry import Tables, query
 from siltstone.checks.relational import D_BRIDGE, D_EVENTS_AGG, D_REVIEWS_AGG, d_quantile
+from siltstone.operators import schema
 from siltstone.plans import gold, silver
 from siltstone.reports import columns as column_reports
 from siltstone.reports import histograms, issues, overview, profile
@@ -407,11 +408,35 @@ def profile_numeric(t: Tables):
 
 
 @query("profile_all_tables", " UNION ALL ".join(
-    f"SELECT {_null_sql(table, c, kind)}, {_number_sql(c)} FROM {table}"
+    f"SELECT {_null_sql(table, c, kind)}, {_number_sql(c)}, count(DISTINCT {c}) AS distinct_count, TRUE AS estimate_is_near FROM {table}"
     for table, names in COLUMNS.items() for c, kind in names.items()))
 def profile_all_tables(t: Tables):
-    """Five tables; one that does not exist is passed over."""
-    return _rounded(profile.profile_tables({**{n: t.table(n) for n in COLUMNS}, "missing": None}))
+    """Five tables; one that does not exist is passed over. Distinct values are counted to judge the estimates."""
+    tables = {n: t.table(n) for n in COLUMNS}
+    estimated = _rounded(profile.profile_tables({**tables, "missing": None})).withColumnRenamed("distinct_count", "estimate")
+    return _judged(estimated, tables)
+
+
+def _judged(estimated, tables):
+    """With the true number of distinct values, and whether the estimate is within four standard errors of it."""
+    exact = schema.union_all(
+        df.agg(F.array(*[F.struct(F.lit(n).alias("table_name"), F.lit(c).alias("column_name"), F.count_distinct(c).alias("distinct_count"))
+                         for c in df.columns]).alias("e")).select(F.inline("e")) for n, df in tables.items())
+    room = F.greatest(F.lit(1.0), 4 * 1.04 / 2 ** (profile.CELLS / 2) * F.col("distinct_count"))
+    near = F.abs(F.col("estimate") - F.col("distinct_count")) <= room
+    return estimated.join(exact, ["table_name", "column_name"]).withColumn("estimate_is_near", near).drop("estimate")
+
+
+@query("profile_merged", " UNION ALL ".join(
+    f"SELECT {_null_sql(table, c, kind)}, {_number_sql(c)}, count(DISTINCT {c}) AS distinct_count, TRUE AS estimate_is_near FROM {table}"
+    for table in ("customer", "part") for c, kind in COLUMNS[table].items()))
+def profile_merged(t: Tables):
+    """Profiles of two halves of tables, written as summaries and merged without reading the tables again."""
+    tables = {n: t.table(n) for n in ("customer", "part")}
+    key = {"customer": "c_custkey", "part": "p_partkey"}
+    halves = [stage(profile.summarize({n: df.filter(F.col(key[n]) % 2 == half) for n, df in tables.items()}), "summaries") for half in (0, 1)]
+    estimated = _rounded(profile.profile_of(halves[0].unionByName(halves[1]))).withColumnRenamed("distinct_count", "estimate")
+    return _judged(estimated, tables)
 
 
 DISTRIBUTED = ["l_returnflag", "l_linestatus", "l_linenumber", "l_partkey"]

@@ -19,7 +19,7 @@ from siltstone.operators import assemble, schema
 from siltstone.plans import gold, quality, recommend, silver, vectors
 from siltstone.reports import columns, histograms, issues, outliers, overview, profile
 from siltstone.sources import ingest, readers, sinks
-from siltstone.sources.layout import Layout, read_batch, read_batch_if_any
+from siltstone.sources.layout import Layout, read_batch, read_batch_if_any, read_table_to
 from siltstone.sources.staging import staged_tables
 
 
@@ -60,7 +60,10 @@ def bronze_ingest(job: Job) -> None:
 
 
 def bronze_profile(job: Job) -> None:
-    """Profile the raw sources that can be found, under their normal names."""
+    """Profile the raw sources that can be found, under their normal names: this batch, and all batches up to it.
+
+    The latter is made of the summaries that each batch leaves; no earlier data are read.
+    """
     tables = {}
     for source in job.layout.sources:
         raw = readers.if_any(lambda: ingest.read_source(
@@ -69,8 +72,11 @@ def bronze_profile(job: Job) -> None:
             tagged = ingest.with_ingest_metadata(
                 raw, job.ctx, source.name, file_column=None, batch_column=None, time_column="ingestion_ts")
             tables[f"bronze_{source.name}"] = schema.normalize_names(tagged)
-    report = profile.profile_tables(tables).withColumn("profile_ts", job.ctx.stamp())
-    job.write_report(report, job.layout.gold("data_quality"), "table_name", "column_name")
+    job.write(profile.summarize(tables), job.layout.gold("data_summaries"))
+    for name, rows in {"data_quality": job.read(job.layout.gold("data_summaries")),
+                       "data_quality_to_date": read_table_to(job.spark, job.layout.gold("data_summaries"), job.ctx.batch_date)}.items():
+        report = profile.profile_of(rows).withColumn("profile_ts", job.ctx.stamp())
+        job.write_report(report, job.layout.gold(name), "table_name", "column_name")
     frames = [
         profile.profile_distribution(tables[name], name, found)
         for name, wanted in quality.DISTRIBUTION_COLUMNS.items() if name in tables

@@ -88,3 +88,8 @@ def read_batch_if_any(spark: SparkSession, path: str, batch_date: str) -> DataFr
     """None where the table does not exist."""
     table = readers.read_optional(spark, path)
     return None if table is None else batch_of(table, batch_date)
+
+
+def read_table_to(spark: SparkSession, path: str, batch_date: str) -> DataFrame:
+    """All batches up to this one."""
+    return readers.read_parquet(spark, path).filter(F.col("batch_date").cast("string") <= batch_date).drop("batch_date")

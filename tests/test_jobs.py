@@ -134,6 +134,7 @@ def test_reports(batch):
     assert batch.read(batch.layout.quality("outliers")).filter("table_name = 'users'").count() == 2
     profile = batch.read(batch.layout.gold("data_quality"))
     assert profile.select("table_name").distinct().count() == 13
+    assert profile.filter("table_name = 'bronze_rec_users' AND column_name = 'user_id'").first().distinct_count == 13
     spread = batch.read(batch.layout.gold("data_distribution")).filter("column_name = 'rating' AND value_rank = 1")
     assert spread.first().value == "Good" and spread.first().distinct_count == 2
 
@@ -176,8 +177,13 @@ def test_second_batch_keeps_the_first(batch):
     before = batch.read(batch.layout.silver("users")).count()
     raw_batch(Path(batch.layout.root), "2024-01-02", users=3)
     later = replace(batch, ctx=replace(batch.ctx, batch_date="2024-01-02"))
-    for name in ("bronze-ingest", "silver-users"):
+    for name in ("bronze-ingest", "bronze-profile", "silver-users"):
         JOBS[name](later)
         JOBS[name](later)
+    ids = "table_name = 'bronze_rec_users' AND column_name = 'user_id'"
+    first, second, both = (table.read(table.layout.gold(name)).filter(ids).first() for table, name in (
+        (batch, "data_quality"), (later, "data_quality"), (later, "data_quality_to_date")))
+    assert both.row_count == first.row_count + second.row_count
+    assert (first.distinct_count, second.distinct_count, both.distinct_count) == (13, 4, 13)
     assert batch.read(batch.layout.silver("users")).count() == before
     assert later.read(later.layout.silver("users")).count() == 3

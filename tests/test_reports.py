@@ -97,6 +97,29 @@ def test_master_table_rejects_repeated_columns(spark):
     assert row.review_count_all_reviews == 2 and row.positive_review_count is None
 
 
+def test_merged_profile_equals_that_of_the_union(spark):
+    """Batches of different sizes, one empty; numbers far from 0 with a small spread; nulls, maps and columns without values."""
+    df = spark.range(5000).select(
+        (1e9 + F.col("id") % 7).alias("far"), F.when(F.col("id") % 3 > 0, F.col("id") % 1000).alias("some"),
+        F.concat(F.lit("k"), F.col("id")).alias("text"), F.lit(None).cast("int").alias("none"),
+        F.create_map(F.lit("a"), F.col("id") % 10).alias("map"), F.array(F.col("id") % 20).alias("list"), "id")
+    parts = [df.filter("id < 10"), df.filter("id >= 10 and id < 3000"), df.filter("id >= 3000"), df.limit(0)]
+    whole = {r.column_name: r for r in profile.profile_table(df.repartition(5), "t").collect()}
+    summaries = [profile.summary(p, "t") for p in parts]
+    joined = profile.merged(summaries[0].unionByName(summaries[1])).unionByName(profile.merged(summaries[2].unionByName(summaries[3])))
+    got = {r.column_name: r for r in profile.profile_of(joined).collect()}
+    plain = df.agg(F.stddev("far").alias("s"), F.avg("some").alias("m")).first()
+    assert got.keys() == whole.keys() == set(df.columns)
+    for name in df.columns:
+        for field in ("row_count", "null_count", "null_ratio", "data_type", "min_value", "max_value"):
+            assert got[name][field] == whole[name][field], (name, field)
+        # Estimates depend a little on the order of merging.
+        assert got[name].distinct_count == pytest.approx(whole[name].distinct_count, rel=0.02)
+    assert got["far"].stddev_value == pytest.approx(plain.s, rel=1e-9) and got["some"].avg_value == pytest.approx(plain.m)
+    assert [got[c].distinct_count for c in ("none", "map", "list", "far")] == [0, 10, 20, 7]
+    assert abs(got["text"].distinct_count - 5000) < 200
+
+
 def test_plans_scan_once(spark, tmp_path):
     """Profiles and histograms of many columns take one scan, with only the columns they need."""
     path = str(tmp_path / "t")
