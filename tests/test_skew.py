@@ -173,15 +173,23 @@ def test_similarity_is_exact(spark):
     for i in sorted(tags):
         names.setdefault(tags[i], i)
     sets = sorted(names.items(), key=lambda item: item[1])
-    for threshold, tuple_size in ((0.3, 2), (0.6, 1), (0.6, 3), (0.8, 3), (1.0, 4)):
+    for threshold in (0.3, 0.5, 0.6, 0.8, 1.0):
         want = {
             (a, b): len(x & y) / len(x | y)
             for n, (x, a) in enumerate(sets) for y, b in sets[n + 1:] if len(x & y) / len(x | y) >= threshold - 1e-9}
-        got = recommend.content_similarity(bridge, threshold, tuple_size, block=10).collect()
+        got = recommend.content_similarity(bridge, threshold, block=10).collect()
         assert {(r.set_id_a, r.set_id_b): r.jaccard for r in got} == pytest.approx(want)
         assert len(got) == len(want)
 
 
+def test_index_rows_are_linear(spark):
+    """Sets of 50, 100 and 200 tags: two fifths of the tags, and one."""
+    bridge = spark.createDataFrame([(n, f"{n} {k}") for n in (50, 100, 200) for k in range(n)] + [(1, "x")], "app_id bigint, tag string")
+    ordered = bridge.groupBy(F.col("app_id").alias("set_id")).agg(F.sort_array(F.collect_list(F.struct(F.lit(1).alias("n"), "tag"))).alias("ranked"))
+    rows = {r.set_id: r["count"] for r in recommend.prefix_index(ordered, 0.6, 2000).groupBy("set_id").count().collect()}
+    assert rows == {1: 1, 50: 21, 100: 41, 200: 81}
+
+
 def test_dense_ids(spark):
     df = spark.range(1000).select((F.col("id") * 7_000_000_000).alias("big")).union(spark.range(5).toDF("big"))
     ids = recommend.dense_ids(df, "big", "no", buckets=8).collect()
