@@ -70,15 +70,14 @@ def _brackets(df: DataFrame, columns: list[str], quantiles: list[float]) -> dict
 
 def _counted(df: DataFrame, columns: list[str], quantiles: list[float], brackets: dict[tuple[int, int], list]) -> DataFrame:
     """(i, j, value, n): values inside a bracket, and with a null value the rows on its rarer side."""
-    entries = []
-    for (i, j), (_, low, high) in brackets.items():
-        value = _valid(columns[i])
-        aside = value > high if quantiles[j] >= 0.5 else value < low
-        inside = value.between(low, high)
-        entries.append(F.when(inside | aside, F.struct(
-            F.lit(i).alias("i"), F.lit(j).alias("j"), F.when(inside, value).alias("value"))))
-    rows = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
-    return rows.groupBy("e.i", "e.j", "e.value").agg(F.count("*").alias("n"))
+    names = list(dict.fromkeys(columns[i] for i, _ in brackets))
+    rows = [(columns[i], i, j, float(low), float(high), quantiles[j] >= 0.5) for (i, j), (_, low, high) in brackets.items()]
+    limits = df.sparkSession.createDataFrame(rows, "column_name string, i int, j int, low double, high double, above boolean")
+    values = melt(df, names).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    value, inside = F.col("value"), F.col("value").between(F.col("low"), F.col("high"))
+    aside = F.when(F.col("above"), value > F.col("high")).otherwise(value < F.col("low"))
+    found = values.join(F.broadcast(limits), "column_name").filter(inside | aside)  # one row for each bracket
+    return found.groupBy("i", "j", F.when(inside, value).alias("value")).agg(F.count("*").alias("n"))
 
 
 def _rank(n: int, q: float) -> int:
