@@ -7,10 +7,10 @@ from pyspark.sql import types as T
 
 from siltstone.checks.registry import Tables, query
 from siltstone.functions import clean
-from siltstone.operators import dedup, rules, schema, skew
+from siltstone.operators import dedup, rules, schema
 from siltstone.sources import ingest, readers, sinks
 from siltstone.sources.layout import Layout, Source, read_batch
-from siltstone.sources.staging import staging_path
+from siltstone.sources.staging import stage, staging_path
 
 # DuckDB spellings of the cleaning functions, for the oracles.
 NULLS = "('', 'null', 'NULL', 'None', 'N/A', 'na', 'NA')"
@@ -85,7 +85,7 @@ def ingest_bronze(t: Tables):
     sources = [
         Source("customers", "customers/batch_date={batch}/*.csv"),
         Source("parts", "parts/batch_date={batch}/*.csv.gz"),
-        Source("nations", "nations/batch_date={batch}/*.json", "json", schema="n_nationkey bigint, n_name string"),
+        Source("nations", "nations/batch_date={batch}/*.json", "json", schema="n_nationkey bigint, n_name string, n_regionkey int"),
     ]
     layout = Layout(staging_path(t.spark, "ingest"), sources)
     batch = t.ctx.batch_date
@@ -106,6 +106,84 @@ def ingest_bronze(t: Tables):
         for name, key in keys.items())
 
 
+@query("src_optional_empty", """
+    SELECT 'customer' AS name, count(*) AS n FROM customer UNION ALL SELECT 'gone', 0""")
+def src_optional_empty(t: Tables):
+    """A table that is there, and one that is not and counts as an empty one with the same columns."""
+    found = {name: readers.read_optional(t.spark, f"{t.path}/{name}.parquet") for name in ("customer", "gone")}
+    kind = found["customer"].schema
+    return schema.union_all(
+        (readers.empty(t.spark, kind) if df is None else df).agg(F.lit(name).alias("name"), F.count("*").alias("n"))
+        for name, df in found.items())
+
+
+@query("profile_metadata", """
+    SELECT p_partkey, 'part' AS source_name, '2024-01-01 00:00:00' AS ingested FROM part""")
+def profile_metadata(t: Tables):
+    """The metadata that the profile adds: the time and the source, neither batch nor file."""
+    tagged = ingest.with_ingest_metadata(t.part, t.ctx, "part", file_column=None, batch_column=None, time_column="ingestion_ts")
+    added = [c for c in tagged.columns if c not in t.part.columns]
+    if added != ["ingestion_ts", "source_name"]:
+        raise ValueError(f"added {added}")
+    return tagged.select("p_partkey", "source_name", F.date_format("ingestion_ts", TIME_TEXT).alias("ingested"))
+
+
+@query("stamp_columns", """
+    SELECT c_custkey, '2024-01-01' AS batch_date, '2024-01-01 00:00:00' AS processed, DATE '2024-01-31' AS last_release FROM customer""")
+def stamp_columns(t: Tables):
+    """One processing time and batch date for all rows of a run, and the run's own today."""
+    return t.customer.select(
+        "c_custkey", t.ctx.batch().alias("batch_date"), F.date_format(t.ctx.stamp(), TIME_TEXT).alias("processed"),
+        F.date_add(F.lit(t.ctx.today), 30).alias("last_release"))
+
+
+@query("sink_sized", """
+    SELECT 'all' AS output, count(*) AS n, TRUE AS files_fit FROM lineitem
+    UNION ALL SELECT 'few', count(*), TRUE FROM lineitem WHERE l_quantity = 1 AND l_linenumber = 7
+    UNION ALL SELECT 'skewed', count(*), TRUE FROM lineitem""")
+def sink_sized(t: Tables):
+    """Files of about the asked size, whether an output is large, small or mostly in one task."""
+    measured = stage(t.lineitem, "lineitem")
+    outputs = {"all": measured, "few": measured.filter("l_quantity = 1 and l_linenumber = 7"),
+               "skewed": measured.repartition(4, F.when(F.col("l_partkey") % 20 > 0, 0).otherwise(F.col("l_partkey")))}
+    frames = []
+    for name, df in outputs.items():
+        path, target = staging_path(t.spark, f"sized-{name}"), 256 * 1024
+        sinks.write_sized(df, path, target, sinks.bytes_per_row(measured))
+        sizes = sinks.file_bytes(t.spark, path)
+        whole = sum(sizes)
+        fit = max(sizes, default=0) <= 2 * target and len(sizes) <= 2 + 2 * whole / target
+        frames.append(t.spark.read.schema(df.schema).parquet(path).agg(
+            F.lit(name).alias("output"), F.count("*").alias("n"), F.lit(fit).alias("files_fit")))
+    return schema.union_all(frames)
+
+
+@query("report_order", """
+    SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, c_mktsegment, c_nationkey) AS BIGINT) AS place, c_mktsegment, c_nationkey,
+      count(*) AS customers FROM customer GROUP BY c_mktsegment, c_nationkey""")
+def report_order(t: Tables):
+    """A report in one file, in the order that was asked for, read back with the place of each row."""
+    path = staging_path(t.spark, "ordered-report")
+    counts = t.customer.groupBy("c_mktsegment", "c_nationkey").agg(F.count("*").alias("customers"))
+    sinks.write_batch(counts, path, "2024-01-01", num_partitions=1, order=[F.desc("customers"), "c_mktsegment", "c_nationkey"])
+    rows = read_batch(t.spark, path, "2024-01-01", row_id=True)
+    return rows.select((F.col("_row") + 1).alias("place"), "c_mktsegment", "c_nationkey", "customers")
+
+
+@query("write_metrics", """
+    SELECT 'customer' AS table_name, count(*) AS row_count, count(*) FILTER (c_acctbal < 0) AS flagged FROM customer
+    UNION ALL SELECT 'events', count(*), count(*) FILTER (value > 90) FROM events
+    UNION ALL SELECT 'none', 0, 0""")
+def write_metrics(t: Tables):
+    """Counts that the writes themselves have made, read from the table of metrics and not from the data."""
+    path, batch = staging_path(t.spark, "metrics"), t.ctx.batch_date
+    tables = {"customer": (t.customer, F.col("c_acctbal") < 0), "events": (t.events, F.col("value") > 90),
+              "none": (t.region.filter("r_regionkey < 0"), F.col("r_regionkey") > 0)}
+    for name, (df, flag) in tables.items():
+        sinks.write_measured(df, f"{path}/{name}", batch, f"{path}/_metrics", name, flagged=flag)
+    return sinks.written_counts(t.spark, f"{path}/_metrics", batch).select("table_name", "row_count", "flagged")
+
+
 @query("verify_row_counts", """
     SELECT 'customer' AS table_name, count(*) AS row_count FROM customer
     UNION ALL SELECT 'part', count(*) FROM part
@@ -398,7 +476,8 @@ issue_query("rule_missing_column", [("missing_user_id_column", "TRUE")], "", "pa
 def rule_ts_order(t: Tables):
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
-    judged = rules.annotate(skew.lookup_join(lines, orders, ["l_orderkey"]), [
+    # An order has a handful of lines: no key is hot, so the lines are read once.
+    judged = rules.annotate(lines.join(orders, "l_orderkey", "left"), [
         rules.time_order("o_orderdate", "l_shipdate", "shipped_before_order")])
     return judged.select("l_orderkey", "l_linenumber", rules.as_text(F.col(rules.ISSUES)).alias("quality_issue"))
 

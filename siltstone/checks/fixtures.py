@@ -93,6 +93,23 @@ SELECT p_partkey, CASE WHEN p_partkey % 142 = 0 THEN 'NA' ELSE p_brand END,
 FROM {part}
 """
 
+# Descriptions, texts for promotion and figures of use: of some items only, with missing and text values.
+GAME_METADATA = """
+SELECT p_partkey AS app_id, CASE WHEN p_partkey % 23 = 0 THEN 'N/A' ELSE concat('About ', p_name) END AS description,
+  concat(p_type, ' by ', p_brand) AS tags
+FROM {part} WHERE p_partkey % 3 <> 1
+"""
+GAME_PROMOTIONAL = """
+SELECT page_id AS app_id, url AS summary, CASE WHEN page_id % 13 = 0 THEN ' ' ELSE substr(html, 1, 40) END AS extensive,
+  html AS about
+FROM {pages}
+"""
+GAME_USAGE = """
+SELECT p_partkey AS app_id, p_brand AS developer, concat('0 .. ', CAST(p_size * 1000 AS STRING)) AS owners,
+  concat(CAST(p_size AS STRING), '.5 hours') AS average_forever, CASE WHEN p_partkey % 29 = 0 THEN NULL ELSE p_partkey % 97 END AS ccu
+FROM {part} WHERE p_partkey % 5 > 0
+"""
+
 # User-item interactions: buyer and part of every order line.
 INTERACTIONS = """
 SELECT o.o_custkey AS user_id, l.l_partkey AS app_id,
@@ -133,6 +150,9 @@ FIXTURES: dict[str, tuple[str, list[str]]] = {
     "dirty_part": (DIRTY_PART, ["part"]),
     "item_reviews": (ITEM_REVIEWS, ["lineitem"]),
     "store_games": (STORE_GAMES, ["part"]),
+    "game_metadata": (GAME_METADATA, ["part"]),
+    "game_promotional": (GAME_PROMOTIONAL, ["pages"]),
+    "game_usage": (GAME_USAGE, ["part"]),
     "item_tags": (ITEM_TAGS, ["part"]),
     "item_vectors": (ITEM_VECTORS, ["part", "embeddings"]),
     "platform_items": (PLATFORM_ITEMS, ["part"]),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltstone.checks.base import D_TIME, TIME_TEXT, d_bool, d_clean, d_html, d_issues, d_long
+from siltstone.checks.base import D_TIME, TIME_TEXT, d_bool, d_clean, d_double, d_html, d_issues, d_long
 from siltstone.checks.registry import Tables, query
 from siltstone.checks.relational import D_BRIDGE, D_EVENTS_AGG, D_REVIEWS_AGG, d_quantile
 from siltstone.operators import schema
@@ -88,9 +88,13 @@ D_PARTS = f"""
         s.genres, s.tags_insight, CAST(d.positive_ratio AS DOUBLE) AS positive_ratio, d.price_final,
         CAST(r.review_count_all_reviews AS DOUBLE) AS review_count, CAST(r.negative_review_count AS DOUBLE) AS negatives,
         round(r.avg_votes_up, 6) AS avg_votes_up,
-        CAST(h.recommendation_event_count AS DOUBLE) AS event_count, CAST(h.recommended_count AS DOUBLE) AS recommended
+        CAST(h.recommendation_event_count AS DOUBLE) AS event_count, CAST(h.recommended_count AS DOUBLE) AS recommended,
+        {d_clean('m.description')} AS description, {d_clean('m.tags')} AS tags, {d_clean('p.summary')} AS summary,
+        {d_clean('p.extensive')} AS extensive, {d_clean('p.about')} AS about, {d_clean('u.developer')} AS developer,
+        {d_clean('u.owners')} AS owners, {d_double('u.average_forever')} AS average_forever, CAST(u.ccu AS DOUBLE) AS ccu
         FROM dirty_part d LEFT JOIN store_one s ON d.app_id = s.app_id LEFT JOIN reviews r ON d.app_id = r.app_id
-          LEFT JOIN happenings h ON d.app_id = h.app_id),
+          LEFT JOIN happenings h ON d.app_id = h.app_id LEFT JOIN game_metadata m ON d.app_id = m.app_id
+          LEFT JOIN game_promotional p ON d.app_id = p.app_id LEFT JOIN game_usage u ON d.app_id = u.app_id),
     pt_judged AS (SELECT *, {d_issues(*PART_ISSUES)} AS quality_issue FROM pt_joined),
     pt_rejected AS (SELECT * FROM pt_judged WHERE quality_issue IS NOT NULL),
     pt_good AS (SELECT * FROM pt_judged WHERE quality_issue IS NULL),
@@ -126,6 +130,7 @@ def texts(t: Tables) -> silver.Silver:
 def parts(t: Tables) -> silver.Silver:
     return silver.silver_games({
         "base": t.fixture("dirty_part").drop("is_free"), "store_games": t.fixture("store_games"),
+        "metadata": t.fixture("game_metadata"), "promotional": t.fixture("game_promotional"), "usage": t.fixture("game_usage"),
         "reviews": t.fixture("item_reviews"), "interactions": t.fixture("interactions")}, t.ctx)
 
 
@@ -167,7 +172,8 @@ def silver_customers_rejected(t: Tables):
 @query("silver_parts", f"""WITH {D_PARTS}
     SELECT app_id, title, store_name, game_name, CAST(released AS VARCHAR) AS released, is_free_clean, genres,
       tags_insight, positive_ratio, price_final, price_final_capped, review_count, negatives, avg_votes_up,
-      event_count, recommended, outlier_reasons, outlier_reasons IS NOT NULL AS is_outlier FROM pt_valid""")
+      event_count, recommended, description, tags, summary, extensive, about, developer, owners, average_forever, ccu,
+      outlier_reasons, outlier_reasons IS NOT NULL AS is_outlier FROM pt_valid""")
 def silver_parts(t: Tables):
     return parts(t).valid.select(
         "app_id", "title", "store_name", "game_name", F.col("release_date_final").cast("string").alias("released"),
@@ -176,6 +182,7 @@ def silver_parts(t: Tables):
         "price_final_capped", F.col("review_count_all_reviews").alias("review_count"),
         F.col("negative_review_count").alias("negatives"), F.round("avg_votes_up", 6).alias("avg_votes_up"),
         F.col("recommendation_event_count").alias("event_count"), F.col("recommended_count").alias("recommended"),
+        "description", "tags", "summary", "extensive", "about", "developer", "owners", "average_forever", "ccu",
         "outlier_reasons", "is_outlier")
 
 
@@ -217,7 +224,7 @@ FAR = {"reviews": "far_hours OR far_text", "users": "far_products OR far_reviews
        "game_tags": "is_outlier", "games": "outlier_reasons IS NOT NULL"}
 D_ALL = ", ".join([D_EVENTS, D_USERS, D_TEXTS, D_BRIDGES, D_PARTS])
 # Columns of the bronze fixture and of the silver table.
-WIDTHS = {"reviews": (9, 15), "users": (4, 10), "game_text": (3, 9), "game_tags": (2, 6), "games": (5, 29)}
+WIDTHS = {"reviews": (9, 15), "users": (4, 10), "game_text": (3, 9), "game_tags": (2, 6), "games": (5, 38)}
 
 
 def _overview_row(table: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,9 @@ from pyspark.sql import types as T
 from siltstone.context import RunContext
 from siltstone.operators import assemble, schema, skew
 from siltstone.plans.silver import review_booleans
+from siltstone.sources.staging import stage as write_stage
+
+Stage = Callable[[DataFrame, str], DataFrame]
 
 
 def reviews_bi_schema(store: str) -> T.StructType:
@@ -97,13 +102,13 @@ def item_features(items: DataFrame, interactions: DataFrame, bridge: DataFrame)
     return joined.withColumn("popularity", F.coalesce(F.log1p("review_count") / F.nullif(most, F.lit(0.0)), F.lit(0.0)))
 
 
-def tag_profile(interactions: DataFrame, bridge: DataFrame) -> DataFrame:
+def tag_profile(interactions: DataFrame, bridge: DataFrame, stage: Stage = write_stage) -> DataFrame:
     """(user_id, tag, weight): how many of the user's interactions carry the tag.
 
-    Facts are counted per user and item first; the tags of an item come in one
+    Facts are counted per user and item first, and written, as the join reads them twice; the tags of an item come in one
     row, through a join that holds up when one item has a large share of the users.
     """
-    pairs = interactions.groupBy("user_id", "app_id").agg(F.count("*").alias("times"))
+    pairs = stage(interactions.groupBy("user_id", "app_id").agg(F.count("*").alias("times")), "user-items")
     tags = assemble.sorted_set(bridge, "app_id", "tag", "tags")
     tagged = skew.lookup_join(pairs, tags, ["app_id"], how="inner")
     return (
@@ -117,12 +122,12 @@ def favourite_tag(profile: DataFrame) -> DataFrame:
     return profile.groupBy("user_id").agg(F.max_by("tag", F.struct("weight", "tag")).alias("favourite_tag"))
 
 
-def user_features(interactions: DataFrame, bridge: DataFrame, users: DataFrame | None = None) -> DataFrame:
+def user_features(interactions: DataFrame, bridge: DataFrame, users: DataFrame | None = None, stage: Stage = write_stage) -> DataFrame:
     """User KPIs, the favourite tag and, where the user table is given, owned items and reviews."""
     owned = None if users is None else users.select(
         "user_id", F.col("products").alias("owned_items"), F.col("reviews").alias("written_reviews"))
     return assemble.master_table(
-        user_kpis(interactions), [favourite_tag(tag_profile(interactions, bridge)), owned], "user_id")
+        user_kpis(interactions), [favourite_tag(tag_profile(interactions, bridge, stage)), owned], "user_id")
 
 
 def interaction_weight(recommended: Column, hours: Column, helpful: Column) -> Column:

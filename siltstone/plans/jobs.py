@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from siltstone.context import RunContext
 from siltstone.functions import clean
 from siltstone.operators import assemble, schema
+from siltstone.operators.outliers import FLAG
 from siltstone.plans import gold, quality, recommend, silver, vectors
 from siltstone.reports import columns, histograms, issues, outliers, overview, profile
 from siltstone.sources import ingest, readers, sinks
@@ -46,8 +47,11 @@ class Job:
         sinks.write_batch(df, path, self.ctx.batch_date, num_partitions=1, order=order)
 
     def write_silver(self, name: str, made: silver.Silver) -> None:
-        self.write(made.valid, self.layout.silver(name))
-        self.write(made.rejected, self.layout.rejected(name), rebalance=True)
+        """Both sides; the writes count their rows for the overview."""
+        batch, metrics = self.ctx.batch_date, self.layout.metrics
+        flagged = F.col(FLAG) if FLAG in made.valid.columns else None
+        sinks.write_measured(made.valid, self.layout.silver(name), batch, metrics, f"silver/{name}", flagged)
+        sinks.write_measured(made.rejected, self.layout.rejected(name), batch, metrics, f"rejected/{name}", rebalance=True)
 
     def layers(self, name: str) -> overview.Layers:
         return overview.Layers(
@@ -147,7 +151,10 @@ def quality_histograms(job: Job) -> None:
 
 
 def quality_overview(job: Job) -> None:
-    report = overview.overview(job.spark, job.ctx, {n: job.layers(n) for n in quality.BRONZE_OF})
+    """From what the writes have counted: no table is read."""
+    written = sinks.written_counts(job.spark, job.layout.metrics, job.ctx.batch_date)
+    counts = overview.written_layers(written, quality.BRONZE_OF)
+    report = overview.overview_of(job.spark, job.ctx, list(quality.BRONZE_OF), counts)
     job.write_report(report, job.layout.quality("overview"), "table_name")
 
 
@@ -185,7 +192,7 @@ def gold_tables(job: Job) -> None:
                 facts, job.read(job.layout.silver("game_categories")), value="category"),
             "platform_summary": gold.platform_summary(items),
             "game_features": gold.item_features(described, facts, tags),
-            "user_features": gold.user_features(facts, tags, users),
+            "user_features": gold.user_features(facts, tags, users, stage),
             "training_interactions": gold.with_split(features),
             "game_similarity": recommend.content_similarity(tags, stage=stage),
             "game_tag_sets": recommend.tag_sets(tags),

@@ -18,6 +18,8 @@ OVERVIEW_SCHEMA = """
     column_count_bronze bigint, column_count_silver bigint, overview_created_at timestamp
 """
 
+COUNTS_SCHEMA = "table_name string, layer string, row_count bigint, outliers bigint, columns bigint"
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -42,10 +44,24 @@ def overview(spark: SparkSession, ctx: RunContext, datasets: dict[str, Layers])
         for table, layers in datasets.items()
         for layer, df in vars(layers).items() if df is not None
     ]
-    names = spark.createDataFrame([(t,) for t in datasets], "table_name string")
     if not counts:
-        counts = [names.limit(0).selectExpr(
-            "table_name", "'' AS layer", "0L AS row_count", "0L AS outliers", "0L AS columns")]
+        return overview_of(spark, ctx, list(datasets), spark.createDataFrame([], COUNTS_SCHEMA))
+    return overview_of(spark, ctx, list(datasets), union_all(counts))
+
+
+def written_layers(written: DataFrame, bronze_of: dict[str, str]) -> DataFrame:
+    """Counts by table and layer out of what the writes have counted; ``bronze_of`` names each table's bronze table."""
+    places = {f"{layer}/{name}": (table, layer) for table, bronze in bronze_of.items()
+              for layer, name in (("bronze", bronze), ("silver", table), ("rejected", table))}
+    named = written.sparkSession.createDataFrame([(n, *p) for n, p in places.items()], "table_name string, of string, layer string")
+    outliers = F.when(F.col("layer") == "silver", F.col("flagged")).otherwise(0)
+    return written.join(F.broadcast(named), "table_name").select(  # three rows a table
+        F.col("of").alias("table_name"), "layer", "row_count", outliers.alias("outliers"), "columns")
+
+
+def overview_of(spark: SparkSession, ctx: RunContext, tables: list[str], counts: DataFrame) -> DataFrame:
+    """The overview from ``COUNTS_SCHEMA`` rows; a layer without a row counts as empty."""
+    names = spark.createDataFrame([(t,) for t in tables], "table_name string")
 
     def of(layer: str, measure: str):
         return F.coalesce(F.sum(F.when(F.col("layer") == layer, F.col(measure))), F.lit(0).cast("bigint"))
@@ -53,7 +69,7 @@ def overview(spark: SparkSession, ctx: RunContext, datasets: dict[str, Layers])
     def rate(part: str, whole: str):
         return F.coalesce(F.col(part) / F.nullif(F.col(whole), F.lit(0)), F.lit(0.0))
 
-    wide = names.join(union_all(counts), "table_name", "left").groupBy("table_name").agg(
+    wide = names.join(counts, "table_name", "left").groupBy("table_name").agg(
         of("bronze", "row_count").alias("bronze_row_count"),
         of("silver", "row_count").alias("silver_row_count"),
         of("rejected", "row_count").alias("rejected_row_count"),

@@ -41,6 +41,6 @@ def ingest(spark: SparkSession, layout: Layout, ctx: RunContext,
     for source in sources if sources is not None else layout.sources:
         raw = read_source(spark, source, layout.raw(source, ctx.batch_date))
         tagged = with_ingest_metadata(raw, ctx, source.name)
-        sinks.write_batch(tagged, layout.bronze(source.name), ctx.batch_date)
+        sinks.write_measured(tagged, layout.bronze(source.name), ctx.batch_date, layout.metrics, f"bronze/{source.name}")
         done.append(source.name)
     return done

@@ -69,6 +69,11 @@ class Layout:
     def quality(self, name: str) -> str:
         return f"{self.root}/silver/quality/{name}"
 
+    @property
+    def metrics(self) -> str:
+        """What the writes of bronze and silver have counted."""
+        return f"{self.root}/_metrics"
+
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 

@@ -123,10 +123,19 @@ def test_bridges(batch):
     assert (0, "common one") in tags and (1, "tags 1") in tags and len(tags) == 12
 
 
+def batch_overview(batch) -> dict:
+    from siltstone.reports import overview
+
+    frames = {n: batch.layers(n) for n in quality.BRONZE_OF}
+    return {r.table_name: r for r in overview.overview(batch.spark, batch.ctx, frames).collect()}
+
+
 def test_reports(batch):
     overview = {r.table_name: r for r in batch.read(batch.layout.quality("overview")).collect()}
     assert set(overview) == set(quality.BRONZE_OF)
     assert overview["users"].row_delta == 0 and overview["games"].row_delta == 2
+    counted = batch_overview(batch)  # by reading the tables
+    assert {n: r.asDict() for n, r in overview.items()} == {n: r.asDict() for n, r in counted.items()}
     issues = batch.read(batch.layout.quality("issues"))
     assert issues.filter("table_name = 'games'").count() == 3
     assert batch.read(batch.layout.quality("columns")).filter("column_name = 'helpful'").first().silver_null_count == 0
