@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 from siltstone.llm import words
 
-#: Pieces that a worker remembers; it forgets all when it has more.
+#: Pieces that a worker remembers; those not met for longest are forgotten.
 CACHE_PIECES = 450_000
 ODD_SPACE = r" (\s|\p{Z}|\x{1c}|\x{1d}|\x{1e}|\x{1f}|\x{85}|$)"
 
@@ -46,8 +46,8 @@ class ByteTokenizer:
         self.n_ids = self.library.get_vocab_size()
         self.spaced = np.zeros(self.n_ids, bool)
         self.spaced[[i for t, i in spec["model"]["vocab"].items() if t.startswith("Ġ")]] = True
-        self.pieces: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
+        self.pieces = words.Recent(CACHE_PIECES)
+        self.heads = words.Recent(CACHE_PIECES // 4)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         """Ids as bytes, 4 for each."""
@@ -56,10 +56,8 @@ class ByteTokenizer:
 
     def _pieces(self, values: list[str]) -> list[bytes]:
         """Ids of each piece after a space; the space is part of it."""
-        known = self.pieces
-        if len(known) > CACHE_PIECES:
-            known.clear()
-        new = [v for v in values if v not in known]
+        new = self.pieces.missing(values)
+        known = self.pieces.young
         if new:
             ids = self._ids([" " + " ".join(new)])[0]
             cuts = [*(4 * np.flatnonzero(self.spaced[np.frombuffer(ids, np.uint32)])).tolist(), len(ids)]
@@ -67,10 +65,8 @@ class ByteTokenizer:
         return list(map(known.__getitem__, values))
 
     def _heads(self, values: list[str]) -> list[bytes]:
-        known = self.heads
-        if len(known) > CACHE_PIECES:
-            known.clear()
-        new = [v for v in dict.fromkeys(values) if v not in known]
+        new = self.heads.missing(values)
+        known = self.heads.young
         known.update(zip(new, self._ids(new)))
         return [known[v] for v in values]
 

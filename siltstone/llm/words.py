@@ -102,3 +102,44 @@ def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def lower_ascii(text: pa.Array) -> pa.Array:
     """A to Z in lower case; all other characters as they are; null is empty."""
     return pc.ascii_lower(pc.fill_null(text, ""))
+
+
+class Recent:
+    """A memory of values by key in two generations: when the younger is full, the older is forgotten.
+
+    What is asked for again moves to the younger one, so frequent keys stay, and at most ``size`` are held.
+    """
+
+    def __init__(self, size: int):
+        self.half, self.young, self.old = max(1, size // 2), {}, {}
+
+    def missing(self, keys: list) -> list:
+        """The distinct keys that are not known; known ones are kept until the next call."""
+        if len(self.young) > self.half:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        absent = [k for k in keys if k not in young]
+        if not absent or not old:
+            return absent if len(absent) < 2 else list(dict.fromkeys(absent))
+        new = []
+        for k in dict.fromkeys(absent):
+            found = old.get(k)
+            if found is None:
+                new.append(k)
+            else:
+                young[k] = found
+        return new
+
+    def get(self, key):
+        """The value of a key or None."""
+        found = self.young.get(key)
+        if found is None and self.old:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) > self.half:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
