@@ -4,7 +4,8 @@ The encoding of every prefix of a word ends in exactly one token, and that token
 known when the shorter prefixes are: of the vocabulary entries that end there (an
 automaton over the vocabulary lists them, longest suffix first), it is the one that
 is compatible with the last token of the prefix before it. Two tokens are compatible
-if merging their joint symbols gives just these two again. Following the last tokens
+if merging their joint symbols gives just these two again, which the trees of their merges tell: undone from the last merge on,
+no merge across the border may come before those that are still done. Following the last tokens
 back from the end of the word gives the ids that applying the merges in order gives.
 
 Null texts are empty; an empty text has no ids and decodes to an empty text. Texts are
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 
 from siltstone.llm import words
 
-#: Words and chunks that a worker remembers, and half as many pairs; it forgets all of a kind when it has more.
+#: Words and chunks that a worker remembers; those not met for longest are forgotten.
 CACHE_ENTRIES = 250_000
 _END = "\n"  # marks the last symbol of a word; no byte is written as this character
 
@@ -64,10 +65,10 @@ class PrefixBpe:
         for token in self.ids:
             self.matches.add_word(token, token)
         self.matches.make_automaton()
-        self.whole: dict[str, bool] = {}
+        self.trees: dict[str, tuple[int, str, str] | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.words = words.Recent(CACHE_ENTRIES)
+        self.chunks = words.Recent(CACHE_ENTRIES)
 
     def _inner(self, token: str) -> str:
         return token.removesuffix(self.suffix) + _END if token.endswith(self.suffix) else token
@@ -85,39 +86,74 @@ class PrefixBpe:
             symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
-    def _is_whole(self, token: str) -> bool:
-        if token not in self.whole:
-            self.whole[token] = self._merged(self._symbols(token)) == [token]
-        return self.whole[token]
+    def _tree(self, token: str) -> tuple[int, str, str] | None:
+        """The rank of the merge that makes a token and its two parts; -1 for a symbol, None if merging never makes it."""
+        found = self.trees.get(token, False)
+        if found is False:
+            symbols = self._symbols(token)
+            found, rest = (-1, token, token), len(symbols)
+            while rest > 1:
+                rank, at = min((self.rank.get(p, len(self.rank)), i) for i, p in enumerate(zip(symbols, symbols[1:])))
+                if rank == len(self.rank):
+                    found = None
+                    break
+                found = rank, symbols[at], symbols[at + 1]
+                symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+                rest -= 1
+            self.trees[token] = found
+        return found
 
     def _compatible(self, left: str, right: str) -> bool:
-        pair = left, right
-        found = self.pairs.get(pair)
-        if found is None:
-            if len(self.pairs) > CACHE_ENTRIES // 2:
-                self.pairs.clear()
-            found = self.pairs[pair] = self._merged([*self._symbols(left), *self._symbols(right)]) == [left, right]
-        return found
+        """Whether merging the symbols of both gives just the two.
+
+        Both are undone, the later merge first. A merge of what then stands beside the border comes first if its rank is below that
+        of what was undone; of equal ranks the left one is done first.
+        """
+        rank, trees = self.rank, self.trees
+        limit = len(rank)
+        (r1, _, inner1), (r2, inner2, _) = trees[left], trees[right]
+        while True:
+            if rank.get((left, right), limit) < limit:
+                return False
+            if r1 > r2:
+                limit, left = r1, inner1
+                r1, _, inner1 = trees.get(left) or self._tree(left)
+            elif r2 >= 0:
+                limit, right = r2 + 1, inner2
+                r2, inner2, _ = trees.get(right) or self._tree(right)
+            else:
+                return True
 
     def _word(self, word: str) -> bytes:
         """Ids of one word, 4 bytes each."""
-        ends: list[list[str]] = [[] for _ in range(len(word) + 2)]
+        end = len(word) + 1
+        final: list[str | None] = [None] * (end + 1)  # the last token of each prefix
+        final[0] = ""
+        trees, pairs = self.trees, self.pairs
+        # The automaton goes through the prefixes and lists longer tokens first.
         for last, token in self.matches.iter(word + _END):
-            ends[last + 1].append(token)  # the automaton lists longer tokens first
-        n = len(word)
-        final: list[str] = [""] * (n + 1)  # the last token of each prefix
-        for i in range(1, n + 1):
-            for token in ends[i] if i < n else ends[n + 1]:
-                before = i - len(token) + (i == n)
-                if self._is_whole(token) and (before == 0 or self._compatible(final[before], token)):
-                    final[i] = token
-                    break
-            else:
-                raise ValueError(f"no token of the vocabulary ends prefix {i} of {word!r}")
+            last += 1
+            if final[last] is None:
+                left = final[last - len(token)]
+                if left is None or (trees[token] if token in trees else self._tree(token)) is None:
+                    continue
+                if left:
+                    pair = left, token
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        fits = pairs[pair] = self._compatible(left, token)
+                    if not fits:
+                        continue
+                final[last] = token
+        if len(pairs) > CACHE_ENTRIES:
+            pairs.clear()
         out = []
-        while n > 0:
-            out.append(self.ids[final[n]])
-            n -= len(final[n]) - final[n].endswith(_END)
+        while end > 0:
+            token = final[end]
+            if token is None:
+                raise ValueError(f"no token of the vocabulary ends prefix {end} of {word!r}")
+            out.append(self.ids[token])
+            end -= len(token)
         return np.array(out[::-1], np.uint32).tobytes()
 
     def _plain(self, text: str) -> bytes:
@@ -126,9 +162,8 @@ class PrefixBpe:
         for word in self.word.findall(text):
             ids = self.words.get(word)
             if ids is None:
-                if len(self.words) > CACHE_ENTRIES:
-                    self.words.clear()
-                ids = self.words[word] = self._word(word.encode().decode("latin-1").translate(self.bytes))
+                ids = self._word(word.encode().decode("latin-1").translate(self.bytes))
+                self.words.put(word, ids)
             out.append(ids)
         return b"".join(out)
 
@@ -143,13 +178,11 @@ class PrefixBpe:
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the starts of each text."""
         codes, starts, values = words.split(text)
-        known = self.chunks
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
         chunks = words.strings(values)
-        for chunk in chunks:
-            if chunk not in known:
-                known[chunk] = self._chunk(chunk)
+        new = self.chunks.missing(chunks)
+        known = self.chunks.young
+        for chunk in new:
+            known[chunk] = self._chunk(chunk)
         parts = list(map(known.__getitem__, chunks))
         sizes = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
         at = np.cumsum(sizes) - sizes
@@ -167,11 +200,6 @@ def token_names(path: str) -> list[str]:
     return [named.get(i, "") for i in range(max(named) + 1)]
 
 
-def decoded(names: list[str], ids: np.ndarray) -> str:
-    """The names of the tokens with a space between, special tokens included."""
-    return " ".join(map(names.__getitem__, ids.tolist()))
-
-
 @lru_cache(maxsize=2)
 def prefix_bpe(path: str) -> PrefixBpe:
     """One encoder for each worker process."""
@@ -195,15 +223,14 @@ def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids") -
 def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the text that an array of ids stands for; null ids are none."""
     def run(batches):
-        names = token_names(path)
+        names = pa.array(token_names(path), pa.string())
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 lists = pc.fill_null(batch.column(ids), [])
-                flat = lists.flatten().to_numpy(zero_copy_only=False)
-                starts = words.offsets(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).tolist()
-                out = [decoded(names, flat[a:b]) for a, b in zip(starts, starts[1:])]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, text])
+                ends = pa.array(words.offsets(pc.list_value_length(lists).to_numpy(zero_copy_only=False)), pa.int32())
+                out = pc.binary_join(pa.ListArray.from_arrays(ends, names.take(lists.flatten())), " ")
+                yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, text])
 
     kept = encoded.drop(text)
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(text, T.StringType())]))
