@@ -532,6 +532,8 @@ def dup_reject_rest(t: Tables):
       SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
         ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1""")
 def dedup_keep_first(t: Tables):
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    return dedup.keep_first(lines, ["l_orderkey", "l_linenumber"],
-                            ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"])
+    """By the values first and the file position then, so that the winners are fetched by keys and order alone."""
+    lines = readers.with_row_id(t.lineitem).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", *readers.ROW_ID)
+    order = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", *readers.ROW_ID]
+    return dedup.keep_first(lines, ["l_orderkey", "l_linenumber"], order, unique=True).drop(*readers.ROW_ID)

@@ -15,6 +15,8 @@ is read with ``sources.readers.with_row_id`` and ordered by ``ROW_ID``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,10 +68,20 @@ def mark_later_copies(df: DataFrame, keys: list[str], order_by: list[str],
     return marked.withColumn(DUPLICATE, later).drop(COPIES, "_first")
 
 
-def keep_first(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """Policy drop_rest: the first row of each key, nothing else."""
+def keep_first(df: DataFrame, keys: list[str], order_by: list[str], unique: bool = False,
+               stage: Stage | None = None) -> DataFrame:
+    """Policy drop_rest: the first row of each key, nothing else.
+
+    With ``unique`` no two rows of a key are equal in ``order_by`` (the row's file position, for instance). Then only keys and
+    that order are aggregated, and the winners are fetched by them: no other column is sorted, aggregated or compared, and where few keys have
+    copies the rows are not shuffled. Without it the first row is found with all its columns. A null key is a key.
+    """
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.distinct()
+    if unique:
+        known = mark_later_copies(_with_key(df, keys), keys, order_by, stage)
+        without = df.filter(reduce(or_, [F.col(k).isNull() for k in keys]))
+        return known.filter(~F.col(DUPLICATE)).select(*df.columns).unionByName(keep_first(without, keys, order_by))
     picked = df.groupBy(*keys).agg(F.min_by(F.struct(*others), _order(order_by)).alias("_row"))
     return picked.select(*keys, "_row.*").select(*df.columns)

@@ -203,7 +203,8 @@ def _source(df: DataFrame | None, key: str = "app_id") -> DataFrame | None:
 def _one_per_item(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
     """The first row of each item, with the columns to carry over."""
     slim = schema.select_as(df, "app_id", {**renames, **{c: c for c in ROW_ID}})
-    return dedup.keep_first(slim, ["app_id"], _order(slim, None)).drop(*ROW_ID)
+    placed = set(ROW_ID) <= set(slim.columns)
+    return dedup.keep_first(slim, ["app_id"], _order(slim, None), unique=placed).drop(*ROW_ID)
 
 
 def silver_games(sources: Mapping[str, DataFrame | None], ctx: RunContext, stage: Stage = write_stage,

@@ -83,11 +83,20 @@ def test_mark_later_copies_of_equal_rows(spark, facts):
 
 
 def test_keep_first(facts):
-    kept = {r.k: r.id for r in dedup.keep_first(facts, ["k"], ["id"]).collect()}
     want = {}
     for r in facts.orderBy("id").collect():
         want.setdefault(r.k, r.id)
-    assert kept == want
+    for unique in (False, True):
+        rows = dedup.keep_first(facts, ["k"], ["id"], unique).collect()
+        assert {r.k: r.id for r in rows} == want and len(rows) == len(want)
+
+
+def test_keep_first_by_address_leaves_the_payload_alone(facts):
+    """Neither sorts nor aggregates hold a column besides key and order, but for rows without a key."""
+    wide = facts.select("*", *[F.concat(F.lit("payload"), "id").alias(f"payload{i}") for i in range(3)]).filter("k is not null")
+    plan = dedup.keep_first(wide, ["k"], ["id"], unique=True)._jdf.queryExecution().optimizedPlan().toString()
+    heavy = [line for line in plan.splitlines() if line.strip(" +-:").startswith(("Aggregate", "Sort"))]
+    assert heavy and not any("payload" in line for line in heavy if "min_by" not in line)
 
 
 def test_exact_quantiles_of_awkward_values(spark):
