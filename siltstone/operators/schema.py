@@ -50,14 +50,14 @@ def drop_metadata(df: DataFrame) -> DataFrame:
     return df.drop(*METADATA_COLUMNS)
 
 
-def present(df: DataFrame, names: Iterable[str], on_missing: str = "skip") -> list[str]:
+def present(df: DataFrame, names: Iterable[str], on_missing: str = "skip", known: Iterable[str] = ()) -> list[str]:
     """The names that ``df`` has, in the given order.
 
     With ``on_missing="error"`` a name that is not there is an error, so that a
-    renamed column cannot silently shrink a report.
+    renamed column cannot silently shrink a report; ``known`` names may be absent, as some exports lack them.
     """
-    names = list(names)
-    missing = [n for n in names if n not in df.columns]
+    names, known = list(names), set(known)
+    missing = [n for n in names if n not in df.columns and n not in known]
     if missing and on_missing == "error":
         raise ValueError(f"columns not found: {missing}; table has {df.columns}")
     return [n for n in names if n in df.columns]

@@ -134,19 +134,22 @@ def quality_issues(job: Job) -> None:
 
 def quality_columns(job: Job) -> None:
     datasets = {n: (layers.bronze, layers.silver) for n in quality.REPORTED for layers in [job.layers(n)]}
-    report = columns.column_report(job.spark, job.ctx, datasets, quality.profile_columns(job.ctx.store))
+    report = columns.column_report(job.spark, job.ctx, datasets, quality.profile_columns(job.ctx.store),
+                                   on_missing="error", known=quality.known_columns(job.ctx.store))
     job.write_report(report, job.layout.quality("columns"), "table_name", "column_name")
 
 
 def quality_outliers(job: Job) -> None:
     tables = {n: job.layers(n).silver for n in quality.REPORTED}
-    report = outliers.outlier_report(job.spark, job.ctx, tables, quality.OUTLIER_COLUMNS)
+    report = outliers.outlier_report(job.spark, job.ctx, tables, quality.OUTLIER_COLUMNS,
+                                     on_missing="error", known=quality.known_columns(job.ctx.store))
     job.write_report(report, job.layout.quality("outliers"), "table_name", "column_name")
 
 
 def quality_histograms(job: Job) -> None:
     tables = {n: job.layers(n).silver for n in quality.REPORTED}
-    report = histograms.histogram_report(job.spark, job.ctx, tables, quality.HISTOGRAMS)
+    report = histograms.histogram_report(job.spark, job.ctx, tables, quality.HISTOGRAMS,
+                                         on_missing="error", known=quality.known_columns(job.ctx.store))
     job.write_report(report, job.layout.quality("histograms"), "table_name", "column_name", "bucket_start")
 
 

@@ -1,12 +1,13 @@
 """Which columns the quality reports look at.
 
 Lists name a column by its raw and by its silver name where the two differ, so a
-rename between the layers does not drop it from a report; names that a table does
-not have are passed over.
+rename between the layers does not drop it from a report. Names that a table does
+not have are passed over if they are known: exports differ. Any other name is an error.
 """
 
 from __future__ import annotations
 
+from siltstone.plans import silver
 from siltstone.reports.histograms import Bins
 
 # Columns compared between bronze and silver.
@@ -31,6 +32,22 @@ def profile_columns(store: str) -> dict[str, list[str]]:
     return {table: [c.format(store=store) for c in names] for table, names in PROFILE_COLUMNS.items()}
 
 
+# Names in the lists that older exports have and the silver tables don't carry on.
+RETIRED = {"games": ["name", "discount_percent", "required_age", "is_free", "metacritic_score", "recommendation_count"]}
+JUDGED = ["quality_issue", "is_outlier"]
+
+
+def known_columns(store: str) -> dict[str, list[str]]:
+    """All columns that a table may have in some layer; a name in none of them is misspelt."""
+    renamed = silver.review_names(store)
+    return {
+        "reviews": [*renamed, *renamed.values(), *silver.REVIEW_COUNTS, *silver.REVIEW_DOUBLES, *silver.REVIEW_TIMES,
+                    *silver.review_booleans(store), "review_text_length", *JUDGED],
+        "games": [*(c.format(store=store) for c in silver.GAME_COLUMNS), *RETIRED["games"], *JUDGED],
+        "users": ["user_id", "products", "reviews", *JUDGED],
+    }
+
+
 # Columns of the interquartile-range report.
 OUTLIER_COLUMNS = {
     "reviews": [

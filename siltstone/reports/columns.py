@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,18 +36,18 @@ def layer_profile(df: DataFrame, table: str, layer: str, columns: list[str],
 def column_report(spark: SparkSession, ctx: RunContext,
                   datasets: Mapping[str, tuple[DataFrame | None, DataFrame | None]],
                   columns: Mapping[str, list[str]], approximate: bool = True,
-                  on_missing: str = "skip") -> DataFrame:
+                  on_missing: str = "skip", known: Mapping[str, Iterable[str]] | None = None) -> DataFrame:
     """``datasets``: table name to (bronze, silver).
 
     A column that only one layer has is reported with nulls on the other side.
-    ``on_missing="error"`` makes a column neither layer has an error.
+    ``on_missing="error"`` makes a column that neither layer has an error, unless it is ``known`` to be missing at times.
     """
     sides: dict[str, list[DataFrame]] = {"bronze": [], "silver": []}
     for table, (bronze, silver) in datasets.items():
         if bronze is None or silver is None:
             continue
         if on_missing == "error":
-            unknown = set(columns[table]) - set(bronze.columns) - set(silver.columns)
+            unknown = set(columns[table]) - set(bronze.columns) - set(silver.columns) - set((known or {}).get(table, ()))
             if unknown:
                 raise ValueError(f"{table}: no layer has the columns {sorted(unknown)}")
         for layer, df in (("bronze", bronze), ("silver", silver)):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,12 +45,13 @@ def histogram(df: DataFrame, table: str, specs: list[Bins]) -> DataFrame:
 
 
 def histogram_report(spark: SparkSession, ctx: RunContext, tables: Mapping[str, DataFrame | None],
-                     specs: Mapping[str, list[Bins]], on_missing: str = "skip") -> DataFrame:
+                     specs: Mapping[str, list[Bins]], on_missing: str = "skip", known: Mapping[str, Iterable[str]] | None = None) -> DataFrame:
+    """``on_missing="error"``: a column that a table lacks is an error, unless it is ``known`` to be missing at times."""
     frames = []
     for table, df in tables.items():
         if df is None:
             continue
-        names = set(present(df, [s.column for s in specs[table]], on_missing))
+        names = set(present(df, [s.column for s in specs[table]], on_missing, (known or {}).get(table, ())))
         kept = [s for s in specs[table] if s.column in names]
         if kept:
             frames.append(histogram(df, table, kept))

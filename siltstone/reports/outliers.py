@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,10 +51,11 @@ def iqr_profile(df: DataFrame, table: str, columns: list[str], accuracy: int | N
 
 def outlier_report(spark: SparkSession, ctx: RunContext, tables: Mapping[str, DataFrame | None],
                    columns: Mapping[str, list[str]], accuracy: int | None = None,
-                   on_missing: str = "skip") -> DataFrame:
+                   on_missing: str = "skip", known: Mapping[str, Iterable[str]] | None = None) -> DataFrame:
+    """``on_missing="error"``: a column that a table lacks is an error, unless it is ``known`` to be missing at times."""
     frames = []
     for table, df in tables.items():
-        names = [] if df is None else present(df, columns[table], on_missing)
+        names = [] if df is None else present(df, columns[table], on_missing, (known or {}).get(table, ()))
         if names:
             frames.append(iqr_profile(df, table, names, accuracy))
     if not frames:

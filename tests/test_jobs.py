@@ -11,6 +11,7 @@ import pytest
 
 from siltstone.plans import quality
 from siltstone.plans.jobs import JOBS, Job
+from siltstone.reports.histograms import Bins
 from siltstone.sources.layout import Layout
 
 
@@ -148,6 +149,15 @@ def test_reports(batch):
     assert spread.first().value == "Good" and spread.first().distinct_count == 2
 
 
+@pytest.mark.parametrize(("job", "lists", "wrong"), [
+    ("quality-columns", "PROFILE_COLUMNS", ["product"]), ("quality-outliers", "OUTLIER_COLUMNS", ["product"]),
+    ("quality-histograms", "HISTOGRAMS", [Bins("product", 10)])])
+def test_misspelt_columns_are_errors(batch, monkeypatch, job, lists, wrong):
+    monkeypatch.setitem(getattr(quality, lists), "users", wrong)
+    with pytest.raises(ValueError, match="product"):
+        JOBS[job](batch)
+
+
 def test_gold(batch):
     bi = batch.read(batch.layout.gold("reviews_bi"))
     assert dict(bi.dtypes)["review_id"] == "string" and "timestamp_created" not in bi.columns
