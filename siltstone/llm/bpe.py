@@ -67,7 +67,7 @@ class PrefixBpe:
         self.matches.make_automaton()
         self.trees: dict[str, tuple[int, str, str] | None] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words = words.Recent(CACHE_ENTRIES)
+        self.words = words.Recent(CACHE_ENTRIES // 2)  # most are found as chunks
         self.chunks = words.Recent(CACHE_ENTRIES)
 
     def _inner(self, token: str) -> str:
@@ -209,12 +209,14 @@ def prefix_bpe(path: str) -> PrefixBpe:
 def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of each whole text as an array of integers."""
     def run(batches):
+        words.release()
         coder = prefix_bpe(path)
         for batch in batches:
             for step in words.steps(batch, column):
                 flat, starts = coder.encode(step.column(column))
                 lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*step.columns, lists], [*step.schema.names, ids])
+        words.release()
 
     kept = docs.drop(ids)
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))

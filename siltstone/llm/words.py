@@ -6,6 +6,8 @@ once for each distinct word of a batch, and the rest is numpy on the codes.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -37,6 +39,15 @@ def steps(batch: pa.RecordBatch, column: str = "text", limit: int = STEP_BYTES)
         yield batch.slice(begin, end - begin)
 
 
+def release() -> None:
+    """Give free memory back to the system: a worker is used again, and keeps what earlier stages have left otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def few(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, for work that makes Python objects of nested columns."""
     for batch in batches:
