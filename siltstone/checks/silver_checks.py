@@ -455,3 +455,33 @@ DISTRIBUTED = ["l_returnflag", "l_linestatus", "l_linenumber", "l_partkey"]
         rank() OVER (ORDER BY count(*) DESC) AS value_rank FROM lineitem GROUP BY 1)""" for c in DISTRIBUTED))
 def profile_distribution(t: Tables):
     return profile.profile_distribution(t.lineitem, "lineitem", DISTRIBUTED)
+
+
+# The rows that each report has for the customers and an empty silver layer of them, and its columns.
+EMPTY_REPORTS = {
+    "issues": ("0", issues.ISSUE_SCHEMA), "columns": ("0", column_reports.COLUMN_SCHEMA),
+    "outliers": ("0", outlier_reports.OUTLIER_SCHEMA), "histograms": ("0", histograms.HISTOGRAM_SCHEMA),
+    "overview": ("(SELECT count(*) FROM customer)", overview.OVERVIEW_SCHEMA),
+}
+
+
+def _names(schema_text: str) -> str:
+    return ",".join(sorted(part.split()[0] for part in schema_text.split(",") if part.strip()))
+
+
+@query("report_empty_schema", " UNION ALL ".join(
+    f"SELECT '{name}' AS report, {n} AS n, '{_names(kind)}' AS columns" for name, (n, kind) in EMPTY_REPORTS.items()))
+def report_empty_schema(t: Tables):
+    """Reports over customers of which none is rejected and none is left: typed and empty, and an overview that counts them."""
+    bronze, none = t.customer, t.customer.filter("c_custkey < 0")
+    made = {
+        "issues": issues.issue_report(t.spark, t.ctx, {"customer": (bronze, none)}),
+        "columns": column_reports.column_report(t.spark, t.ctx, {"customer": (bronze, None)}, {"customer": ["c_name"]}),
+        "outliers": outlier_reports.outlier_report(t.spark, t.ctx, {"customer": None}, {"customer": ["c_acctbal"]}),
+        "histograms": histograms.histogram_report(t.spark, t.ctx, {"customer": none}, {"customer": [histograms.Bins("c_acctbal", 10)]}),
+        "overview": overview.overview(t.spark, t.ctx, {"customer": overview.Layers(bronze, none, none)}),
+    }
+    counts = {name: F.max("bronze_row_count") if name == "overview" else F.count("*") for name in made}
+    return schema.union_all(
+        df.agg(F.lit(name).alias("report"), counts[name].alias("n"), F.lit(",".join(sorted(df.columns))).alias("columns"))
+        for name, df in made.items())
