@@ -2,8 +2,10 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import duckdb
 from pyspark.sql import functions as F
 
+from siltstone.checks.registry import ORACLES, QUERIES
 from siltstone.functions import clean
 
 
@@ -88,3 +90,19 @@ def test_first_present(spark):
     df = spark.createDataFrame([(None, "b"), ("a", "b")], "x string, y string")
     assert [r.o for r in df.select(clean.first_present(df, ["gone", "x", "y"]).alias("o")).collect()] == ["b", "a"]
     assert [r.o for r in df.select(clean.first_present(df, ["gone"]).alias("o")).collect()] == [None, None]
+
+
+def test_epochs_beyond_the_year_9999(spark):
+    """Whatever a timestamp holds is a time; only what doesn't fit its microseconds is null."""
+    got = column(spark, ["253402300800", "518400000000", "-69120000000", "9223372036855", "-9223372036855"], "string",
+                 lambda df: F.date_format(clean.epoch_to_timestamp(F.col("v")), "y-MM-dd HH:mm:ss"))
+    assert got == ["10000-01-01 00:00:00", "18397-06-11 00:00:00", "-221-09-04 00:00:00", None, None]
+
+
+def test_clean_epoch_of_large_keys(spark, tmp_path):
+    """The query equals its SQL where the keys lead to years of five digits."""
+    file = str(tmp_path / "events.parquet")
+    duckdb.sql("SELECT CAST(unnest([1, 9, 2932896, 2932897, 6000001]) AS BIGINT) AS event_id").write_parquet(file)
+    want = duckdb.sql(ORACLES["clean_epoch"].replace("FROM events", f"FROM '{file}'")).fetchall()
+    got = [tuple(r) for r in QUERIES["clean_epoch"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want) and dict(got)[2932897] == "10000-01-01 00:00:00"
