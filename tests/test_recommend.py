@@ -104,6 +104,27 @@ def test_items_looked_at_grow_less_than_the_catalogue():
     assert means[0] < 2_000 and means[1] < 4 * means[0]
 
 
+def test_copies_cost_a_set():
+    """Sixty copies of each item: no more bounds than kinds of items, few items scored, and the least ids of the best kinds found."""
+    draw = np.random.default_rng(9)
+    kinds = [sorted(draw.choice(30, 4, False).tolist()) for _ in range(400)]
+    number = draw.random(400) * 0.3
+    table = pa.table({"app_id": np.arange(24_000), "number": np.tile(number, 60), "vector": pa.array([[]] * 24_000, pa.list_(pa.float64())),
+                      "tags": pa.array(kinds * 60, pa.list_(pa.int32()))})
+    shard = retrieval.Shard(table)
+    assert len(shard.begin) <= 400
+    weights, none = draw.dirichlet(np.ones(30), 50), np.empty(0, np.int64)
+    first = np.flatnonzero(shard.app < 400)
+    best, looked = shard.best(np.zeros(50), np.zeros((50, 0)), weights, (np.repeat(np.arange(50), len(first)), np.tile(first, 50)), 70)
+    assert looked.max() < 24_000 / 10
+    scores = np.array([[w[k].sum() for k in kinds] for w in weights]) + number
+    units = np.floor(np.tile(scores, 60) * 1e6 + 0.5).astype(np.int64)[:, 400:]
+    for u in range(50):
+        want = sorted(zip(-units[u], range(400, 24_000)))[:70]
+        app = np.sort(shard.app)[(1 << retrieval.PLACE_BITS) - 1 - (best[u] & ((1 << retrieval.PLACE_BITS) - 1))]
+        assert [(-int(k >> retrieval.PLACE_BITS), int(a)) for k, a in zip(best[u], app)] == want
+
+
 def interactions(spark, seen):
     frame = spark.createDataFrame(seen, "user_id bigint, app_id bigint")
     return frame.withColumns({"is_recommended": F.lit(True), "hours": F.lit(1.0), "helpful": F.lit(0), "funny": F.lit(0)})
