@@ -154,6 +154,29 @@ def test_trained_factors(spark):
     assert np.mean([(r.user_id // 10**11) % 2 == r.app_id % 2 for r in first]) >= 0.9
 
 
+@pytest.mark.parametrize(("rank", "shard"), [(0, 10**6), (3, 10**6), (2, 7)])
+def test_all_items(spark, rank, shard):
+    """Every unseen pair has its score, whatever the shards."""
+    people, shop = made(10, 9, 30, 12, rank)
+    users = spark.createDataFrame([(u, n, v, s) for u, n, v, _, _, s in people], "user_id long, number double, vector array<double>, seen array<long>")
+    items = spark.createDataFrame([s[:3] for s in shop], "app_id long, number double, vector array<double>")
+    got = {(r.user_id, r.app_id): r.score for r in retrieval.all_items(users, items, shard).collect()}
+    want = {(p[0], s[0]): p[1] + s[1] + float(np.dot(p[2], s[2])) for p in people for s in shop if s[0] not in p[5]}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_trained_scores_of_all_pairs(spark):
+    """Not only ten of a user: all unseen pairs, also with an item that nobody has met, which scores nothing."""
+    seen = [(u, i) for u in range(1, 9) for i in range(1, 21) if u % 2 == i % 2 and (u + i) % 5] + [(None, 3), (4, None)]
+    bridge = spark.createDataFrame([(i, "t") for i in (1, 2, 30, None)], "app_id bigint, tag string")
+    got = recommend.unseen_scores(interactions(spark, seen), bridge, lambda w: recommend.als_factors(w, 4, 10)).collect()
+    items = {i for _, i in seen if i} | {30}
+    assert {(r.user_id, r.app_id) for r in got} == {(u, i) for u in range(1, 9) for i in items} - set(seen) and len(got) > 8 * 10
+    assert all(r.cf_score == 0 for r in got if r.app_id == 30)
+    own, other = ([r.cf_score for r in got if r.app_id != 30 and (r.user_id % 2 == r.app_id % 2) == same] for same in (True, False))
+    assert np.mean(own) > np.mean(other) + 0.3
+
+
 def test_baseline_of_one_interaction(spark):
     best = recommend.recommended(interactions(spark, [(1, 1)]), spark.createDataFrame([(1, "a"), (2, "a")], "app_id bigint, tag string"), 3).collect()
     assert [(r.app_id, r.cf_score, r.content_score, r.popularity_score) for r in best] == [(2, 0.0, 1.0, 0.0)]
