@@ -34,3 +34,8 @@ def test_quantile_sketch_does_not_sort_the_table(spark):
     with nothing_is_small(spark):
         text = plan(QUERIES["quantile_sketch"](spark, str(TABLES)))
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
+
+
+def test_distinct_counts_do_not_copy_rows(spark):
+    """No row is expanded for each counted column, with a sketch for each of its values."""
+    assert "Expand" not in plan(QUERIES["agg_distinct_approx"](spark, str(TABLES)))
