@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +82,22 @@ def test_recall_on_all_vectors(spark):
     index = vectors.fitted(base, 10)
     row = vectors.recall(vectors.nearest(base, asked, index), vectors.nearest(base, asked, vectors.EXACT)).first()
     assert row.queries == 20 and row.recall >= 0.9
+
+
+def test_comparison_holds_few_scores():
+    """What a task holds while it compares does not grow with the queries that meet its vectors."""
+    draw = np.random.default_rng(5)
+
+    def side(n):
+        return {"id": pa.array(np.arange(n)), "vector": pa.array(list(draw.normal(size=(n, 8))), pa.list_(pa.float64()))}
+
+    found = pa.table(side(vectors.CELL))
+    asked = pa.table({**side(1500), "seen": pa.array([[i] for i in range(1500)], pa.list_(pa.int64()))})
+    tracemalloc.start()
+    try:
+        best = vectors._compared(10)(found, asked)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert best.num_rows == 15_000
+    assert peak < 64e6
