@@ -206,6 +206,9 @@ def prefix_bpe(path: str) -> PrefixBpe:
     return PrefixBpe(path)
 
 
+words.MEMORIES.append(prefix_bpe.cache_clear)
+
+
 def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of each whole text as an array of integers."""
     def run(batches):

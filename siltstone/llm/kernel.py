@@ -162,8 +162,9 @@ def score(measured: DataFrame, model: Model) -> DataFrame:
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """The documents whose score is 0.5 or more, with all their columns."""
     def run(batches):
+        words.release(memories=True)
         for batch in batches:
-            for step in words.steps(batch):
+            for step in words.steps(batch, limit=stats.STEP_BYTES):
                 found = stats.statistics(step.column("text"))
                 x = np.column_stack([found[f] for f in stats.FEATURES])
                 yield step.filter(pa.array(model.score(x) >= 0.5))

@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from siltstone.llm import files, words
 
 WINDOW = 8
+#: Text bytes of a step; a task holds some twenty times as much while it counts.
+STEP_BYTES = 1 << 20
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FEATURES = ["words_log", "word_length", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "mark_share",
             "stop_share", "comma_share", "bar_share", "digit_share", "wide_share", "distinct_share", "top_word_share",
@@ -110,8 +112,9 @@ def statistics(text: pa.Array) -> dict[str, np.ndarray]:
 def measure(docs: DataFrame) -> DataFrame:
     """doc_id, COUNTS, and FEATURES as one array, for each row of documents."""
     def run(batches):
+        words.release(memories=True)
         for batch in batches:
-            for step in words.steps(batch):
+            for step in words.steps(batch, limit=STEP_BYTES):
                 found = statistics(step.column("text"))
                 matrix = np.column_stack([found[f] for f in FEATURES]) if step.num_rows else np.empty((0, len(FEATURES)))
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(matrix.ravel(), pa.float64()), len(FEATURES))

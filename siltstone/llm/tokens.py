@@ -103,3 +103,6 @@ class ByteTokenizer:
 def byte_tokenizer(path: str, special_as_text: bool = False) -> ByteTokenizer:
     """One tokenizer for each worker process."""
     return ByteTokenizer(path, special_as_text)
+
+
+words.MEMORIES.append(byte_tokenizer.cache_clear)

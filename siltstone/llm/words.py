@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -39,8 +39,17 @@ def steps(batch: pa.RecordBatch, column: str = "text", limit: int = STEP_BYTES)
         yield batch.slice(begin, end - begin)
 
 
-def release() -> None:
-    """Give free memory back to the system: a worker is used again, and keeps what earlier stages have left otherwise."""
+#: Functions that forget what an operator keeps for the next task of the same kind.
+MEMORIES: list[Callable[[], None]] = []
+
+
+def release(memories: bool = False) -> None:
+    """Give free memory back to the system: a worker is used again, and keeps what earlier stages have left otherwise.
+
+    With ``memories`` what operators remember between their tasks goes as well.
+    """
+    for forget in MEMORIES if memories else []:
+        forget()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

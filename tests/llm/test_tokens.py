@@ -144,3 +144,16 @@ def test_flat_files(spark, library):
     coder = tokens.byte_tokenizer(BYTE, special_as_text=True).library
     assert {r["doc_id"]: r["n_tokens"] for r in found} == {
         i: len(coder.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(TEXTS)}
+
+
+def test_a_worker_forgets_what_encoders_remember():
+    """The classifier begins with it, as its workers may have encoded before."""
+    from siltstone.llm import bpe, tokens, words
+
+    kept = [(tokens.byte_tokenizer, "byte_bpe_50k.json"), (bpe.prefix_bpe, "word_bpe_49k.json")]
+    for make, file in kept:
+        make(public_tokenizers.path(file))
+    words.release()
+    assert all(make.cache_info().currsize for make, _ in kept)
+    words.release(memories=True)
+    assert not any(make.cache_info().currsize for make, _ in kept)
