@@ -194,3 +194,23 @@ def test_looked_at_grows_with_users(spark):
         assert row.least == 10
         sums.append(row.looked)
     assert sums[1] < 10 * sums[0]  # at sf0.001 all of the 200 items may be looked at
+
+
+def test_vectors_are_not_sent_by_pair(spark, no_stage):
+    """What is dealt out has a row for each item and block of users, not for each pair, and the profiles are the weighted means."""
+    from siltstone.plans import recommend
+
+    pairs = [(u, a, 1.0 + (u + a) % 3) for u in range(200) for a in range(12) if (u * a) % 5]
+    weighted = spark.createDataFrame([*pairs, (None, 1, 1.0), (1, None, 1.0)], "user_id long, app_id long, interaction_weight double")
+    vector = {a: [float(a), 1.0, float(a % 4)] for a in range(11)}  # one item has none
+    items = spark.createDataFrame([*vector.items(), (99, None)], "app_id long, embedding array<float>")
+    dealt = recommend._blocks_of_users(weighted, items, no_stage)
+    assert dealt.count() <= recommend.BLOCKS * len(vector) < len(pairs)
+    assert dealt.rdd.getNumPartitions() == recommend.BLOCKS
+    for row in recommend.user_profiles(weighted, items, no_stage).filter("user_id is not null").collect():
+        own = [(w, vector[a]) for u, a, w in pairs if u == row.user_id and a in vector]
+        want = [sum(w * v[i] for w, v in own) / sum(w for w, _ in own) for i in range(3)]
+        assert row.profile == pytest.approx(want)
+    near = recommend.profile_neighbours(weighted, items, no_stage)
+    assert near.count() == sum(a in vector for _, a, _ in pairs)
+    assert near.filter("cosine > 1 or cosine is null").count() == 0
