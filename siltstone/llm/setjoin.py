@@ -10,9 +10,9 @@ the similarity thin out from level to level and pairs above it stay together in
 
 Before the trees grow, each document is compared with the smallest document of its
 nodes. That settles large groups of copies by one link for each copy, so no node has to compare the
-pairs inside a group. The trees grow twice: a first round looks at the closest partners of each
-unsettled document, a second one at all that are still in different classes. Candidates pass a test on sketches first, then the intersection of the full sets
-decides. The recall is that of the trees: see ``recall``.
+pairs inside a group. The trees grow a second time from nodes that had to branch, with what is settled by then. Candidates
+pass a test on sketches first, then the intersection of the full sets decides. Neither lists pairs: a comparison returns
+which rows hang together, a row for each, and what hangs together over all trees is fetched and compared at once. The recall is that of the trees: see ``recall``.
 
 Hot nodes: counts are summed before the shuffle, joins are split by adaptive execution, and
 a comparison is dealt out in chunks of a node. Texts without words have an empty set and are linked with
@@ -35,9 +35,16 @@ from siltstone.sources.staging import stage
 
 TREES = 16
 SKETCH = 192  # 8-bit values
-#: Partners of an unsettled document in each class that the first round proposes.
-FIRST = 2
 CHUNK = 1024
+#: Shingles of the sets that a task compares with others at a time.
+CHUNK_SHINGLES = 1 << 20
+#: Pairs of sketches in memory at a time.
+STEP_PAIRS = 1 << 15
+#: Full sets sent at a time.
+SENT_ROWS = 256
+#: Chunks of asking rows beyond which a cluster is compared by its groups.
+MANY = 16
+ROUNDS = 2
 LEVELS = 24
 #: Standard deviations below the similarity at which a sketch rules a pair out.
 MARGIN = 4.0
@@ -89,6 +96,7 @@ def sketched(manifest: DataFrame, rule: Rule) -> DataFrame:
     factors, shifts = _orders(rule.trees + SKETCH)
 
     def run(batches):
+        words.release(memories=True)
         for rows in batches:
             for block, file in zip(rows.column("block").to_pylist(), rows.column("file").to_pylist()):
                 step = files.read_block(file)
@@ -120,130 +128,229 @@ def _fits(rule: Rule, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(a, b) >= rule.percent * np.maximum(a, b)
 
 
-def _pairs_in_runs(rule: Rule, first: int | None):
-    """Compare unsettled rows with all rows of their run; a run may go on in the next batch.
+def _least(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest position that the links (a, b) between ``n`` positions lead to."""
+    label = np.arange(n)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        for ends in (a, b):
+            np.minimum.at(label, label[ends], low)
+        while (label[label] != label).any():
+            label = label[label]
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+    return label
 
-    With ``first``, only that many of the closest partners of a row in each class come out.
-    """
-    def compare(t: pa.Table) -> pa.RecordBatch:
-        rep, label, mine, size = (t[c].to_numpy() for c in ("rep", "label", "unsettled", "n_shingles"))
-        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
-        node, chunk = t["node"].to_numpy(), t["chunk"].to_numpy()
-        new = np.flatnonzero(np.concatenate([[True], (np.diff(node) != 0) | (np.diff(chunk) != 0)]))
-        sizes = np.diff([*new, len(node)])
-        run = np.repeat(np.arange(len(new)), sizes)
-        asking, found = np.flatnonzero(mine), []
-        width = sizes[run[asking]]
-        for part in np.split(np.arange(len(asking)), np.flatnonzero(np.diff(np.cumsum(width) // (1 << 17))) + 1):
-            a = np.repeat(asking[part], width[part])
-            b = words.spread(new[run[asking[part]]], width[part])
-            differ = (label[a] != label[b]) & _fits(rule, size[a], size[b])
-            a, b = a[differ], b[differ]
-            equal = (sketch[a] == sketch[b]).sum(1)
-            close = equal >= rule.least_equal
-            a, b, equal = a[close], b[close], equal[close]
-            if first is not None and len(a):
-                order = np.lexsort((rep[b], -equal, label[b], a))
-                a, b = a[order], b[order]
-                group = np.flatnonzero(np.append(True, (np.diff(a) != 0) | (np.diff(label[b]) != 0)))
-                place = np.arange(len(a)) - np.repeat(group, np.diff(np.append(group, len(a))))
-                a, b = a[place < first], b[place < first]
-            found.append(np.column_stack([rep[a], rep[b]]))
-        pairs = np.concatenate([*found, np.empty((0, 2), np.int64)])
-        pairs = np.unique(np.sort(pairs, 1), axis=0)
-        return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
+def _by_runs(compare):
+    """Call ``compare`` with whole runs of (group, chunk), which may go on in the next batch."""
     def run(batches):
         rest: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            node, chunk = batch.column("node").to_numpy(), batch.column("chunk").to_numpy()
-            ends = np.flatnonzero((np.diff(node) != 0) | (np.diff(chunk) != 0))
-            key = node[0], chunk[0]
-            if rest and (rest[0].column("node")[-1].as_py(), rest[0].column("chunk")[-1].as_py()) != key:
-                yield compare(pa.Table.from_batches(rest))
+            group, chunk = batch.column("group").to_numpy(), batch.column("chunk").to_numpy()
+            ends = np.flatnonzero((np.diff(group) != 0) | (np.diff(chunk) != 0))
+            key = group[0], chunk[0]
+            if rest and (rest[0].column("group")[-1].as_py(), rest[0].column("chunk")[-1].as_py()) != key:
+                yield from compare(pa.Table.from_batches(rest))
                 rest = []
             if len(ends):
                 cut = int(ends[-1]) + 1
-                yield compare(pa.Table.from_batches([*rest, batch.slice(0, cut)]))
+                yield from compare(pa.Table.from_batches([*rest, batch.slice(0, cut)]))
                 rest, batch = [], batch.slice(cut)
             rest.append(batch)
         if rest:
-            yield compare(pa.Table.from_batches(rest))
+            yield from compare(pa.Table.from_batches(rest))
 
     return run
 
 
-def _confirmed(pairs: DataFrame, shapes: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= rule.percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def _runs(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs of (group, chunk)."""
+    group, chunk = t["group"].to_numpy(), t["chunk"].to_numpy()
+    starts = np.flatnonzero(np.concatenate([[True], (np.diff(group) != 0) | (np.diff(chunk) != 0)]))
+    return starts, np.diff([*starts, len(group)])
+
+
+def _cells(rows: DataFrame, asks, asked, askers) -> DataFrame:
+    """Deal the rows of each group over the cells (``chunk``) of ``asked`` by ``askers`` chunks: all rows by those that ask.
+
+    A row is in a cell once; ``role`` tells whether it is asked there (1), asks (2) or both (3).
+    """
+    own, group = F.pmod(F.xxhash64("rep", F.lit(1)), asked), F.pmod(F.xxhash64("rep", F.lit(2)), askers)
+
+    def cell(chunk, role):
+        return F.struct(chunk.cast("long").alias("chunk"), role.cast("int").alias("role"))
+
+    as_asked = F.transform(F.sequence(F.lit(0).cast("long"), askers - 1), lambda g: cell(
+        own * askers + g, F.when(asks & (g == group), 3).otherwise(1)))
+    as_asking = F.transform(F.filter(F.sequence(F.lit(0).cast("long"), asked - 1), lambda c: asks & (c != own)), lambda c: cell(
+        c * askers + group, F.lit(2)))
+    return rows.withColumn("place", F.explode(F.concat(as_asked, as_asking)))
+
+
+def _candidates(rule: Rule):
+    """Compare rows that ask with the rows of their cell by their sketches.
+
+    What comes out is no list of pairs: rows that candidates lead from one to another are a group, a row for each of
+    its rows, with one of them as ``hub``.
+    """
+    def compare(t: pa.Table):
+        rep, label, role, size = (t[c].to_numpy() for c in ("rep", "label", "role", "n_shingles"))
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+        starts, sizes = _runs(t)
+        run = np.repeat(np.arange(len(starts)), sizes)
+        asking, found = np.flatnonzero(role & 2), [np.empty((0, 2), np.int64)]
+        width = sizes[run[asking]]
+        for part in np.split(np.arange(len(asking)), np.flatnonzero(np.diff(np.cumsum(width) // STEP_PAIRS)) + 1):
+            a = np.repeat(asking[part], width[part])
+            b = words.spread(starts[run[asking[part]]], width[part])
+            differ = (label[a] != label[b]) & (role[b] & 1 > 0) & _fits(rule, size[a], size[b])
+            a, b = a[differ], b[differ]
+            close = (sketch[a] == sketch[b]).sum(1) >= rule.least_equal
+            # A forest of the links is as good as all of them.
+            a, b = a[close], b[close]
+            ends, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            least = ends[_least(len(ends), at[:len(a)], at[len(a):])]
+            found.append(np.column_stack([least, ends])[least != ends])
+        links = np.concatenate(found)
+        hub = _least(len(rep), links[:, 0], links[:, 1])
+        out = np.flatnonzero(np.bincount(hub, minlength=len(rep))[hub] > 1)
+        hub = hub[out]
+        key = words.mixed(t["group"].to_numpy()[out].view(np.uint64) + words.mixed(t["chunk"].to_numpy()[out].view(np.uint64)))
+        key = words.mixed(key + rep[hub].view(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_pydict({
+            "group": pa.array(key), "hub": pa.array(rep[hub]), "rep": pa.array(rep[out]), "label": pa.array(label[out]),
+            "asks": pa.array((role[out] & 2) > 0)})
+
+    return _by_runs(compare)
+
+
+def _links(rule: Rule):
+    """Compare the full sets of rows that ask with those of the rows of their cell; links come out as a star."""
+    def compare(t: pa.Table):
+        rep, label, role = (t[c].to_numpy() for c in ("rep", "label", "role"))
+        shapes, found = t["shape"], []
+        for start, count in zip(*(x.tolist() for x in _runs(t))):
+            at = slice(start, start + count)
+            sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in shapes.slice(start, count)]
+            sizes = np.fromiter(map(len, sets), np.int64, count)
+            codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            begins, mine, asked = np.cumsum(sizes) - sizes, label[at], role[at] & 1 > 0
+            held, pairs = np.zeros(codes.max() + 1, np.int32), []
+            for i in np.flatnonzero(role[at] & 2).tolist():
+                others = np.flatnonzero(asked & (mine != mine[i]) & _fits(rule, sizes, sizes[i]))
+                if not len(others):
+                    continue
+                own = codes[begins[i]:begins[i] + sizes[i]]
+                held[own] = 1
+                each = sizes[others]
+                both = np.add.reduceat(held[codes[words.spread(begins[others], each)]], np.cumsum(each) - each)
+                held[own] = 0
+                others = others[100 * both >= rule.percent * (each + sizes[i] - both)]
+                pairs.append(np.column_stack([np.full(len(others), i), others]))
+            if pairs:
+                pairs = np.concatenate(pairs)
+                least = _least(count, pairs[:, 0], pairs[:, 1])
+                rows = np.flatnonzero(least != np.arange(count))
+                found.append(np.column_stack([rep[at][least[rows]], rep[at][rows]]))
+        pairs = np.concatenate([*found, np.empty((0, 2), np.int64)])
+        yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+    return _by_runs(compare)
 
-    sa, sb = (shapes.select(F.col("rep").alias(c), F.col("shape").alias(f"s{c}")) for c in "ab")
-    return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
+def _confirmed(rows: DataFrame, classes: DataFrame, manifest: DataFrame, rule: Rule) -> DataFrame:
+    """Links (a, b) inside groups: ``rows`` are (group, rep, label, asks), and those that ask are compared with all of other labels.
+
+    A link is told as a way over other rows of the cell. The full sets are computed anew by the blocks that hold the
+    texts and go from there to the cells.
+    """
+    rows = stage(rows.join(classes.select("rep", "block", "row", "n_shingles"), "rep"), "candidates")
+    weight = F.when(F.col("asks"), F.col("n_shingles")).otherwise(0)
+
+    def chunks(count, shingles):
+        return F.greatest(F.lit(1), F.ceil(count / CHUNK), F.ceil(shingles / CHUNK_SHINGLES)).cast("long")
+
+    groups = rows.groupBy("group").agg(chunks(F.count("*"), F.sum("n_shingles")).alias("asked"),
+                                       chunks(F.count_if("asks"), F.sum(weight)).alias("askers"))
+    dealt = _cells(rows.join(groups, "group"), F.col("asks"), F.col("asked"), F.col("askers"))
 
-def _shapes(pairs: DataFrame, classes: DataFrame, manifest: DataFrame, rule: Rule) -> DataFrame:
-    """(rep, shape): the full sets of the documents in the pairs, recomputed from the blocks that hold their texts."""
     def run(batches):
         for batch in batches:
-            for file, reps, rows in zip(*(batch.column(c).to_pylist() for c in ("file", "reps", "rows"))):
-                sets = shingle_sets(files.read_block(file, ["text"]).column("text").take(pa.array(rows)), rule.shingle)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(reps, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "shape"])
-
-    reps = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    # A block lists those of its rows that are needed, so a group has no more rows than a block.
-    wanted = (classes.select("rep", "block", "row").join(reps, "rep").groupBy("block")
-              .agg(F.collect_list("rep").alias("reps"), F.collect_list("row").alias("rows")))
-    tasks = max(1, manifest.count())
-    return wanted.join(manifest, "block").repartition(tasks, "block").mapInArrow(run, "rep long, shape binary")
-
-
-def _grown(members: DataFrame, sketches: DataFrame, rule: Rule, first: int | None) -> DataFrame:
-    """Candidate pairs of all trees; members are (node, rep, label)."""
-    found = None
+            for file, cells in zip(batch.column("file").to_pylist(), batch.column("cells")):
+                cells = pa.RecordBatch.from_struct_array(cells.values)
+                # A few rows of the block at a time: a row may be sent to many cells.
+                cells = cells.sort_by("row")
+                text = files.read_block(file, ["text"]).column("text")
+                for at in range(0, cells.num_rows, SENT_ROWS):
+                    part = cells.slice(at, SENT_ROWS)
+                    needed, place = np.unique(part.column("row").to_numpy(), return_inverse=True)
+                    sets = [s.tobytes() for s in shingle_sets(text.take(pa.array(needed)), rule.shingle)]
+                    shape = pa.array([sets[i] for i in place.tolist()], pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(c) for c in ("group", "chunk", "rep", "label", "role")), shape],
+                        ["group", "chunk", "rep", "label", "role", "shape"])
+
+    # A block lists those of its rows that are needed, so a list has few more entries than the block has rows.
+    cells = F.struct("row", "group", "place.chunk", "rep", "label", "place.role")
+    wanted = dealt.groupBy("block").agg(F.collect_list(cells).alias("cells"))
+    sent = wanted.join(manifest, "block").repartition(max(1, manifest.count()), "block").select("file", "cells").mapInArrow(
+        run, "group long, chunk long, rep long, label long, role int, shape binary")
+    found = sent.repartition("group", "chunk").sortWithinPartitions("group", "chunk").mapInArrow(_links(rule), "a long, b long")
+    return stage(found, "links")
+
+
+def _grown(members: DataFrame, sketches: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame | None]:
+    """Candidate groups of all trees (group, hub, rep, label, asks) and the members of root nodes that branched; members are (node, root, rep, label)."""
+    found, branched = None, None
     for level in range(LEVELS + 1):
         classes = members.groupBy("node", "label").agg(F.count("*").alias("n"))
         nodes = (classes.groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("top"))
                  .withColumn("open", F.col("n") - F.col("top.n")).filter("open > 0")
                  .select("node", "n", "open", F.col("top.label").alias("settled")))
-        members = stage(members.join(nodes, "node").join(sketches, "rep"), "members")
+        members = stage(members.join(nodes, "node"), "members")
         small = members if level == LEVELS else members.filter(F.col("open") <= CHUNK)
         # Each chunk of a node meets all of its unsettled rows, themselves in chunks if they are many.
-        chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-        unsettled = F.col("label") != F.col("settled")
-        groups = F.ceil(F.col("open") / CHUNK).cast("int")
-        own = F.pmod(F.xxhash64("rep", F.lit(1)), chunks)
-        group = F.pmod(F.xxhash64("rep", F.lit(2)), groups)
-        asked = small.withColumn("place", F.explode(F.transform(
-            F.sequence(F.lit(0), groups - 1), lambda g: F.struct((own * groups + g).alias("chunk"), F.lit(False).alias("unsettled")))))
-        asking = small.filter(unsettled).withColumn("place", F.explode(F.transform(
-            F.sequence(F.lit(0), chunks - 1), lambda c: F.struct((c * groups + group).alias("chunk"), F.lit(True).alias("unsettled")))))
-        columns = ["node", "place.chunk", "rep", "label", "sketch", "n_shingles", "place.unsettled"]
-        dealt = (asked.select(*columns).unionByName(asking.select(*columns))
-                 .repartition("node", "chunk").sortWithinPartitions("node", "chunk"))
-        pairs = dealt.mapInArrow(_pairs_in_runs(rule, first), "a long, b long")
-        found = pairs if found is None else found.unionByName(pairs)
+        dealt = _cells(small.join(sketches, "rep"), F.col("label") != F.col("settled"),
+                       F.ceil(F.col("n") / CHUNK).cast("long"), F.ceil(F.col("open") / CHUNK).cast("long"))
+        dealt = (dealt.select(F.col("node").alias("group"), "place.chunk", "rep", "label", "sketch", "n_shingles", "place.role")
+                 .repartition("group", "chunk").sortWithinPartitions("group", "chunk"))
+        groups = dealt.mapInArrow(_candidates(rule), "group long, hub long, rep long, label long, asks boolean")
+        found = groups if found is None else found.unionByName(groups)
         if level == LEVELS:
             break
         large = members.filter(F.col("open") > CHUNK)
         if large.isEmpty():
             break
+        if branched is None:
+            branched = large.select("node", "rep")
         # One order for each node, two for as many nodes as the similarity asks for.
         second = F.pmod(F.xxhash64("node", F.lit("two")), F.lit(1_000_000)) < int(1_000_000 * (100 / rule.percent - 1))
         picks = F.sequence(F.lit(0), F.when(second, 1).otherwise(0))
         pick = F.pmod(F.xxhash64("node", "k"), F.lit(SKETCH)).cast("int")
-        members = (large.select("node", "rep", "label", "sketch", F.explode(picks).alias("k")).withColumn("pick", pick)
+        members = (large.select("node", "rep", "label").join(sketches.select("rep", "sketch"), "rep")
+                   .withColumn("k", F.explode(picks)).withColumn("pick", pick)
                    .select(F.xxhash64("node", "k", "pick", F.expr("substring(sketch, pick + 1, 1)")).alias("node"), "rep", "label"))
-    return found.distinct()
+    return stage(found, "groups"), branched
+
+
+def _clustered(groups: DataFrame) -> DataFrame:
+    """(group, rep, label, asks): the groups that share rows as one, so that a row is looked at once for all trees.
+
+    Rows of the largest class of a cluster don't ask. Clusters in which very many ask stay the groups that they are made of.
+    """
+    of = components(groups.select(F.col("hub").alias("a"), F.col("rep").alias("b"))).select(
+        F.col("v").alias("rep"), F.col("label").alias("cluster"))
+    rows = stage(groups.select("rep", "label").distinct().join(of, "rep"), "clusters")
+    sizes = (rows.groupBy("cluster", "label").agg(F.count("*").alias("n")).groupBy("cluster")
+             .agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("top"))
+             .select("cluster", F.col("top.label").alias("settled"), (F.col("n") - F.col("top.n") > MANY * CHUNK).alias("many")))
+    rows = rows.join(sizes, "cluster")
+    whole = rows.filter("not many").select(F.xxhash64("cluster").alias("group"), "rep", "label", (F.col("label") != F.col("settled")).alias("asks"))
+    parts = groups.join(rows.filter("many").select("rep"), "rep").select("group", "rep", "label", "asks")
+    return whole.unionByName(parts)
 
 
 def linked(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -265,19 +372,22 @@ def linked(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     shared = members.groupBy("node").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).filter("n > 1").select("node", "hub")
     members = stage(members.join(shared, "node"), "members")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        return stage(_confirmed(pairs, stage(_shapes(pairs, classes, manifest, rule), "shapes"), rule), "links")
-
     hubs = sketches.select(F.col("rep").alias("hub"), F.col("sketch").alias("hub_sketch"), F.col("n_shingles").alias("hub_size"))
     near = stage(members.filter("rep <> hub").select("rep", "hub").distinct().join(sketches, "rep").join(hubs, "hub")
                  .mapInArrow(_near(rule), "a long, b long"), "pairs")
-    links = confirmed(near)
-    # The closest partners first: what they link needs no further look, so the second round has few pairs left.
-    for first in (FIRST, None):
+    stars = near.select(F.col("a").alias("group"), F.col("b").alias("rep"), F.lit(False).alias("asks")).unionByName(
+        near.select(F.col("a").alias("group"), F.col("a").alias("rep"), F.lit(True).alias("asks")).distinct())
+    links = _confirmed(stars.withColumn("label", F.col("rep")), classes, manifest, rule)
+    # Nodes that did not branch are done after the first round; the links found may settle the others.
+    left = members.select("node", "rep")
+    for _ in range(ROUNDS):
         labels = components(links)
-        labelled = (members.select("node", "rep").join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left")
+        labelled = (left.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left")
                     .select("node", "rep", F.coalesce("label", "rep").alias("label")))
-        links = links.unionByName(confirmed(stage(_grown(labelled, sketches, rule, first), "pairs")))
+        groups, left = _grown(labelled, sketches, rule)
+        links = links.unionByName(_confirmed(_clustered(groups), classes, manifest, rule))
+        if left is None:
+            break
     # Rows of one doc_id are one document even where their sets differ.
     same = known.join(classes.select("set_key", "rep"), "set_key").filter("doc_id <> rep").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))

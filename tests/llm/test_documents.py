@@ -71,6 +71,27 @@ def test_near_duplicates_in_nodes_that_branch(spark, texts, monkeypatch):
     assert out == plain.near_components(texts, 4, 80)
 
 
+def test_near_duplicates_list_no_pairs_of_a_group(spark, monkeypatch):
+    """Two families of copies that are just too different from each other: no table has a row for each pair of them."""
+    base, texts, counts = [f"w{i}" for i in range(200)], {}, []
+    for i in range(150):
+        copy = [f"{w}x" if i % 2 and k % 30 == 15 else w for k, w in enumerate(base)]
+        copy[10 + i] += "y"
+        texts[i] = " ".join(copy)
+
+    def counted(df, name):
+        out = stage(df, name)
+        counts.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(setjoin, "stage", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r["doc_id"]: r["component_id"] for r in setjoin.linked(docs, setjoin.Rule(shingle=4)).collect()}
+    assert out == plain.near_components(texts, 4, 80)
+    assert set(out.values()) == {0, 1}
+    assert max(counts)[0] <= (setjoin.TREES + 1) * len(texts), max(counts)
+
+
 def test_near_duplicates_without_ids_and_with_repeated_ids(spark):
     text = prose(30)
     rows = [(None, text), (7, text), (7, prose(30)), (9, text), (None, None)]
