@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import files, words
-from siltstone.llm.components import components
+from siltstone.llm.components import components, smallest
 from siltstone.sources.staging import stage
 
 TREES = 16
@@ -128,20 +128,6 @@ def _fits(rule: Rule, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(a, b) >= rule.percent * np.maximum(a, b)
 
 
-def _least(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest position that the links (a, b) between ``n`` positions lead to."""
-    label = np.arange(n)
-    while len(a):
-        low = np.minimum(label[a], label[b])
-        for ends in (a, b):
-            np.minimum.at(label, label[ends], low)
-        while (label[label] != label).any():
-            label = label[label]
-        apart = label[a] != label[b]
-        a, b = a[apart], b[apart]
-    return label
-
-
 def _by_runs(compare):
     """Call ``compare`` with whole runs of (group, chunk), which may go on in the next batch."""
     def run(batches):
@@ -212,10 +198,10 @@ def _candidates(rule: Rule):
             # A forest of the links is as good as all of them.
             a, b = a[close], b[close]
             ends, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-            least = ends[_least(len(ends), at[:len(a)], at[len(a):])]
+            least = ends[smallest(len(ends), at[:len(a)], at[len(a):])]
             found.append(np.column_stack([least, ends])[least != ends])
         links = np.concatenate(found)
-        hub = _least(len(rep), links[:, 0], links[:, 1])
+        hub = smallest(len(rep), links[:, 0], links[:, 1])
         out = np.flatnonzero(np.bincount(hub, minlength=len(rep))[hub] > 1)
         hub = hub[out]
         key = words.mixed(t["group"].to_numpy()[out].view(np.uint64) + words.mixed(t["chunk"].to_numpy()[out].view(np.uint64)))
@@ -252,7 +238,7 @@ def _links(rule: Rule):
                 pairs.append(np.column_stack([np.full(len(others), i), others]))
             if pairs:
                 pairs = np.concatenate(pairs)
-                least = _least(count, pairs[:, 0], pairs[:, 1])
+                least = smallest(count, pairs[:, 0], pairs[:, 1])
                 rows = np.flatnonzero(least != np.arange(count))
                 found.append(np.column_stack([rep[at][least[rows]], rep[at][rows]]))
         pairs = np.concatenate([*found, np.empty((0, 2), np.int64)])
@@ -295,8 +281,8 @@ def _confirmed(rows: DataFrame, classes: DataFrame, manifest: DataFrame, rule: R
 
     # A block lists those of its rows that are needed, so a list has few more entries than the block has rows.
     cells = F.struct("row", "group", "place.chunk", "rep", "label", "place.role")
-    wanted = dealt.groupBy("block").agg(F.collect_list(cells).alias("cells"))
-    sent = wanted.join(manifest, "block").repartition(max(1, manifest.count()), "block").select("file", "cells").mapInArrow(
+    wanted = dealt.repartition(max(1, manifest.count()), "block").groupBy("block").agg(F.collect_list(cells).alias("cells"))
+    sent = wanted.join(manifest, "block").select("file", "cells").mapInArrow(
         run, "group long, chunk long, rep long, label long, role int, shape binary")
     found = sent.repartition("group", "chunk").sortWithinPartitions("group", "chunk").mapInArrow(_links(rule), "a long, b long")
     return stage(found, "links")
@@ -373,8 +359,8 @@ def linked(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     members = stage(members.join(shared, "node"), "members")
 
     hubs = sketches.select(F.col("rep").alias("hub"), F.col("sketch").alias("hub_sketch"), F.col("n_shingles").alias("hub_size"))
-    near = stage(members.filter("rep <> hub").select("rep", "hub").distinct().join(sketches, "rep").join(hubs, "hub")
-                 .mapInArrow(_near(rule), "a long, b long"), "pairs")
+    met = members.filter("rep <> hub").groupBy("rep").agg(F.collect_set("hub").alias("hubs")).join(sketches, "rep")
+    near = stage(met.withColumn("hub", F.explode("hubs")).drop("hubs").join(hubs, "hub").mapInArrow(_near(rule), "a long, b long"), "pairs")
     stars = near.select(F.col("a").alias("group"), F.col("b").alias("rep"), F.lit(False).alias("asks")).unionByName(
         near.select(F.col("a").alias("group"), F.col("a").alias("rep"), F.lit(True).alias("asks")).distinct())
     links = _confirmed(stars.withColumn("label", F.col("rep")), classes, manifest, rule)

@@ -112,6 +112,22 @@ def test_components(spark):
         **{i: 0 for i in range(61)}, 100: 100, **{i: 100 for i in range(200, 260)}, 299: 299, 300: 299}
 
 
+def test_components_of_what_tasks_read_together(spark, monkeypatch):
+    """Edges of a task become stars before anything is shuffled, in steps as well, so few tables are written."""
+    edges = [(i, i + 1) for i in range(400)] + [(500 + i % 7, 500 + i) for i in range(300)] + [(500, 506), (None, 3), (3, None)]
+    want = {i: 0 for i in range(401)} | {500 + i: 500 + i % 7 for i in range(300)}
+    want |= {i: 500 for i, label in want.items() if label == 506}
+    frame = spark.createDataFrame(edges, "a long, b long")
+    names = []
+    monkeypatch.setattr(components, "stage", lambda df, name: names.append(name) or stage(df, name))
+    assert {r["v"]: r["label"] for r in components.components(frame.coalesce(1)).collect()} == want
+    assert names.count("pointers") == 2
+    batches = [pa.RecordBatch.from_pydict({"a": pa.array([a]), "b": pa.array([b])}) for a, b in edges[:60]]
+    monkeypatch.setattr(components, "STEP_EDGES", 8)
+    out = [r for batch in components._stars(batches) for r in zip(*batch.to_pydict().values())]
+    assert {r["v"]: r["label"] for r in components.components(spark.createDataFrame(out, "a long, b long")).collect()} == {i: 0 for i in range(61)}
+
+
 # ---- repeats ----------------------------------------------------------------
 
 @pytest.mark.parametrize("length", [30, 50])
