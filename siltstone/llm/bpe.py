@@ -32,6 +32,8 @@ from siltstone.llm import words
 
 #: Words and chunks that a worker remembers; those not met for longest are forgotten.
 CACHE_ENTRIES = 250_000
+#: Text bytes of a step, and those after which a task gives free memory back.
+STEP_BYTES, RELEASE_BYTES = 1 << 20, 8 << 20
 _END = "\n"  # marks the last symbol of a word; no byte is written as this character
 
 
@@ -209,16 +211,25 @@ def prefix_bpe(path: str) -> PrefixBpe:
 words.MEMORIES.append(prefix_bpe.cache_clear)
 
 
+def _encoded(coder: PrefixBpe, batches, column: str, ids: str):
+    """The batches in steps, with their ids; what the steps leave behind is given back now and then."""
+    held = 0
+    for batch in batches:
+        for step in words.steps(batch, column, STEP_BYTES):
+            if held >= RELEASE_BYTES:
+                words.release()
+                held = 0
+            held += step.nbytes
+            flat, starts = coder.encode(step.column(column))
+            lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*step.columns, lists], [*step.schema.names, ids])
+
+
 def encode(docs: DataFrame, path: str, column: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of each whole text as an array of integers."""
     def run(batches):
         words.release()
-        coder = prefix_bpe(path)
-        for batch in batches:
-            for step in words.steps(batch, column):
-                flat, starts = coder.encode(step.column(column))
-                lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*step.columns, lists], [*step.schema.names, ids])
+        yield from _encoded(prefix_bpe(path), batches, column, ids)
         words.release()
 
     kept = docs.drop(ids)

@@ -157,3 +157,14 @@ def test_a_worker_forgets_what_encoders_remember():
     assert all(make.cache_info().currsize for make, _ in kept)
     words.release(memories=True)
     assert not any(make.cache_info().currsize for make, _ in kept)
+
+
+def test_word_encoding_gives_memory_back_in_a_long_task(monkeypatch):
+    """Short steps, and free memory goes back between them: two tasks share what an executor may hold."""
+    released, coder = [], bpe.prefix_bpe(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(bpe.words, "release", lambda memories=False: released.append(memories))
+    text = ["some words " * 4_000] * 500
+    out = list(bpe._encoded(coder, [pa.RecordBatch.from_pydict({"text": text})], "text", "ids"))
+    assert sum(b.num_rows for b in out) == len(text) and all(b.column("text").nbytes < 2 << 20 for b in out)
+    assert len(released) >= 2 and not any(released)
+    assert {tuple(i[:4]) for b in out for i in b.column("ids").to_pylist()} == {tuple(out[0].column("ids")[0].as_py()[:4])}
