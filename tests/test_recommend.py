@@ -165,6 +165,19 @@ def test_all_items(spark, rank, shard):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+def test_scores_of_all_pairs_are_rounded_in_the_task(spark):
+    """Six digits, as Spark's round gives them, but not by Spark: no pair becomes a decimal number on its way."""
+    values = [0.1234564, 0.1234566, -0.1234564, -0.1234566, 2.5e-7, -7.5e-7, 3.0, 1e300, float("inf"), float("nan")]
+    users = spark.createDataFrame([(1, 0.0, [], [])], "user_id long, number double, vector array<double>, seen array<long>")
+    items = spark.createDataFrame([(i, v, []) for i, v in enumerate(values)], "app_id long, number double, vector array<double>")
+    got = {r.app_id: r.score for r in retrieval.all_items(users, items).collect()}
+    want = {r.app_id: r.score for r in items.select("app_id", F.round("number", 6).alias("score")).collect()}
+    assert all(got[i] == want[i] or np.isnan(got[i]) and np.isnan(want[i]) for i in want)
+    bridge = spark.createDataFrame([(1, "t"), (2, "t")], "app_id bigint, tag string")
+    found = recommend.unseen_scores(interactions(spark, [(1, 1), (2, 2)]), bridge, recommend.baseline_factors)
+    assert "round(" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_trained_scores_of_all_pairs(spark):
     """Not only ten of a user: all unseen pairs, also with an item that nobody has met, which scores nothing."""
     seen = [(u, i) for u in range(1, 9) for i in range(1, 21) if u % 2 == i % 2 and (u + i) % 5] + [(None, 3), (4, None)]
