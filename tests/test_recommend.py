@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from siltstone.checks import gold_checks
 from siltstone.checks.registry import Tables
-from siltstone.plans import recommend, retrieval
+from siltstone.operators import assemble
+from siltstone.plans import gold, recommend, retrieval
 
 
 def made(seed: int, users: int, items: int, tags: int, rank: int, per_item: int = 4):
@@ -125,6 +126,54 @@ def test_copies_cost_a_set():
         assert [(-int(k >> retrieval.PLACE_BITS), int(a)) for k, a in zip(best[u], app)] == want
 
 
+def test_many_copies_cost_one_bound():
+    """A set of many blocks has one bound, and later blocks are looked at where the first ones are met."""
+    draw = np.random.default_rng(12)
+    kinds = [sorted(draw.choice(20, 3, False).tolist()) for _ in range(30)]
+    number = draw.random(9_000).round(3)
+    table = pa.table({"app_id": np.arange(9_000), "number": number, "vector": pa.array([[]] * 9_000, pa.list_(pa.float64())),
+                      "tags": pa.array(kinds * 300, pa.list_(pa.int32()))})
+    shard = retrieval.Shard(table)
+    assert shard.columns == shard.sets <= 30 and len(shard.begin) >= 30 * 4
+    weights = draw.dirichlet(np.ones(20), 10).round(2)
+    scores = np.tile(np.array([[w[k].sum() for k in kinds] for w in weights]), 300) + number
+    met = [np.argsort(-s, kind="stable")[:m] for s, m in zip(scores, range(0, 1000, 100))]  # the best ones, up to some hundred
+    seen = np.repeat(np.arange(10), [len(m) for m in met]), shard.by_app[np.concatenate(met)]
+    best, _ = shard.best(np.zeros(10), np.zeros((10, 0)), weights, seen, 8)
+    for u in range(10):
+        left = np.setdiff1d(np.arange(9_000), met[u])
+        want = sorted((-int(np.floor(scores[u, a] * 1e6 + 0.5)), int(a)) for a in left)[:8]
+        got = [(-int(k >> retrieval.PLACE_BITS), int(shard.apps[(1 << retrieval.PLACE_BITS) - 1 - (k & ((1 << retrieval.PLACE_BITS) - 1))])) for k in best[u]]
+        assert got == want
+
+
+def test_items_out_of_reach_are_not_walked(spark):
+    """Of a set no more items are searched than a user can get beyond those met, and the result is that of all items."""
+    shop = [(i, float(i % 50), [], [i % 2]) for i in range(400)]
+    people = [(1, 0.0, [], [0], [1.0], []), (2, 0.0, [], [1], [2.0], [i for i in range(400) if i % 50 == 49 and i < 300])]
+    users, items = spark.createDataFrame(people, USERS), spark.createDataFrame(shop, ITEMS)
+    assert retrieval._within_reach(users, items, 3, 100, lambda df, name: df).count() == 2 * (3 + 6)
+    assert retrieval._within_reach(users, items, 3, 400, lambda df, name: df).count() == 400
+    got = retrieval.best_items(users, items, 3, 100, lambda df, name: df.localCheckpoint()).collect()
+    assert sorted((r.user_id, r.app_id, round(r.final_score * 1e6), r.place) for r in got) == sorted(plain(people, shop, 3))
+
+
+def test_tag_lists(spark, no_stage):
+    """The lists of a user have the weights of the profile, heaviest first, across batches; items without tags are met as well."""
+    inter = spark.createDataFrame([(u, a) for u in range(1, 9) for a in range(30) for _ in range(1 + (u * a) % 3) if (u + a) % 4], "user_id long, app_id long")
+    bridge = spark.createDataFrame([(a, t) for a in range(20) for t in (a % 3, 3 + a % 5)], "app_id long, tag int")
+    weight = {(r.user_id, r.tag): r.weight for r in gold.tag_profile(inter, bridge, no_stage).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        rows = gold.tag_lists(gold.user_items(inter, no_stage), assemble.sorted_set(bridge, "app_id", "tag", "tags")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(rows) == 8 and weight == {(r.user_id, t): w for r in rows for t, w in zip(r.tags, r.weights)}
+    for r in rows:
+        assert list(zip(r.weights, r.tags)) == sorted(zip(r.weights, r.tags), reverse=True)
+        assert sorted(r.seen) == [a for a in range(30) if (r.user_id + a) % 4]
+
+
 def interactions(spark, seen):
     frame = spark.createDataFrame(seen, "user_id bigint, app_id bigint")
     return frame.withColumns({"is_recommended": F.lit(True), "hours": F.lit(1.0), "helpful": F.lit(0), "funny": F.lit(0)})
