@@ -276,3 +276,31 @@ def test_vectors_are_not_sent_by_pair(spark, no_stage):
     near = recommend.profile_neighbours(weighted, items, no_stage)
     assert near.count() == sum(a in vector for _, a, _ in pairs)
     assert near.filter("cosine > 1 or cosine is null").count() == 0
+
+
+def test_vectors_are_read_not_shuffled(spark, no_stage, monkeypatch):
+    """No vector is in what is dealt out; files that are read in steps give the means and cosines whatever the steps, copies and gaps."""
+    from siltstone.sources import staging
+
+    draw = np.random.default_rng(13)
+    pairs = [(int(u), int(a), 1.0 + int(u + a) % 3) for u, a in draw.integers(0, 40, (600, 2))]
+    weighted = spark.createDataFrame([*pairs, (None, 1, 1.0), (1, None, 1.0)], "user_id long, app_id long, interaction_weight double")
+    vectors = [(a, draw.normal(size=3).tolist()) for a in [*range(3, 35), 5, 5, 5, 34, 99]]  # some items have none, some several
+    items = spark.createDataFrame([*vectors, (2, None), (None, [1.0, 2.0, 3.0])], "app_id long, embedding array<float>")
+    assert recommend._blocks_of_users(weighted, items, no_stage).columns == ["app_id", "users", "weights"]
+    monkeypatch.setattr(staging.in_order, "__defaults__", (4,))
+    of = {}
+    for a, v in vectors:
+        of.setdefault(a, []).append(np.array(v, np.float32).astype(float))
+    profile = {}
+    for u in {u for u, a, _ in pairs if a in of}:
+        own = [(w, v) for x, a, w in pairs if x == u for v in of.get(a, [])]
+        profile[u] = sum(w * v for w, v in own) / sum(w for w, _ in own)
+    got = {r.user_id: r.profile for r in recommend.user_profiles(weighted.filter("user_id is not null"), items, no_stage).collect()}
+    assert got.keys() == profile.keys() and all(got[u] == pytest.approx(profile[u]) for u in got)
+    near = sorted((r.user_id, r.app_id, r.cosine) for r in recommend.profile_neighbours(weighted, items, no_stage).collect())
+    want = sorted((u, a, round(float(profile[u] @ v / np.sqrt((profile[u] @ profile[u]) * (v @ v))), 6)) for u, a in {p[:2] for p in pairs} for v in of.get(a, []))
+    assert [r[:2] for r in near] == [r[:2] for r in want] and [r[2] for r in near] == pytest.approx([r[2] for r in want], abs=2e-6)
+    files = staging.sorted_files(items.filter("app_id is not null").repartition(3), "app_id", "test")
+    ids = [i for b in staging.in_order(files) for i in b.column("app_id").to_pylist()]
+    assert ids == sorted(ids) and len(ids) == len(vectors) + 1
