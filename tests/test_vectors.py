@@ -101,3 +101,21 @@ def test_comparison_holds_few_scores():
         tracemalloc.stop()
     assert best.num_rows == 15_000
     assert peak < 64e6
+
+
+def test_vectors_are_sent_for_few_groups(spark, monkeypatch):
+    """A group is as large as a task can hold, but for the parts that give all tasks work, and any dealing finds the same."""
+    draw = np.random.default_rng(21)
+    base = frame(spark, [(i, draw.normal(size=4).tolist()) for i in range(300)])
+    asked = base.filter("id % 3 = 0").withColumn("seen", F.array("id"))
+    want = sorted(map(tuple, vectors.nearest(base, asked, vectors.EXACT, 4).collect()))
+    compared = vectors._compared
+    for cell, most, groups, parts in ((10, 1000, 4, 4), (10, 50, 1, 6 * 2), (10, 1000, 10**6, 30 * 10), (1000, 1000, 64, 1)):
+        for name, value in (("CELL", cell), ("MOST", most), ("GROUPS", groups)):
+            monkeypatch.setattr(vectors, name, value)
+        found = vectors.nearest(base, asked, vectors.EXACT, 4)
+        assert sorted(map(tuple, found.collect())) == want
+        monkeypatch.setattr(vectors, "_compared", lambda k: lambda x, y: pa.table({"query": [x.num_rows], "id": [y.num_rows], "cosine": [0.0]}))
+        sizes = vectors.nearest(base, asked, vectors.EXACT, 4).collect()
+        monkeypatch.setattr(vectors, "_compared", compared)
+        assert len(sizes) <= parts
