@@ -203,6 +203,20 @@ def test_trained_factors(spark):
     assert np.mean([(r.user_id // 10**11) % 2 == r.app_id % 2 for r in first]) >= 0.9
 
 
+def test_training_blocks_grow_in_number(spark, monkeypatch):
+    """No block of the training has more than its share of ratings, however many there are, and many blocks train as well as few."""
+    assert recommend.als_blocks(600_000) == {"numUserBlocks": 10, "numItemBlocks": 10, "checkpointInterval": 10}
+    assert recommend.als_blocks(216_000_000)["numUserBlocks"] == 108 and recommend.als_blocks(216_000_001)["numItemBlocks"] == 109
+    monkeypatch.setattr(recommend, "ALS_RATINGS", 5)
+    seen = [(u, i) for u in range(1, 13) for i in range(1, 13) if u % 2 == i % 2 and (u + i) % 6]
+    assert recommend.als_blocks(len(seen))["numUserBlocks"] > 10
+    made = recommend.als_factors(gold.interaction_features(interactions(spark, seen)), 4, 10)
+    users, items = ({r[0]: np.array(r.vector) for r in df.collect()} for df in (made.users, made.items))
+    assert len(users) == len(items) == 12
+    score = {(u, i): users[u] @ items[i] for u in users for i in items}
+    assert np.mean([score[p] for p in seen]) > np.mean([x for (u, i), x in score.items() if u % 2 != i % 2]) + 0.3
+
+
 @pytest.mark.parametrize(("rank", "shard"), [(0, 10**6), (3, 10**6), (2, 7)])
 def test_all_items(spark, rank, shard):
     """Every unseen pair has its score, whatever the shards."""
