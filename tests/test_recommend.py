@@ -207,7 +207,7 @@ def test_training_blocks_grow_in_number(spark, monkeypatch):
     """No block of the training has more than its share of ratings, however many there are, and many blocks train as well as few."""
     assert recommend.als_blocks(600_000) == {"numUserBlocks": 10, "numItemBlocks": 10, "checkpointInterval": 10}
     assert recommend.als_blocks(216_000_000)["numUserBlocks"] == 108 and recommend.als_blocks(216_000_001)["numItemBlocks"] == 109
-    monkeypatch.setattr(recommend, "ALS_RATINGS", 5)
+    monkeypatch.setattr(recommend, "ALS_RATINGS", 3)
     seen = [(u, i) for u in range(1, 13) for i in range(1, 13) if u % 2 == i % 2 and (u + i) % 6]
     assert recommend.als_blocks(len(seen))["numUserBlocks"] > 10
     made = recommend.als_factors(gold.interaction_features(interactions(spark, seen)), 4, 10)
